@@ -66,9 +66,13 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], name: str) ->
 def rank_in_group(
     df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], name: str
 ) -> DataFrame:
-    """Add 1..n per group in the given order; a group of any size is shared by many tasks."""
+    """Add 1..n per group in the given order; a group of any size is shared by many tasks.
+
+    The first position of each group is written before it is joined back, so Spark knows its
+    size: it is broadcast if small, and joined by a shuffle that splits large groups if not.
+    """
     placed = with_position(df, [*group, *order_by], _POSITION)
     keys = [F.col(c).alias(f"_group_{i}") for i, c in enumerate(group)]
-    first = placed.groupBy(*keys).agg(F.min(_POSITION).alias(_FIRST))
+    first = stage(placed.groupBy(*keys).agg(F.min(_POSITION).alias(_FIRST)), "groups")
     same = [F.col(c).eqNullSafe(F.col(f"_group_{i}")) for i, c in enumerate(group)]
     return placed.join(first, same).select(*df.columns, (F.col(_POSITION) - F.col(_FIRST) + 1).alias(name))

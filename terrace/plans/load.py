@@ -56,9 +56,11 @@ class Warehouse:
         """Replace a table by ``df`` and return the number of rows, counted while writing."""
         counted = Observation()
         path = self.path(layer, name)
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)  # few files per folder, large folders split
         overwrite_parquet(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, partition_by)
         create_database(self.spark, f"{self.prefix}{layer}", f"{self.root}/{layer}")
-        register_parquet(self.spark, self.table(layer, name), path, df.schema)
+        register_parquet(self.spark, self.table(layer, name), path, df.schema, partition_by)
         return counted.get["rows"]
 
 
@@ -81,13 +83,13 @@ def run_loads(warehouse: Warehouse, steps: Iterable[Sequence[Load]], parallel: i
     """Run the steps in order, the loads of one step side by side.
 
     A failed load is recorded and the others go on; a load that needs a failed one is skipped,
-    so that it never reads files of an earlier run.
+    so that it never takes files of an earlier run for new ones.
     """
     audits: list[Audit] = []
     for step in steps:
-        good = {f"{a.layer}.{a.table_name}" for a in audits if a.status == "ok"}
+        bad = {f"{a.layer}.{a.table_name}" for a in audits if a.status != "ok"}
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            audits += pool.map(lambda load: _run(warehouse, load, good), step)
+            audits += pool.map(lambda load: _run(warehouse, load, bad), step)
     return audits
 
 
@@ -96,10 +98,10 @@ def audit_table(spark: SparkSession, audits: Sequence[Audit]) -> DataFrame:
     return spark.createDataFrame(list(audits), AUDIT_SCHEMA)
 
 
-def _run(warehouse: Warehouse, load: Load, good: set[str]) -> Audit:
-    absent = [need for need in load.needs if need not in good]
-    if absent:
-        return Audit(load.layer, load.name, None, None, "skipped", "needs " + ", ".join(absent))
+def _run(warehouse: Warehouse, load: Load, bad: set[str]) -> Audit:
+    missed = [need for need in load.needs if need in bad]
+    if missed:
+        return Audit(load.layer, load.name, None, None, "skipped", "needs " + ", ".join(missed))
     started = time.monotonic()
     try:
         df = load.build(warehouse)

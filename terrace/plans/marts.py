@@ -126,23 +126,27 @@ def seasonal_index(fact: DataFrame) -> DataFrame:
 
 
 def seasonal_forecast(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Next twelve months per category: the sales of the same month one year before, or 0."""
-    flat = left_lookup(fact, products, "product_key", "product_key", ["cat"], _SPREAD_BY)
-    monthly = _monthly(flat, "cat")
-    last = monthly.agg(F.max("month")).scalar()
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(12)))
-    expected = (
-        monthly.select("cat")
-        .distinct()
-        .select(F.col("cat").alias("_cat"), ahead.alias("ahead"))
-        .select("_cat", F.add_months(last, F.col("ahead") - 12).alias("_year_ago"))
-    )
-    same = F.col("cat").eqNullSafe(F.col("_cat")) & (F.col("month") == F.col("_year_ago"))
-    return expected.join(monthly, same, "left").select(
-        F.col("_cat").alias("cat"),
-        F.add_months("_year_ago", 12).alias("month"),
-        F.coalesce("sales", F.lit(0)).alias("forecast_sales"),
-    )
+    """Next twelve months per category: the sales of the same month one year before, or 0.
+
+    The fact is reduced to products and months before the join, and the months are twelve
+    conditional sums, so that no category is collected or joined with itself.
+    """
+    last = fact.agg(F.max(_month())).scalar()
+    per_product = _monthly(fact, "product_key")
+    per_category = left_lookup(per_product, products, "product_key", "product_key", ["cat"])
+    year_ago = {ahead: F.add_months(last, ahead - 12) for ahead in range(1, 13)}
+    sums = [
+        F.sum(F.when(F.col("month") == month, F.col("sales"))).alias(f"ahead_{ahead}")
+        for ahead, month in year_ago.items()
+    ]
+    forecasts = [
+        F.struct(
+            F.add_months(month, 12).alias("month"),
+            F.coalesce(F.col(f"ahead_{ahead}"), F.lit(0)).alias("forecast_sales"),
+        )
+        for ahead, month in year_ago.items()
+    ]
+    return per_category.groupBy("cat").agg(*sums).select("cat", F.inline(F.array(*forecasts)))
 
 
 def _month() -> Column:

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from terrace.operators.keys import ROW_ID, with_row_id
 from terrace.plans import gold, silver
 from terrace.plans.load import Audit, Load, LoadFailed, Warehouse, run_loads
-from terrace.sources.jdbc import Connection, overwrite_table
+from terrace.sources.jdbc import Connection, overwrite_table, read_table
 from terrace.sources.schemas import GOLD, SOURCES, conform
 
 Source = Callable[[str], DataFrame]
@@ -91,16 +91,38 @@ def export_loads(connection: Connection, schema: str = "gold", partitions: int =
     ]
 
 
+def jdbc_source(
+    spark: SparkSession,
+    connection: Connection,
+    schema: str = "bronze",
+    parallel_by: Mapping[str, tuple[str, int]] | None = None,
+) -> Source:
+    """Source tables in a database; ``parallel_by`` gives column and number of reads per table."""
+
+    def read(name: str) -> DataFrame:
+        column, partitions = (parallel_by or {}).get(name, (None, 1))
+        return read_table(spark, connection, f"{schema}.{name}", column, partitions)
+
+    return read
+
+
 def run(
     warehouse: Warehouse,
     source: Source,
     customer_tie_break: Sequence[str | Column],
     as_of: dt.date | None = None,
     export_to: Connection | None = None,
+    layers: Sequence[str] = ("bronze", "silver", "gold"),
     parallel: int = 4,
 ) -> list[Audit]:
-    """Full load of all layers; raises :class:`LoadFailed` at the end if a table is not loaded."""
-    steps = [bronze_loads(source), silver_loads(customer_tie_break, as_of), *gold_loads()]
+    """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded."""
+    steps: list[list[Load]] = []
+    if "bronze" in layers:
+        steps.append(bronze_loads(source))
+    if "silver" in layers:
+        steps.append(silver_loads(customer_tie_break, as_of))
+    if "gold" in layers:
+        steps += gold_loads()
     if export_to is not None:
         steps.append(export_loads(export_to))
     audits = run_loads(warehouse, steps, parallel)

@@ -174,9 +174,11 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = SOURCES["crm_cust_info"](spark, sf_dir)
-    products = silver_products(spark, sf_dir)
-    sales = SOURCES["crm_sales_details"](spark, sf_dir)
+    """Rules on the tables of the warehouse, before and after cleaning."""
+    warehouse = warehouse_of(spark, sf_dir)
+    customers = warehouse.read("bronze", "crm_cust_info")
+    products = warehouse.read("silver", "crm_prd_info")
+    sales = warehouse.read("bronze", "crm_sales_details")
     return report(
         row_checks(customers, "crm_cust_info", [not_null("cst_id"), not_null("cst_gender")]),
         unique(customers, "crm_cust_info", "cst_id"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,19 +11,25 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_literal(location)}")
 
 
-def register_parquet(spark: SparkSession, table: str, path: str, schema: T.StructType) -> None:
+def register_parquet(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
+) -> None:
     """Make the Parquet folder known as external table ``database.table``.
 
     A table with the same columns and folder only has its file list refreshed. Any other one
     is dropped (its files stay) and created again, so that new columns become visible.
     """
-    if spark.catalog.tableExists(table):
-        same_columns = spark.table(table).schema.simpleString() == schema.simpleString()
-        if same_columns and _location(spark, table) == _plain(path):
-            spark.catalog.refreshTable(table)
-            return
+    known = spark.catalog.tableExists(table)
+    if known and not _matches(spark, table, path, schema):
         spark.sql(f"DROP TABLE {table}")
-    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+        known = False
+    if not known:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        folders = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET {folders} LOCATION {_literal(path)}")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def tables(spark: SparkSession, database: str) -> DataFrame:
@@ -52,12 +57,12 @@ def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
-    try:
-        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Location").first()
-    except AnalysisException:
-        return None
-    return _plain(detail["data_type"]) if detail else None
+def _matches(spark: SparkSession, table: str, path: str, schema: T.StructType) -> bool:
+    held = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
+    if held != {f.name: f.dataType.simpleString() for f in schema.fields}:
+        return False
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return location is not None and _plain(location["data_type"]) == _plain(path)
 
 
 def _plain(path: str) -> str:
