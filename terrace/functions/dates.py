@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 def parse_yyyymmdd(value: Column) -> Column:
     """Date held as an integer ``yyyyMMdd``; any other shape and impossible days become NULL.
 
-    ``try_to_date`` keeps the rule total under ANSI mode, where ``to_date`` would end the job
-    on a value such as 20240230.
+    Arithmetic instead of a text pattern: a parser raises and catches an exception for each bad
+    value, which is fifty times slower, and ``to_date`` ends the job under ANSI. The formula is
+    kept short, because generated code of more than 8,000 bytes per method is not compiled.
     """
-    digits = value.cast("string")
-    return F.when(F.length(digits) == 8, F.try_to_date(digits, "yyyyMMdd"))
+    number = value.try_cast("int")
+    year, month, day = (number / 10_000).cast("int"), (number / 100).cast("int") % 100, number % 100
+    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
+    date = F.date_add(first, day - 1)
+    eight_digits = number.between(1000_01_01, 9999_12_31)
+    return F.when(eight_digits & month.between(1, 12) & day.between(1, 31) & (date <= F.last_day(first)), date)
 
 
 def null_future(value: Column, as_of: dt.date | None = None) -> Column:

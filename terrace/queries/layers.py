@@ -160,10 +160,12 @@ def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned order lines looked up in the written dimensions."""
+    """Written order lines looked up in the written dimensions."""
     warehouse = warehouse_of(spark, sf_dir)
     return gold.fact_sales(
-        silver_sales(spark, sf_dir), warehouse.read("gold", "dim_products"), warehouse.read("gold", "dim_customers")
+        warehouse.read("silver", "crm_sales_details"),
+        warehouse.read("gold", "dim_products"),
+        warehouse.read("gold", "dim_customers"),
     )
 
 

@@ -80,12 +80,15 @@ def test_default_if_null(spark):
 
 
 def test_parse_yyyymmdd(spark):
-    values = [20240229, 20240230, 20241350, 2024013, 0, None, 99999999, -2024011, 120240101]
-    assert apply(spark, parse_yyyymmdd, values, "int") == [dt.date(2024, 2, 29)] + [None] * 8
+    values = [20240229, 20240230, 20241350, 2024013, 0, None, 99999999, -2024011, 2**40]
+    assert apply(spark, parse_yyyymmdd, values, "bigint") == [dt.date(2024, 2, 29)] + [None] * 8
+    edges = [-(2**31), 2**31 - 1, 10000101, 99991231, 20230229, 20240200, 20240001, 20241231, 20240432]
+    good = {2: dt.date(1000, 1, 1), 3: dt.date(9999, 12, 31), 7: dt.date(2024, 12, 31)}
+    assert apply(spark, parse_yyyymmdd, edges, "int") == [good.get(i) for i in range(9)]
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.integers(-(2**31), 2**31 - 1), min_size=1, max_size=50))
+@given(st.lists(st.integers(-(2**31), 2**31 - 1) | st.integers(19_990_000, 20_301_300), min_size=1, max_size=200))
 def test_parse_yyyymmdd_never_fails(spark, values):
     def parsed(value):
         try:
