@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrace.staging import stage
 
 ROW_ID = "_row_id"
+ROWS_PER_RANGE = 4_000_000
 _POSITION = "_position"
 _RANGE = "_range"
 _BEFORE = "_before"
@@ -28,19 +29,21 @@ def with_row_id(scan: DataFrame) -> DataFrame:
 def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "position") -> DataFrame:
     """Add 1..n in the given order, computed by all tasks.
 
-    1. The rows are written once, which gives each of them a stable physical id.
+    1. The rows are written once, which gives each of them a stable physical id, and counted
+       from the file footers.
     2. They are range-partitioned by ``order_by`` plus that id, sorted per partition and written
        with their number inside the partition. Because of the id, equal rows spread over
        several partitions too.
-    3. The sizes of the partitions (one row each, as many as shuffle partitions) are summed up
-       and added. This is the only step in one task, and its input is bounded by a setting.
+    3. The sizes of the partitions are summed up and broadcast. This table has one row per
+       ``ROWS_PER_RANGE`` rows, or one per shuffle partition if that is more.
     """
     spark = df.sparkSession
     sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stage(
-        with_row_id(stage(df, "rows"))
-        .repartitionByRange(partitions, *sort)
+    rows = stage(df, "rows")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_RANGE))
+    placed = stage(
+        with_row_id(rows)
+        .repartitionByRange(ranges, *sort)
         .sortWithinPartitions(*sort)
         .drop(ROW_ID)
         .withColumn(_POSITION, F.monotonically_increasing_id()),
@@ -48,12 +51,12 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "
     ).withColumn(_RANGE, F.shiftright(_POSITION, _LOW_BITS))
     earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy(_RANGE)
+        placed.groupBy(_RANGE)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(_RANGE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE))
     )
     in_range = F.col(_POSITION) - F.shiftleft(F.col(_RANGE), _LOW_BITS)
-    return ranged.join(F.broadcast(offsets), _RANGE).select(
+    return placed.join(F.broadcast(offsets), _RANGE).select(
         *df.columns, (F.col(_BEFORE) + in_range + 1).alias(name)
     )
 

@@ -58,8 +58,8 @@ def left_lookup(
 
     slot = F.pmod(F.xxhash64(*spread_by), F.lit(slots))
     spread = F.col(left_key).isNull()
-    # Not a plain 0, which would be folded out of the join keys.
-    home = F.when(F.col("_key").isNull(), -1).otherwise(0).cast("bigint")
+    # Always 0, but written so that the optimizer keeps it as a join key.
+    home = F.pmod(F.xxhash64("_key"), F.lit(1))
     if hot_share is None:
         picked = picked.withColumn("_home", home)
     else:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from terrace.sources.catalog import create_database, read_or_fallback, register_parquet
 from terrace.sources.files import overwrite_parquet
+from terrace.staging import staged_until_end
 
 AUDIT_SCHEMA = "layer string, table_name string, row_count bigint, seconds double, status string, message string"
 
@@ -104,11 +105,12 @@ def _run(warehouse: Warehouse, load: Load, bad: set[str]) -> Audit:
         return Audit(load.layer, load.name, None, None, "skipped", "needs " + ", ".join(missed))
     started = time.monotonic()
     try:
-        df = load.build(warehouse)
-        if load.sink is None:
-            rows = warehouse.save(load.layer, load.name, df, load.partition_by)
-        else:
-            rows = load.sink(df)
+        with staged_until_end(warehouse.spark):
+            df = load.build(warehouse)
+            if load.sink is None:
+                rows = warehouse.save(load.layer, load.name, df, load.partition_by)
+            else:
+                rows = load.sink(df)
     except Exception as error:  # any failure of one table must leave the others running
         return Audit(load.layer, load.name, None, _since(started), "failed", str(error).split("\n")[0])
     return Audit(load.layer, load.name, rows, _since(started), "ok", None)

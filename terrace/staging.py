@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open = threading.local()
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
@@ -33,9 +38,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to a new shared path and return the scan of it.
 
     The lineage ends at the files, so a lost executor costs a re-read and not a re-computation,
-    and a later pass over a few columns reads only these. Names that differ only in case and
-    names starting with ``_metadata`` are not supported by the file format.
+    and a later pass over a few columns reads only these.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_until_end(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that this thread stages inside the block when the block ends.
+
+    Frames that read them have to be written out inside the block. Without such a block staged
+    tables stay, since a frame returned to the caller may still read them.
+    """
+    outer = getattr(_open, "paths", None)
+    _open.paths = []
+    try:
+        yield
+    finally:
+        paths, _open.paths = _open.paths, outer
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(configuration).delete(folder, True)

@@ -302,3 +302,10 @@ def test_export_step_counts_the_written_files(spark, warehouse, monkeypatch):
 def test_custom_load(spark, warehouse):
     audits = run_loads(warehouse, [[Load("gold", "n", lambda w: w.spark.range(3))]])
     assert audits[0].row_count == 3
+
+
+def test_command_line():
+    import run_layers
+
+    given = run_layers.parse(["--root", "/data", "--layers", "silver", "--parallel-by", "a:b:4"])
+    assert (given.root, given.layers, given.parallel_by, given.export) == ("/data", ["silver"], ["a:b:4"], False)

@@ -1,6 +1,7 @@
 """Per-key and whole-table operators against plain Python or plain windows."""
 
 import datetime as dt
+import os
 import random
 from collections import Counter
 
@@ -15,7 +16,7 @@ from terrace.operators.keys import rank_in_group, surrogate_key, with_position,
 from terrace.operators.latest import latest_by_key, top_n_per_key
 from terrace.operators.lookup import DuplicateKeys, hot_keys, left_lookup, require_unique
 from terrace.operators.quality import in_range, not_before, not_null, references, report, row_checks, unique
-from terrace.staging import stage
+from terrace.staging import stage, staged_until_end
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -187,6 +188,56 @@ def test_keyless_rows_are_spread(spark):
     assert sum(sizes) == 8000 and max(sizes) < 4000
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Run-time skew handling as for large tables, at the size of the test data."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_dominating_key_is_split_in_lookups(spark, skewed, small_skew_limits):
+    wide = skewed.withColumn("text", F.sha2(F.col("id").cast("string"), 512)).repartition(12)
+    right = spark.range(300).select(F.col("id").cast("int").alias("r"), F.lit("x").alias("t"))
+    once = left_lookup(wide, right, "k", "r", ["t"], ["id"])
+    twice = left_lookup(once, right.withColumnRenamed("t", "u"), "k", "r", ["u"], ["id"])
+    assert final_plan(twice).split("Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
+    assert twice.count() == skewed.count()
+
+
+def test_dominating_version_start_is_split(spark, skewed, small_skew_limits):
+    df = skewed.select("k", F.lit(dt.date(2020, 1, 1)).alias("s"), "id").repartition(12)
+    df = df.withColumn("text", F.sha2(F.col("id").cast("string"), 512))
+    closed = close_versions(df, "k", "s", "e", ["id"])
+    assert "SortMergeJoin(skew=true)" in final_plan(closed).split("Initial Plan")[0]
+    assert bag(closed) == bag(versions_by_window(df))
+
+
+def test_staged_tables_end_with_their_block(spark, tmp_path):
+    with staged_until_end(spark):
+        with staged_until_end(spark):
+            inner = stage(spark.range(3), "inner").inputFiles()[0]
+        outer = stage(spark.range(3), "outer")
+        assert outer.count() == 3
+        outer = outer.inputFiles()[0]
+        assert not os.path.exists(os.path.dirname(inner.removeprefix("file://")))
+    assert not os.path.exists(os.path.dirname(outer.removeprefix("file://")))
+
+
 def test_hot_keys(skewed):
     assert [r[0] for r in hot_keys(skewed, "k", 0.2).collect()] == [1]
 

@@ -63,6 +63,9 @@ def test_lookup_spreads_rows_without_a_key(spark, no_broadcast):
     text = plan(left_lookup(orders, customer, "o_custkey", "c_custkey", ["c_name"], ["o_orderkey"]))
     assert re.search(r"Exchange hashpartitioning\(o_custkey#\d+L, _slot#\d+", text)
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string>" in text
+    never_null = spark.range(5).select("id", F.lit("x").alias("name"))
+    text = plan(left_lookup(orders, never_null, "o_custkey", "id", ["name"], ["o_orderkey"]))
+    assert re.search(r"Exchange hashpartitioning\(o_custkey#\d+L, _slot#\d+", text)
 
 
 def test_small_dimension_is_broadcast_by_its_size(spark):
