@@ -30,7 +30,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
         "--parallel-by", nargs="*", default=[], metavar="TABLE:COLUMN:READS", help="tables to read in several parts"
     )
     parser.add_argument("--layers", nargs="+", default=["bronze", "silver", "gold"], choices=["bronze", "silver", "gold"])
-    parser.add_argument("--newest-last", nargs="+", default=["cst_key"], help="tie-break of customer records, descending")
+    parser.add_argument("--newest-last", nargs="+", help="tie-break of customer records, descending")
     parser.add_argument("--export", action="store_true", help="copy the gold tables to the database")
     parser.add_argument("--hive", action="store_true", help="register the tables in the Hive catalog")
     return parser.parse_args(arguments)
@@ -51,7 +51,7 @@ def main(arguments: list[str]) -> int:
         table, column, reads = entry.split(":")
         parallel_by[table] = (column, int(reads))
     source = medallion.jdbc_source(spark, connection, given.source_schema, parallel_by)
-    tie_break = [F.col(name).desc() for name in given.newest_last]
+    tie_break = [F.col(name).desc() for name in given.newest_last] if given.newest_last else None
     status = 0
     try:
         audits = medallion.run(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from terrace.staging import stage
 
 ROW_ID = "_row_id"
-ROWS_PER_RANGE = 4_000_000
+ROWS_PER_RANGE = 1_000_000
+MOST_RANGES = 50_000
 _POSITION = "_position"
 _RANGE = "_range"
 _BEFORE = "_before"
@@ -34,13 +35,12 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "
     2. They are range-partitioned by ``order_by`` plus that id, sorted per partition and written
        with their number inside the partition. Because of the id, equal rows spread over
        several partitions too.
-    3. The sizes of the partitions are summed up and broadcast. This table has one row per
-       ``ROWS_PER_RANGE`` rows, or one per shuffle partition if that is more.
+    3. The sizes of the partitions are summed up and broadcast: one row per ``ROWS_PER_RANGE``
+       rows, and never more than ``MOST_RANGES`` rows.
     """
-    spark = df.sparkSession
     sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
     rows = stage(df, "rows")
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_RANGE))
+    ranges = max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))
     placed = stage(
         with_row_id(rows)
         .repartitionByRange(ranges, *sort)

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from terrace.functions.codes import prefer
 from terrace.operators.history import current_versions
 from terrace.operators.keys import surrogate_key
-from terrace.operators.lookup import left_lookup
+from terrace.operators.lookup import left_lookup, require_unique
 
 
-def dim_customers(customers: DataFrame, erp: DataFrame, locations: DataFrame) -> DataFrame:
+def dim_customers(
+    customers: DataFrame, erp: DataFrame, locations: DataFrame, unique_keys: bool = False
+) -> DataFrame:
     """Customers with birth date, gender and country, numbered by customer id.
 
-    Each lookup has a shuffle of its own, which lets Spark split a dominating customer number.
+    A customer number that occurs twice in ``erp`` or ``locations`` multiplies the customer;
+    ``unique_keys`` makes that an error. Each lookup has a shuffle of its own, which lets Spark
+    split a dominating customer number.
     """
+    if unique_keys:
+        erp, locations = require_unique(erp, "cid"), require_unique(locations, "cid")
     joined = left_lookup(customers, erp, "cst_key", "cid", ["bdate", "gen"], ["cst_id"])
     joined = left_lookup(joined, locations, "cst_key", "cid", ["cntry"], ["cst_id"])
     named = joined.select(
@@ -32,8 +38,13 @@ def dim_customers(customers: DataFrame, erp: DataFrame, locations: DataFrame) ->
     return surrogate_key(named, ["customer_id"], "customer_key")
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Current product versions with their category, numbered by id and start date."""
+def dim_products(products: DataFrame, categories: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """Current product versions with their category, numbered by id and start date.
+
+    ``unique_keys`` makes a category id that occurs twice an error.
+    """
+    if unique_keys:
+        categories = require_unique(categories, "id")
     joined = left_lookup(
         current_versions(products, "prd_end_dt"),
         categories,

@@ -131,7 +131,7 @@ def seasonal_forecast(fact: DataFrame, products: DataFrame) -> DataFrame:
     The fact is reduced to products and months before the join, and the months are twelve
     conditional sums, so that no category is collected or joined with itself.
     """
-    last = fact.agg(F.max(_month())).scalar()
+    last = fact.agg(F.trunc(F.max("order_date"), "month")).scalar()
     per_product = _monthly(fact, "product_key")
     per_category = left_lookup(per_product, products, "product_key", "product_key", ["cat"])
     year_ago = {ahead: F.add_months(last, ahead - 12) for ahead in range(1, 13)}

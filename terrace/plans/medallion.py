@@ -21,8 +21,17 @@ def bronze_loads(source: Source) -> list[Load]:
     return [Load("bronze", name, lambda _, name=name: source(name)) for name in SOURCES]
 
 
-def silver_loads(customer_tie_break: Sequence[str | Column], as_of: dt.date | None = None) -> list[Load]:
-    """Cleaned tables, each from its bronze copy."""
+def silver_loads(
+    customer_tie_break: Sequence[str | Column] | None = None, as_of: dt.date | None = None
+) -> list[Load]:
+    """Cleaned tables, each from its bronze copy.
+
+    ``customer_tie_break`` orders customer records of one day; by default it is the rest of the
+    columns, so that the choice depends on nothing but the records.
+    """
+    if customer_tie_break is None:
+        declared = SOURCES["crm_cust_info"].fieldNames()
+        customer_tie_break = [c for c in declared if c not in ("cst_id", "cst_create_date")]
     rules: dict[str, Callable[[DataFrame], DataFrame]] = {
         "crm_cust_info": lambda df: silver.silver_customers(df, customer_tie_break),
         "crm_prd_info": lambda df: silver.silver_products(df, ["prd_id", ROW_ID]),
@@ -109,7 +118,7 @@ def jdbc_source(
 def run(
     warehouse: Warehouse,
     source: Source,
-    customer_tie_break: Sequence[str | Column],
+    customer_tie_break: Sequence[str | Column] | None = None,
     as_of: dt.date | None = None,
     export_to: Connection | None = None,
     layers: Sequence[str] = ("bronze", "silver", "gold"),

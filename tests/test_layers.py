@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.operators.lookup import DuplicateKeys
 from terrace.plans import gold, medallion, silver
 from terrace.plans.load import AUDIT_SCHEMA, Load, LoadFailed, Warehouse, audit_table, run_loads
 from terrace.queries.layers import new_warehouse
@@ -48,7 +49,7 @@ def source(spark):
 
 
 def test_run_builds_the_star_schema(spark, warehouse, source):
-    audits = medallion.run(warehouse, source, ["cst_key"], as_of=D(2024, 1, 1))
+    audits = medallion.run(warehouse, source, as_of=D(2024, 1, 1))
     assert [(a.layer, a.status) for a in audits] == [("bronze", "ok")] * 6 + [("silver", "ok")] * 6 + [("gold", "ok")] * 3
     assert all(a.seconds >= 0 and a.message is None for a in audits)
     rows = {name: [tuple(r) for r in warehouse.read("gold", name).orderBy(schema.fieldNames()[0]).collect()] for name, schema in GOLD.items()}
@@ -164,6 +165,14 @@ def test_duplicate_dimension_keys_multiply_rows(spark, source):
     locations = silver.silver_locations(source("erp_loc_a101"))
     doubled = gold.dim_customers(customers, erp.union(erp), locations)
     assert sorted((r.customer_key, r.customer_id) for r in doubled.collect()) == [(1, 11), (2, 11), (3, 12), (4, 12)]
+    with pytest.raises(DuplicateKeys):
+        gold.dim_customers(customers, erp.union(erp), locations, unique_keys=True)
+    assert gold.dim_customers(customers, erp, locations, unique_keys=True).count() == 2
+    categories = silver.silver_categories(source("erp_px_cat_g1v2"))
+    products = silver.silver_products(source("crm_prd_info"), ["prd_id"])
+    assert gold.dim_products(products, categories, unique_keys=True).count() == 2
+    with pytest.raises(DuplicateKeys):
+        gold.dim_products(products, categories.union(categories), unique_keys=True)
 
 
 def test_hot_share_gives_the_same_fact(spark, source):

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from terrace.operators import keys
 from terrace.operators.history import close_versions, current_versions
 from terrace.operators.keys import rank_in_group, surrogate_key, with_position, with_row_id
 from terrace.operators.latest import latest_by_key, top_n_per_key
@@ -21,6 +22,12 @@ from terrace.staging import stage, staged_until_end
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(monkeypatch):
+    """Several ranges in spite of few rows."""
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 100)
+
+
 def bag(df):
     return Counter(tuple(r) for r in df.collect())
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from terrace.operators import keys
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -25,6 +26,12 @@ SAME_TYPE = {
 }
 
 
+@pytest.fixture(autouse=True)
+def many_ranges(monkeypatch):
+    """Several ranges in spite of few rows."""
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 200)
+
+
 @pytest.fixture(scope="module")
 def oracle():
     connection = duckdb.connect()
