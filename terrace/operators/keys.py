@@ -27,11 +27,13 @@ def with_row_id(scan: DataFrame) -> DataFrame:
     return scan.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias(ROW_ID))
 
 
-def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "position") -> DataFrame:
+def with_position(
+    df: DataFrame, order_by: Sequence[str | Column], name: str = "position", stored: bool = False
+) -> DataFrame:
     """Add 1..n in the given order, computed by all tasks.
 
     1. The rows are written once, which gives each of them a stable physical id, and counted
-       from the file footers.
+       from the file footers. With ``stored``, ``df`` is a scan of Parquet files already.
     2. They are range-partitioned by ``order_by`` plus that id, sorted per partition and written
        with their number inside the partition. Because of the id, equal rows spread over
        several partitions too.
@@ -39,7 +41,7 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "
        rows, and never more than ``MOST_RANGES`` rows.
     """
     sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
-    rows = stage(df, "rows")
+    rows = df if stored else stage(df, "rows")
     ranges = max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))
     placed = stage(
         with_row_id(rows)
@@ -61,9 +63,12 @@ def with_position(df: DataFrame, order_by: Sequence[str | Column], name: str = "
     )
 
 
-def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
-    """Put a gap-free integer key 1..n, in the given order, in front of the columns."""
-    return with_position(df, order_by, name).select(name, *df.columns)
+def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], name: str, stored: bool = False) -> DataFrame:
+    """Put a gap-free integer key 1..n, in the given order, in front of the columns.
+
+    ``stored`` as in :func:`with_position`.
+    """
+    return with_position(df, order_by, name, stored).select(name, *df.columns)
 
 
 def rank_in_group(

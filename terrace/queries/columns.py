@@ -166,12 +166,12 @@ _VERSIONS = f"""SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS start_
 
 def surrogate_key_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return surrogate_key(customer, ["c_custkey"], "customer_key")
+    return surrogate_key(customer, ["c_custkey"], "customer_key", stored=True)
 
 
 def surrogate_key_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name")
-    return surrogate_key(part, ["p_size", "p_partkey"], "product_key")
+    return surrogate_key(part, ["p_size", "p_partkey"], "product_key", stored=True)
 
 
 def _coded(table_name: str, key: str, code: str, then: str, name: str) -> str:

@@ -78,6 +78,7 @@ def test_position_equals_global_row_number(skewed):
     order = [F.col("k").desc(), F.col("v"), F.col("id")]
     plain = skewed.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     assert bag(with_position(skewed, order)) == bag(plain)
+    assert bag(with_position(skewed, order, stored=True)) == bag(plain)
 
 
 def test_position_of_copies(spark):

@@ -12,8 +12,7 @@ from terrace.operators import keys
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-RUNS = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = entry_point._ALL
 
 # Spark type -> DuckDB types that hold the same values.
 SAME_TYPE = {
@@ -54,20 +53,35 @@ def rows(found, names, order):
     return sorted(made, key=lambda row: [(v is not None, str(type(v)), v) if v is not None else (False, "", 0) for v in row])
 
 
-def test_every_query_has_sql():
-    assert set(RUNS) == set(SQL)
-
-
-@pytest.mark.parametrize("name", sorted(RUNS))
-def test_query(spark, oracle, name):
-    df = RUNS[name](spark, SF_DIR)
-    expected = oracle.execute(SQL[name])
+def compare(oracle, df, sql):
+    expected = oracle.execute(sql)
     types = {column[0]: str(column[1]) for column in expected.description}
     assert sorted(df.columns) == sorted(types)
     for column, spark_type in df.dtypes:
         assert types[column] in SAME_TYPE[spark_type], (column, spark_type, types[column])
     order = sorted(df.columns)
-    assert rows(df.collect(), df.columns, order) == rows(expected.fetchall(), list(types), order)
+    found = df.collect()
+    assert found
+    assert rows(found, df.columns, order) == rows(expected.fetchall(), list(types), order)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, oracle, name):
+    run, sql = QUERIES[name]
+    compare(oracle, run(spark, SF_DIR), sql)
+
+
+@pytest.mark.parametrize("name", sorted(entry_point._DATES))
+def test_registered_query_with_dates(spark, oracle, name):
+    df = entry_point.queries()[name](spark, SF_DIR)
+    assert "date" not in dict(df.dtypes).values()
+    compare(oracle, df, entry_point.oracle_sql()[name])
+
+
+def test_every_date_is_registered(spark):
+    for name, (run, _) in QUERIES.items():
+        dates = [c for c, kind in run(spark, SF_DIR).dtypes if kind == "date"]
+        assert sorted(dates) == sorted(entry_point._DATES.get(name, [])), name
 
 
 def test_entry(spark):
