@@ -23,7 +23,7 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: fewer than ``1 / share`` of them."""
+    """Keys that hold more than ``share`` of the rows with a key: fewer than ``1 / share`` of them."""
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") > share * total).select("_hot")

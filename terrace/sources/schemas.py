@@ -71,8 +71,9 @@ _WIDENING = {
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns in declared type, followed by any further columns.
 
-    Names match in any case and come out as declared. Narrower numbers widen and timestamps
-    become dates; a missing column or another type is a :class:`SchemaMismatch`.
+    Names match in any case and come out as declared. Narrower numbers and whole decimals, which
+    databases often return for integers, widen and timestamps become dates; a missing column or
+    another type is a :class:`SchemaMismatch`.
     """
     found = {f.name.lower(): f for f in df.schema.fields}
     columns = []
@@ -82,8 +83,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         if actual is None:
             raise SchemaMismatch(f"column {field.name} is missing")
         held = actual.dataType.simpleString()
-        if held != wanted and held not in _WIDENING.get(wanted, ()):
+        if held != wanted and not _widens(actual.dataType, wanted):
             raise SchemaMismatch(f"column {field.name} is {held}, declared as {wanted}")
         column = df[actual.name]
         columns.append((column if held == wanted else column.cast(field.dataType)).alias(field.name))
     return df.select(*columns, *(df[f.name] for f in found.values()))
+
+
+def _widens(held: T.DataType, wanted: str) -> bool:
+    if isinstance(held, T.DecimalType):
+        digits = {"int": 9, "bigint": 18}.get(wanted, 0)
+        return held.scale == 0 and held.precision <= digits
+    return held.simpleString() in _WIDENING.get(wanted, ())

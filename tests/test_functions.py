@@ -132,3 +132,9 @@ def test_repair_truth_table(spark):
     again = fixed.select("n", "a", repair_amount(F.col("a"), F.col("q"), F.col("p")).alias("b"))
     # A second run changes only amounts that stay at or below zero, to the same value.
     assert all(r.a == r.b for r in again.collect())
+
+
+def test_repair_of_fractions(spark):
+    df = spark.createDataFrame([(1.0, 3, 0.5), (None, 2, -0.25)], "a double, q int, p double")
+    amount = repair_amount(F.col("a"), F.col("q"), F.col("p"), number="double")
+    assert sorted(r[0] for r in df.select(amount).collect()) == [0.5, 1.5]

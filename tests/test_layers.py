@@ -138,6 +138,11 @@ def test_tables_and_fallback(spark, warehouse):
     assert [warehouse.read("bronze", n).count() for n in "abc"] == [3, 4, 5]
 
 
+def test_files_are_found_by_a_session_without_the_catalog(spark, warehouse):
+    warehouse.save("silver", "t", spark.range(6))
+    assert Warehouse(spark, warehouse.root, "no_such_prefix_").read("silver", "t").count() == 6
+
+
 def test_preview(spark):
     assert [r.id for r in catalog.preview(spark.range(50), ["id"], 3).collect()] == [0, 1, 2]
 
@@ -153,6 +158,11 @@ def test_conform(spark):
     declared = T.StructType([T.StructField("id", T.LongType()), T.StructField("day", T.DateType())])
     df = spark.createDataFrame([(1, dt.datetime(2020, 1, 1, 5), "x")], "ID int, day timestamp, extra string")
     assert conform(df, declared).dtypes == [("id", "bigint"), ("day", "date"), ("extra", "string")]
+    whole = df.withColumn("ID", F.lit(7).cast("decimal(18,0)"))
+    assert [tuple(r) for r in conform(whole, declared).collect()] == [(7, dt.date(2020, 1, 1), "x")]
+    for kind in ("decimal(19,0)", "decimal(10,2)", "double"):
+        with pytest.raises(SchemaMismatch):
+            conform(df.withColumn("ID", F.lit(7).cast(kind)), declared)
     with pytest.raises(SchemaMismatch, match="missing"):
         conform(df.drop("day"), declared)
     with pytest.raises(SchemaMismatch, match="string"):
