@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 
 def repair_amount(amount: Column, quantity: Column, price: Column, number: str = "bigint") -> Column:
-    """Quantity times absolute price wherever the amount is NULL, not positive or different.
+    """The amount if it is positive and not contradicted, else quantity times absolute price.
 
-    A NULL on the right side makes the comparison unknown, so a positive amount then stays.
-    ``number`` is the type of the product; ``bigint`` keeps integers from overflowing under ANSI.
+    An unknown product contradicts nothing, so a positive amount then stays. ``number`` is the
+    type of the product; ``bigint`` keeps integers from overflowing under ANSI.
     """
-    amount, quantity, price = (c.cast(number) for c in (amount, quantity, price))
-    expected = quantity * F.abs(price)
-    return F.when(amount.isNull() | (amount <= 0) | (amount != expected), expected).otherwise(amount)
+    held, expected = amount.cast(number), quantity.cast(number) * F.abs(price.cast(number))
+    agrees = F.coalesce(held == expected, F.lit(True))
+    return F.when((held > 0) & agrees, held).otherwise(expected)
 
 
 def repair_price(price: Column, quantity: Column, repaired_amount: Column) -> Column:
-    """Repaired amount per piece wherever the price is NULL or not positive.
+    """The price if it is positive, else the repaired amount per piece.
 
-    Always a double, and NULL where the quantity is zero.
+    Always a double, and NULL where it would have to be divided by a quantity of zero.
     """
     per_piece = repaired_amount.cast("double") / F.nullif(quantity.cast("double"), F.lit(0.0))
-    return F.when(price.isNull() | (price <= 0), per_piece).otherwise(price.cast("double"))
+    return F.when(price > 0, price.cast("double")).otherwise(per_piece)

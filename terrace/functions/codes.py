@@ -43,4 +43,4 @@ def standardize_country(value: Column, labels: Mapping[str, str] = COUNTRY, miss
 
 def prefer(first: Column, second: Column, missing: str = MISSING) -> Column:
     """``first`` unless it is missing or NULL, then ``second``, then the marker itself."""
-    return F.when(first != missing, first).otherwise(F.coalesce(second, F.lit(missing)))
+    return F.coalesce(F.nullif(first, F.lit(missing)), second, F.lit(missing))

@@ -26,4 +26,4 @@ def parse_yyyymmdd(value: Column) -> Column:
 def null_future(value: Column, as_of: dt.date | None = None) -> Column:
     """NULL for dates after ``as_of`` (default: the day of the run)."""
     limit = F.lit(as_of) if as_of else F.current_date()
-    return F.when(value > limit, None).otherwise(value)
+    return F.when(value <= limit, value)

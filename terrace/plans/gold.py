@@ -9,6 +9,8 @@ from terrace.functions.codes import prefer
 from terrace.operators.history import current_versions
 from terrace.operators.keys import surrogate_key
 from terrace.operators.lookup import left_lookup, require_unique
+from terrace.operators.project import renamed
+from terrace.sources.schemas import CUSTOMER_NAMES, PRODUCT_NAMES, SALES_NAMES
 
 
 def dim_customers(
@@ -24,18 +26,8 @@ def dim_customers(
         erp, locations = require_unique(erp, "cid"), require_unique(locations, "cid")
     joined = left_lookup(customers, erp, "cst_key", "cid", ["bdate", "gen"], ["cst_id"])
     joined = left_lookup(joined, locations, "cst_key", "cid", ["cntry"], ["cst_id"])
-    named = joined.select(
-        F.col("cst_id").alias("customer_id"),
-        F.col("cst_key").alias("customer_number"),
-        F.col("cst_firstname").alias("first_name"),
-        F.col("cst_lastname").alias("last_name"),
-        F.col("cntry").alias("country"),
-        F.col("bdate").alias("birthdate"),
-        prefer(F.col("cst_gender"), F.col("gen")).alias("gender"),
-        F.col("cst_marital_status").alias("marital_status"),
-        F.col("cst_create_date").alias("create_date"),
-    )
-    return surrogate_key(named, ["customer_id"], "customer_key")
+    gender = prefer(F.col("cst_gender"), F.col("gen"))
+    return surrogate_key(renamed(joined.withColumn("gender", gender), CUSTOMER_NAMES), ["customer_id"], "customer_key")
 
 
 def dim_products(products: DataFrame, categories: DataFrame, unique_keys: bool = False) -> DataFrame:
@@ -53,19 +45,7 @@ def dim_products(products: DataFrame, categories: DataFrame, unique_keys: bool =
         ["cat", "subcat", "maintenance"],
         ["prd_id"],
     )
-    named = joined.select(
-        F.col("prd_id").alias("product_id"),
-        F.col("prd_key").alias("product_number"),
-        F.col("prd_nm").alias("product_name"),
-        F.col("cat_id").alias("category_id"),
-        "cat",
-        "subcat",
-        "maintenance",
-        F.col("prd_cost").alias("cost"),
-        F.col("prd_line").alias("product_line"),
-        F.col("prd_start_dt").alias("start_date"),
-    )
-    return surrogate_key(named, ["product_id", "start_date"], "product_key")
+    return surrogate_key(renamed(joined, PRODUCT_NAMES), ["product_id", "start_date"], "product_key")
 
 
 def fact_sales(
@@ -75,14 +55,4 @@ def fact_sales(
     spread_by = ["sls_ord_num", "sls_ship_dt", "sls_quantity", "sls_price"]
     joined = left_lookup(sales, products, "sls_prd_key", "product_number", ["product_key"], spread_by, hot_share)
     joined = left_lookup(joined, customers, "sls_cust_id", "customer_id", ["customer_key"], spread_by, hot_share)
-    return joined.select(
-        F.col("sls_ord_num").alias("order_number"),
-        "product_key",
-        "customer_key",
-        F.col("sls_order_dt").alias("order_date"),
-        F.col("sls_ship_dt").alias("shipping_date"),
-        F.col("sls_due_date").alias("due_date"),
-        F.col("sls_sales").alias("sales_amount"),
-        F.col("sls_quantity").alias("quantity"),
-        F.col("sls_price").alias("price"),
-    )
+    return renamed(joined, SALES_NAMES)

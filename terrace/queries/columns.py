@@ -21,6 +21,7 @@ from terrace.functions.text import (
 from terrace.operators.history import close_versions, current_versions
 from terrace.operators.keys import surrogate_key
 from terrace.operators.latest import latest_by_key, top_n_per_key
+from terrace.operators.project import renamed
 from terrace.queries.inputs import choose, crm_sales_details, customer_number, dirty_date, padded, table
 from terrace.queries.oracle import AMOUNT, CUSTOMER_NUMBER, DIRTY_DATE, PADDED, PARSED_DATE, PRICE, with_tables
 
@@ -30,11 +31,8 @@ def project_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_name"),
-        F.col("c_mktsegment").alias("market_segment"),
-    )
+    names = {"c_custkey": "customer_id", "c_name": "customer_name", "c_mktsegment": "market_segment"}
+    return renamed(table(spark, sf_dir, "customer"), names)
 
 
 def query_trim_text(spark: SparkSession, sf_dir: str) -> DataFrame:

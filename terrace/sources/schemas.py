@@ -44,6 +44,42 @@ SOURCES = {
     "erp_px_cat_g1v2": _schema("id string, cat string, subcat string, maintenance string"),
 }
 
+# Names of the silver columns in the star schema.
+CUSTOMER_NAMES = {
+    "cst_id": "customer_id",
+    "cst_key": "customer_number",
+    "cst_firstname": "first_name",
+    "cst_lastname": "last_name",
+    "cntry": "country",
+    "bdate": "birthdate",
+    "gender": "gender",
+    "cst_marital_status": "marital_status",
+    "cst_create_date": "create_date",
+}
+PRODUCT_NAMES = {
+    "prd_id": "product_id",
+    "prd_key": "product_number",
+    "prd_nm": "product_name",
+    "cat_id": "category_id",
+    "cat": "cat",
+    "subcat": "subcat",
+    "maintenance": "maintenance",
+    "prd_cost": "cost",
+    "prd_line": "product_line",
+    "prd_start_dt": "start_date",
+}
+SALES_NAMES = {
+    "sls_ord_num": "order_number",
+    "product_key": "product_key",
+    "customer_key": "customer_key",
+    "sls_order_dt": "order_date",
+    "sls_ship_dt": "shipping_date",
+    "sls_due_date": "due_date",
+    "sls_sales": "sales_amount",
+    "sls_quantity": "quantity",
+    "sls_price": "price",
+}
+
 # Columns of the star schema.
 GOLD = {
     "dim_customers": _schema(
