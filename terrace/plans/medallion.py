@@ -122,6 +122,7 @@ def run(
     as_of: dt.date | None = None,
     export_to: Connection | None = None,
     layers: Sequence[str] = ("bronze", "silver", "gold"),
+    fact_partition_by: tuple[str, ...] = (),
     parallel: int = 4,
 ) -> list[Audit]:
     """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded."""
@@ -131,7 +132,7 @@ def run(
     if "silver" in layers:
         steps.append(silver_loads(customer_tie_break, as_of))
     if "gold" in layers:
-        steps += gold_loads()
+        steps += gold_loads(fact_partition_by)
     if export_to is not None:
         steps.append(export_loads(export_to))
     audits = run_loads(warehouse, steps, parallel)

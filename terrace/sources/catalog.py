@@ -16,11 +16,11 @@ def register_parquet(
 ) -> None:
     """Make the Parquet folder known as external table ``database.table``.
 
-    A table with the same columns and folder only has its file list refreshed. Any other one
-    is dropped (its files stay) and created again, so that new columns become visible.
+    A table of the same columns, folder and layout only has its file list refreshed. Any other
+    one is dropped (its files stay) and created again, so that new columns become visible.
     """
     known = spark.catalog.tableExists(table)
-    if known and not _matches(spark, table, path, schema):
+    if known and not _matches(spark, table, path, schema, partition_by):
         spark.sql(f"DROP TABLE {table}")
         known = False
     if not known:
@@ -57,7 +57,11 @@ def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def _matches(spark: SparkSession, table: str, path: str, schema: T.StructType) -> bool:
+def _matches(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: tuple[str, ...]
+) -> bool:
+    if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != list(partition_by):
+        return False
     held = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
     if held != {f.name: f.dataType.simpleString() for f in schema.fields}:
         return False

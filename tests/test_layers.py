@@ -77,6 +77,9 @@ def test_layers_run_one_by_one_and_again(warehouse, source):
     for layer in ("bronze", "silver", "gold", "silver", "gold"):
         medallion.run(warehouse, source, ["cst_key"], layers=[layer])
     assert warehouse.read("gold", "fact_sales").count() == 3
+    plain = sorted(warehouse.read("gold", "fact_sales").collect())
+    medallion.run(warehouse, source, ["cst_key"], layers=["gold"], fact_partition_by=("order_date",))
+    assert sorted(warehouse.read("gold", "fact_sales").select(GOLD["fact_sales"].fieldNames()).collect()) == plain
 
 
 def test_failed_load_skips_only_its_dependants(spark, warehouse, source):
@@ -115,11 +118,13 @@ def test_new_columns_become_visible(spark, warehouse):
 
 
 def test_partitioned_table(spark, warehouse):
-    df = spark.range(200).select("id", F.date_add(F.lit(D(2020, 1, 1)), (F.col("id") % 4).cast("int")).alias("day"))
+    day = F.when(F.col("id") % 3 != 0, F.date_add(F.lit(D(2020, 1, 1)), (F.col("id") % 4).cast("int")))
+    df = spark.range(200).select("id", day.alias("day"), F.lit("x").alias("t"))
     for _ in range(2):
         assert warehouse.save("gold", "t", df, ("day",)) == 200
     found = warehouse.read("gold", "t")
-    assert sorted((r.id, r.day) for r in found.select("id", "day").collect()) == sorted((r.id, r.day) for r in df.collect())
+    assert {(r.id, r.day) for r in found.collect()} == {(r.id, r.day) for r in df.collect()}
+    assert found.where("day IS NULL").count() == 67
     plan = found.where(F.col("day") == D(2020, 1, 2))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
 

@@ -196,9 +196,10 @@ def test_keyless_rows_are_spread(spark):
     assert sum(sizes) == 8000 and max(sizes) < 4000
 
 
-def final_plan(df):
+def skew_splits(df):
+    """Number of joins that split a partition when the query ran."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Join(skew=true)")
 
 
 @pytest.fixture
@@ -210,6 +211,7 @@ def small_skew_limits(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     }
     for name, value in settings.items():
         spark.conf.set(name, value)
@@ -223,15 +225,17 @@ def test_dominating_key_is_split_in_lookups(spark, skewed, small_skew_limits):
     right = spark.range(300).select(F.col("id").cast("int").alias("r"), F.lit("x").alias("t"))
     once = left_lookup(wide, right, "k", "r", ["t"], ["id"])
     twice = left_lookup(once, right.withColumnRenamed("t", "u"), "k", "r", ["u"], ["id"])
-    assert final_plan(twice).split("Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
+    assert skew_splits(twice) == 2
     assert twice.count() == skewed.count()
 
 
-def test_dominating_version_start_is_split(spark, skewed, small_skew_limits):
+@pytest.mark.parametrize("hash_join_limit", ["0", "64m"])
+def test_dominating_version_start_is_split(spark, skewed, small_skew_limits, hash_join_limit):
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", hash_join_limit)
     df = skewed.select("k", F.lit(dt.date(2020, 1, 1)).alias("s"), "id").repartition(12)
     df = df.withColumn("text", F.sha2(F.col("id").cast("string"), 512))
     closed = close_versions(df, "k", "s", "e", ["id"])
-    assert "SortMergeJoin(skew=true)" in final_plan(closed).split("Initial Plan")[0]
+    assert skew_splits(closed) == 1
     assert bag(closed) == bag(versions_by_window(df))
 
 
