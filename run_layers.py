@@ -29,7 +29,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument(
         "--parallel-by", nargs="*", default=[], metavar="TABLE:COLUMN:READS", help="tables to read in several parts"
     )
-    parser.add_argument("--layers", nargs="+", default=["bronze", "silver", "gold"], choices=["bronze", "silver", "gold"])
+    layers = ["bronze", "silver", "gold"]
+    parser.add_argument("--layers", nargs="+", default=layers, choices=layers)
     parser.add_argument("--newest-last", nargs="+", help="tie-break of customer records, descending")
     parser.add_argument("--export", action="store_true", help="copy the gold tables to the database")
     parser.add_argument("--hive", action="store_true", help="register the tables in the Hive catalog")

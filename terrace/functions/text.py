@@ -23,7 +23,8 @@ def product_part(key: Column) -> Column:
 
 def strip_prefix(value: Column, prefix: str) -> Column:
     """``value`` without a leading ``prefix``; other values and NULL stay as they are."""
-    return F.when(value.startswith(prefix), F.substring(value, F.lit(len(prefix) + 1), F.length(value))).otherwise(value)
+    rest = F.substring(value, F.lit(len(prefix) + 1), F.length(value))
+    return F.when(value.startswith(prefix), rest).otherwise(value)
 
 
 def strip_separators(value: Column, separators: str = "-") -> Column:

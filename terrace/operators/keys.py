@@ -33,16 +33,19 @@ def with_position(
     """Add 1..n in the given order, computed by all tasks.
 
     1. The rows are written once, which gives each of them a stable physical id, and counted
-       from the file footers. With ``stored``, ``df`` is a scan of Parquet files already.
-    2. They are range-partitioned by ``order_by`` plus that id, sorted per partition and written
-       with their number inside the partition. Because of the id, equal rows spread over
+       from the file footers. With ``stored``, ``df`` is a scan of Parquet files already. Up to
+       ``ROWS_PER_RANGE`` rows are numbered by one task.
+    2. More rows are range-partitioned by ``order_by`` plus that id, sorted per partition and
+       written with their number inside the partition. Because of the id, equal rows spread over
        several partitions too.
     3. The sizes of the partitions are summed up and broadcast: one row per ``ROWS_PER_RANGE``
        rows, and never more than ``MOST_RANGES`` rows.
     """
-    sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
     rows = df if stored else stage(df, "rows")
-    ranges = max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))
+    ranges = _ranges(rows)
+    if ranges == 1:
+        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
+    sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
     placed = stage(
         with_row_id(rows)
         .repartitionByRange(ranges, *sort)
@@ -72,15 +75,24 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], name: str, st
 
 
 def rank_in_group(
-    df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], name: str
+    df: DataFrame, group: Sequence[str], order_by: Sequence[str | Column], name: str, stored: bool = False
 ) -> DataFrame:
     """Add 1..n per group in the given order; a group of any size is shared by many tasks.
 
-    The first position of each group is written before it is joined back, so Spark knows its
-    size: it is broadcast if small, and joined by a shuffle that splits large groups if not.
+    Up to ``ROWS_PER_RANGE`` rows in all are ranked by a window. Of more, the first position of
+    each group is written before it is joined back, so Spark knows its size: it is broadcast if
+    small, and joined by a shuffle that splits large groups if not.
     """
-    placed = with_position(df, [*group, *order_by], _POSITION)
+    rows = df if stored else stage(df, "rows")
+    if _ranges(rows) == 1:
+        by_group = Window.partitionBy(*group).orderBy(*order_by)
+        return rows.withColumn(name, F.row_number().over(by_group).cast("bigint"))
+    placed = with_position(rows, [*group, *order_by], _POSITION, stored=True)
     keys = [F.col(c).alias(f"_group_{i}") for i, c in enumerate(group)]
     first = stage(placed.groupBy(*keys).agg(F.min(_POSITION).alias(_FIRST)), "groups")
     same = [F.col(c).eqNullSafe(F.col(f"_group_{i}")) for i, c in enumerate(group)]
     return placed.join(first, same).select(*df.columns, (F.col(_POSITION) - F.col(_FIRST) + 1).alias(name))
+
+
+def _ranges(rows: DataFrame) -> int:
+    return max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))

@@ -67,8 +67,9 @@ def left_lookup(
         left = left.join(hot, F.col(left_key) == F.col("_hot"), "left")
         spread = spread | F.col("_hot").isNotNull()
         every = F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))
+        homes = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(home))
         picked = picked.join(hot, F.col("_key") == F.col("_hot"), "left").select(
-            "_key", *columns, F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(home))).alias("_home")
+            "_key", *columns, F.explode(homes).alias("_home")
         )
     left = left.withColumn(_SLOT, F.when(spread, slot).otherwise(0))
     return left.join(picked, same & (F.col(_SLOT) == F.col("_home")), "left").select(*output)

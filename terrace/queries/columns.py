@@ -61,7 +61,8 @@ def standardize_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_product_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.concat(F.lit(" "), F.lower(F.substring("p_type", 1, 1)), F.lit(" "))
-    return table(spark, sf_dir, "part").select("p_partkey", codes.decode(code, codes.PRODUCT_LINE).alias("product_line"))
+    line = codes.decode(code, codes.PRODUCT_LINE)
+    return table(spark, sf_dir, "part").select("p_partkey", line.alias("product_line"))
 
 
 def standardize_country(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,11 +231,11 @@ QUERIES = {
     "standardize_country": (
         standardize_country,
         _coded(
-            "customer", "c_custkey, c_nationkey", _cases("c_nationkey", "DE", " US", "USA ", "", None, " France ", "us"),
+            "customer", "c_custkey", _cases("c_nationkey", "DE", " US", "USA ", "", None, " France ", "us"),
             "CASE WHEN trim(code) = 'DE' THEN 'Germany' WHEN trim(code) IN ('US', 'USA') THEN 'United States' "
             "WHEN code IS NULL OR trim(code) = '' THEN 'n/a' ELSE trim(code) END",
             "country",
-        ).replace("SELECT c_custkey, c_nationkey, CASE WHEN", "SELECT c_custkey, CASE WHEN", 1),
+        ),
     ),
     "prefer_source": (
         prefer_source,

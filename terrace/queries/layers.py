@@ -81,8 +81,10 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_loads(warehouse, [[Load("bronze", n, lambda _, n=n: table(spark, sf_dir, n)) for n in names]])
     listed = catalog.tables(spark, f"{warehouse.prefix}bronze")
     counts = [
-        warehouse.read("bronze", n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("name"), "row_count")
-        for n in names
+        warehouse.read("bronze", name)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("name"), "row_count")
+        for name in names
     ]
     counted = counts[0].union(counts[1]).union(counts[2])
     return listed.join(counted, F.col("table_name") == F.col("name"), "left").select("table_name", "row_count")
@@ -93,9 +95,9 @@ def read_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = new_warehouse(spark)
     warehouse.save("silver", "supplier", table(spark, sf_dir, "supplier"))
     files.overwrite_parquet(table(spark, sf_dir, "customer"), warehouse.path("silver", "customer"))
-    supplier = warehouse.read("silver", "supplier").select(F.lit("catalog").alias("origin"), F.col("s_name").alias("name"))
-    return supplier.union(
-        warehouse.read("silver", "customer").select(F.lit("files").alias("origin"), F.col("c_name").alias("name"))
+    supplier, customer = warehouse.read("silver", "supplier"), warehouse.read("silver", "customer")
+    return supplier.select(F.lit("catalog").alias("origin"), F.col("s_name").alias("name")).union(
+        customer.select(F.lit("files").alias("origin"), F.col("c_name").alias("name"))
     )
 
 
@@ -107,7 +109,8 @@ def range_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.preview(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_orderkey"])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return catalog.preview(orders, ["o_orderkey"])
 
 
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +204,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _counts(layer: str, names: dict[str, str]) -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT count(*) FROM {source}) AS row_count, 'ok' AS status"
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT count(*) FROM {source}) AS row_count, "
+        "'ok' AS status"
         for name, source in names.items()
     )
 

@@ -74,7 +74,9 @@ def test_top_n(skewed, n):
     assert bag(top_n_per_key(skewed, "k", [F.col("v").desc(), F.col("id")], n)) == bag(plain)
 
 
-def test_position_equals_global_row_number(skewed):
+@pytest.mark.parametrize("rows_per_range", [100, 1_000_000])
+def test_position_equals_global_row_number(skewed, monkeypatch, rows_per_range):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", rows_per_range)
     order = [F.col("k").desc(), F.col("v"), F.col("id")]
     plain = skewed.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     assert bag(with_position(skewed, order)) == bag(plain)
@@ -111,11 +113,14 @@ def test_surrogate_key_is_gap_free_and_ordered(spark, rows):
     assert [r[1:] for r in found] == in_order
 
 
-def test_rank_in_group(skewed):
+@pytest.mark.parametrize("rows_per_range", [100, 1_000_000])
+def test_rank_in_group(skewed, monkeypatch, rows_per_range):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", rows_per_range)
     plain = skewed.withColumn(
         "place", F.row_number().over(Window.partitionBy("k").orderBy(F.col("v").desc(), "id")).cast("bigint")
     )
     assert bag(rank_in_group(skewed, ["k"], [F.col("v").desc(), "id"], "place")) == bag(plain)
+    assert bag(rank_in_group(skewed, ["k"], [F.col("v").desc(), "id"], "place", stored=True)) == bag(plain)
 
 
 def versions_by_window(df):

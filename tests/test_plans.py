@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from terrace.operators import keys
 from terrace.operators.history import close_versions, current_versions
 from terrace.operators.keys import surrogate_key
 from terrace.operators.latest import latest_by_key
@@ -44,7 +45,8 @@ def test_versions_combine_before_the_shuffle(spark, no_broadcast):
     assert re.search(r"Exchange hashpartitioning\(coalesce\(user_id#\d+L, 0\).*coalesce\(s#", text)
 
 
-def test_surrogate_key_scans_only_positions_for_the_offsets(spark):
+def test_surrogate_key_scans_only_positions_for_the_offsets(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 50)
     text = plan(surrogate_key(table(spark, SF_DIR, "customer"), ["c_custkey"], "key"))
     assert text.count("SinglePartition") == 1
     assert "ReadSchema: struct<_position:bigint>" in text
