@@ -50,6 +50,9 @@ class Warehouse:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{layer}_{name}"
 
+    def create_database(self, layer: str) -> None:
+        create_database(self.spark, f"{self.prefix}{layer}", f"{self.root}/{layer}")
+
     def read(self, layer: str, name: str) -> DataFrame:
         return read_or_fallback(self.spark, self.table(layer, name), self.path(layer, name))
 
@@ -60,7 +63,7 @@ class Warehouse:
         if partition_by:
             df = df.hint("rebalance", *partition_by)  # few files per folder, large folders split
         overwrite_parquet(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, partition_by)
-        create_database(self.spark, f"{self.prefix}{layer}", f"{self.root}/{layer}")
+        self.create_database(layer)
         register_parquet(self.spark, self.table(layer, name), path, df.schema, partition_by)
         return counted.get["rows"]
 
@@ -88,6 +91,8 @@ def run_loads(warehouse: Warehouse, steps: Iterable[Sequence[Load]], parallel: i
     """
     audits: list[Audit] = []
     for step in steps:
+        for layer in {load.layer for load in step if load.sink is None}:
+            warehouse.create_database(layer)  # once, not by each of the threads below
         bad = {f"{a.layer}.{a.table_name}" for a in audits if a.status != "ok"}
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             audits += pool.map(lambda load: _run(warehouse, load, bad), step)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import threading
 import uuid
@@ -24,9 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="terrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"terrace-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -17,7 +17,7 @@ from terrace.operators.keys import rank_in_group, surrogate_key, with_position,
 from terrace.operators.latest import latest_by_key, top_n_per_key
 from terrace.operators.lookup import DuplicateKeys, hot_keys, left_lookup, require_unique
 from terrace.operators.quality import in_range, not_before, not_null, references, report, row_checks, unique
-from terrace.staging import stage, staged_until_end
+from terrace.staging import shared_dir, stage, staged_until_end
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -289,3 +289,19 @@ def test_quality_report_on_no_rows(spark):
     df = spark.createDataFrame([], "k int")
     found = report(row_checks(df, "t", [not_null("k")]), unique(df, "t", "k"), references(df, "t", "k", df, "k"))
     assert [(r.checked_rows, r.failed_rows) for r in found.collect()] == [(0, 0)] * 3
+
+
+class FakeSession:
+    """Just the settings that decide on the shared folder."""
+
+    def __init__(self, master, configured=None):
+        self.conf = {"spark.checkpoint.dir": configured}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+
+def test_shared_folder():
+    assert shared_dir(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = shared_dir(FakeSession("local[2]"))
+    assert os.path.isdir(local) and shared_dir(FakeSession("local[2]")) == local
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession("yarn"))
