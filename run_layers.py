@@ -32,6 +32,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     layers = ["bronze", "silver", "gold"]
     parser.add_argument("--layers", nargs="+", default=layers, choices=layers)
     parser.add_argument("--newest-last", nargs="+", help="tie-break of customer records, descending")
+    parser.add_argument("--reports", action="store_true", help="add the flat and the aggregated tables")
     parser.add_argument("--export", action="store_true", help="copy the gold tables to the database")
     parser.add_argument("--hive", action="store_true", help="register the tables in the Hive catalog")
     return parser.parse_args(arguments)
@@ -57,7 +58,7 @@ def main(arguments: list[str]) -> int:
     try:
         audits = medallion.run(
             Warehouse(spark, given.root), source, tie_break,
-            export_to=connection if given.export else None, layers=given.layers,
+            export_to=connection if given.export else None, layers=given.layers, with_reports=given.reports,
         )
     except LoadFailed as failed:
         audits, status = failed.audits, 1

@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from terrace.operators.keys import ROW_ID, with_row_id
-from terrace.plans import gold, silver
+from terrace.plans import gold, marts, silver
 from terrace.plans.load import Audit, Load, LoadFailed, Warehouse, run_loads
 from terrace.sources.jdbc import Connection, overwrite_table, read_table
 from terrace.sources.schemas import GOLD, SOURCES, conform
@@ -83,6 +83,25 @@ def gold_loads(fact_partition_by: tuple[str, ...] = ()) -> list[list[Load]]:
     return [dimensions, [fact]]
 
 
+def report_loads() -> list[Load]:
+    """The flat and the aggregated tables, from the written star schema."""
+    builds: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
+        "flat_sales": marts.flat_sales,
+        "agg_sales_rollup": lambda fact, products, _: marts.agg_sales_rollup(fact, products),
+        "customer_segments": lambda fact, _, customers: marts.customer_segments(fact, customers),
+        "product_performance": lambda fact, products, _: marts.product_performance(fact, products),
+        "sales_trend": lambda fact, *_: marts.sales_trend(fact),
+        "seasonal_index": lambda fact, *_: marts.seasonal_index(fact),
+        "seasonal_forecast": lambda fact, products, _: marts.seasonal_forecast(fact, products),
+    }
+
+    def build(warehouse: Warehouse, name: str) -> DataFrame:
+        return builds[name](*(warehouse.read("gold", n) for n in ("fact_sales", "dim_products", "dim_customers")))
+
+    needs = ("gold.fact_sales", "gold.dim_products", "gold.dim_customers")
+    return [Load("gold", name, lambda w, name=name: build(w, name), needs) for name in builds]
+
+
 def export_loads(connection: Connection, schema: str = "gold", partitions: int = 8) -> list[Load]:
     """Copies of the gold tables in a database, read from the written files."""
 
@@ -123,9 +142,13 @@ def run(
     export_to: Connection | None = None,
     layers: Sequence[str] = ("bronze", "silver", "gold"),
     fact_partition_by: tuple[str, ...] = (),
+    with_reports: bool = False,
     parallel: int = 4,
 ) -> list[Audit]:
-    """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded."""
+    """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded.
+
+    ``with_reports`` adds the flat and the aggregated tables to the gold layer.
+    """
     steps: list[list[Load]] = []
     if "bronze" in layers:
         steps.append(bronze_loads(source))
@@ -133,6 +156,8 @@ def run(
         steps.append(silver_loads(customer_tie_break, as_of))
     if "gold" in layers:
         steps += gold_loads(fact_partition_by)
+    if with_reports:
+        steps.append(report_loads())
     if export_to is not None:
         steps.append(export_loads(export_to))
     audits = run_loads(warehouse, steps, parallel)

@@ -7,17 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.quality import (
-    in_range,
-    not_before,
-    not_null,
-    references,
-    report,
-    row_checks,
-    unique,
-)
-from terrace.operators.history import current_versions
 from terrace.plans import gold, medallion, silver
+from terrace.plans.checks import warehouse_report
 from terrace.plans.load import Audit, Load, Warehouse, audit_table, run_loads
 from terrace.queries.inputs import AS_OF, SOURCES, table
 from terrace.queries.oracle import with_tables
@@ -179,27 +170,7 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules on the tables of the warehouse, before and after cleaning."""
-    warehouse = warehouse_of(spark, sf_dir)
-    customers = warehouse.read("bronze", "crm_cust_info")
-    products = warehouse.read("silver", "crm_prd_info")
-    sales = warehouse.read("bronze", "crm_sales_details")
-    return report(
-        row_checks(customers, "crm_cust_info", [not_null("cst_id"), not_null("cst_gender")]),
-        unique(customers, "crm_cust_info", "cst_id"),
-        row_checks(
-            products,
-            "crm_prd_info",
-            [not_null("prd_start_dt"), in_range("prd_cost", 1, 1000), not_before("prd_end_dt", "prd_start_dt")],
-        ),
-        unique(current_versions(products, "prd_end_dt"), "current crm_prd_info", "prd_key"),
-        row_checks(
-            sales, "crm_sales_details",
-            [not_null("sls_cust_id"), in_range("sls_order_dt", 19000101, 20991231), in_range("sls_price", 1, 1000000)],
-        ),
-        references(sales, "crm_sales_details", "sls_prd_key", products, "prd_key"),
-        references(sales, "crm_sales_details", "sls_cust_id", customers, "cst_id"),
-    )
+    return warehouse_report(warehouse_of(spark, sf_dir))
 
 
 def _counts(layer: str, names: dict[str, str]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from terrace.operators.lookup import DuplicateKeys
 from terrace.plans import gold, medallion, silver
+from terrace.plans.checks import warehouse_report
 from terrace.plans.load import AUDIT_SCHEMA, Load, LoadFailed, Warehouse, audit_table, run_loads
 from terrace.queries.layers import new_warehouse
 from terrace.sources import catalog, files, jdbc
@@ -82,6 +83,21 @@ def test_layers_run_one_by_one_and_again(warehouse, source):
     assert sorted(warehouse.read("gold", "fact_sales").select(GOLD["fact_sales"].fieldNames()).collect()) == plain
 
 
+def test_reports_become_gold_tables(warehouse, source):
+    audits = medallion.run(warehouse, source, with_reports=True)
+    rows = {a.table_name: a.row_count for a in audits if a.layer == "gold"}
+    assert rows == {
+        "dim_customers": 2, "dim_products": 2, "fact_sales": 3, "flat_sales": 3, "agg_sales_rollup": 5,
+        "customer_segments": 2, "product_performance": 2, "sales_trend": 1, "seasonal_index": 1,
+        "seasonal_forecast": 12,
+    }
+    flat = warehouse.read("gold", "flat_sales").where("order_number = 'SO1'").first()
+    assert (flat.product_name, flat.country, flat.sales_amount) == ("Helmet", "Germany", 20)
+    found = {(r.rule, r.column_name): r.failed_rows for r in warehouse_report(warehouse).collect()}
+    assert found["not_null", "cst_id"] == 1 and found["unique", "cst_id"] == 1
+    assert found["references", "sls_prd_key"] == 1 and found["references", "sls_cust_id"] == 1
+
+
 def test_failed_load_skips_only_its_dependants(spark, warehouse, source):
     def broken(name):
         if name == "erp_loc_a101":
