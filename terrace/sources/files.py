@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from terrace.sources import folders
+
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Scan of a Parquet folder; with a schema no footer is read for planning."""
@@ -13,11 +15,17 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace the folder by ``df``. ``df`` must not read from ``path``: the old files go first."""
+    """Replace the folder by ``df``, which may read from it.
+
+    The rows go to a new folder beside it, which takes its place once it is complete. If the
+    write fails, the old files are still there.
+    """
+    fresh = f"{path.rstrip('/')}__loading"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(fresh)
+    folders.replace(df.sparkSession, fresh, path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

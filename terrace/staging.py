@@ -11,6 +11,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.sources import folders
+
 _open = threading.local()
 
 
@@ -64,7 +66,5 @@ def staged_until_end(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         paths, _open.paths = _open.paths, outer
-        configuration = spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(configuration).delete(folder, True)
+            folders.delete(spark, path)

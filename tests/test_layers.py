@@ -127,6 +127,20 @@ def test_save_counts_and_replaces(spark, warehouse):
     assert warehouse.read("silver", "t").count() == 0
 
 
+def test_a_failed_write_keeps_the_old_rows(spark, warehouse):
+    warehouse.save("silver", "t", spark.range(5))
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")).alias("id"))
+    audits = run_loads(warehouse, [[Load("silver", "t", lambda _: bad)]])
+    assert audits[0].status == "failed" and "bad row" in audits[0].message
+    assert warehouse.read("silver", "t").count() == 5
+
+
+def test_a_table_can_be_built_from_itself(spark, warehouse):
+    warehouse.save("silver", "t", spark.range(5))
+    warehouse.save("silver", "t", warehouse.read("silver", "t").where("id > 1"))
+    assert warehouse.read("silver", "t").count() == 3
+
+
 def test_new_columns_become_visible(spark, warehouse):
     warehouse.save("silver", "t", spark.range(3))
     warehouse.save("silver", "t", spark.range(3).withColumn("more", F.lit("x")))
