@@ -22,9 +22,9 @@ _LOW_BITS = 33  # monotonically_increasing_id(): row number in the lower 33 bits
 def with_row_id(scan: DataFrame) -> DataFrame:
     """Add a column that tells the physical rows of a Parquet scan apart, copies included.
 
-    It is derived from file name and row index, so a repeated task finds the same values.
+    It is derived from file path and row index, so a repeated task finds the same values.
     """
-    return scan.select("*", F.xxhash64("_metadata.file_name", "_metadata.row_index").alias(ROW_ID))
+    return scan.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(ROW_ID))
 
 
 def with_position(

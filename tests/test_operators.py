@@ -153,6 +153,13 @@ def test_versions_of_copies(spark):
     assert bag(closed) == bag(versions_by_window(df.drop("_row_id")))
 
 
+def test_row_ids_differ_between_folders_of_one_table(spark, tmp_path):
+    path = str(tmp_path / "folders")
+    rows = spark.range(90).select((F.col("id") % 3).alias("part"), F.lit(1).alias("v")).coalesce(1)
+    rows.write.partitionBy("part").parquet(path)
+    assert with_row_id(spark.read.parquet(path)).select("_row_id").distinct().count() == 90
+
+
 @QUICK
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 40)), min_size=1, max_size=40, unique=True))
 def test_versions_neither_overlap_nor_leave_gaps(spark, rows):
