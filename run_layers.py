@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     layers = ["bronze", "silver", "gold"]
     parser.add_argument("--layers", nargs="+", default=layers, choices=layers)
     parser.add_argument("--newest-last", nargs="+", help="tie-break of customer records, descending")
+    parser.add_argument("--as-of", type=dt.date.fromisoformat, help="last valid birth date; by default today")
+    parser.add_argument("--hot-share", type=float, help="salt fact keys that hold more than this share of the rows")
     parser.add_argument("--reports", action="store_true", help="add the flat and the aggregated tables")
     parser.add_argument("--export", action="store_true", help="copy the gold tables to the database")
     parser.add_argument("--hive", action="store_true", help="register the tables in the Hive catalog")
@@ -57,8 +60,14 @@ def main(arguments: list[str]) -> int:
     status = 0
     try:
         audits = medallion.run(
-            Warehouse(spark, given.root), source, tie_break,
-            export_to=connection if given.export else None, layers=given.layers, with_reports=given.reports,
+            Warehouse(spark, given.root),
+            source,
+            tie_break,
+            as_of=given.as_of,
+            export_to=connection if given.export else None,
+            layers=given.layers,
+            hot_share=given.hot_share,
+            with_reports=given.reports,
         )
     except LoadFailed as failed:
         audits, status = failed.audits, 1

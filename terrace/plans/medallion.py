@@ -53,8 +53,13 @@ def silver_loads(
     ]
 
 
-def gold_loads(fact_partition_by: tuple[str, ...] = ()) -> list[list[Load]]:
-    """Both dimensions, then the fact, which reads the written dimensions."""
+def gold_loads(
+    fact_partition_by: tuple[str, ...] = (), hot_share: float | None = None
+) -> list[list[Load]]:
+    """Both dimensions, then the fact, which reads the written dimensions.
+
+    ``hot_share`` as in :func:`terrace.operators.lookup.left_lookup`.
+    """
     dimensions = [
         Load(
             "gold",
@@ -75,7 +80,10 @@ def gold_loads(fact_partition_by: tuple[str, ...] = ()) -> list[list[Load]]:
         "gold",
         "fact_sales",
         lambda w: gold.fact_sales(
-            w.read("silver", "crm_sales_details"), w.read("gold", "dim_products"), w.read("gold", "dim_customers")
+            w.read("silver", "crm_sales_details"),
+            w.read("gold", "dim_products"),
+            w.read("gold", "dim_customers"),
+            hot_share,
         ),
         ("silver.crm_sales_details", "gold.dim_products", "gold.dim_customers"),
         partition_by=fact_partition_by,
@@ -142,12 +150,13 @@ def run(
     export_to: Connection | None = None,
     layers: Sequence[str] = ("bronze", "silver", "gold"),
     fact_partition_by: tuple[str, ...] = (),
+    hot_share: float | None = None,
     with_reports: bool = False,
     parallel: int = 4,
 ) -> list[Audit]:
     """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded.
 
-    ``with_reports`` adds the flat and the aggregated tables to the gold layer.
+    ``fact_partition_by`` and ``hot_share`` shape the load of the fact; ``with_reports`` adds the flat and the aggregated tables to the gold layer.
     """
     steps: list[list[Load]] = []
     if "bronze" in layers:
@@ -155,7 +164,7 @@ def run(
     if "silver" in layers:
         steps.append(silver_loads(customer_tie_break, as_of))
     if "gold" in layers:
-        steps += gold_loads(fact_partition_by)
+        steps += gold_loads(fact_partition_by, hot_share)
     if with_reports:
         steps.append(report_loads())
     if export_to is not None:

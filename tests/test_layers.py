@@ -79,7 +79,7 @@ def test_layers_run_one_by_one_and_again(warehouse, source):
         medallion.run(warehouse, source, ["cst_key"], layers=[layer])
     assert warehouse.read("gold", "fact_sales").count() == 3
     plain = sorted(warehouse.read("gold", "fact_sales").collect())
-    medallion.run(warehouse, source, ["cst_key"], layers=["gold"], fact_partition_by=("order_date",))
+    medallion.run(warehouse, source, ["cst_key"], layers=["gold"], fact_partition_by=("order_date",), hot_share=0.3)
     assert sorted(warehouse.read("gold", "fact_sales").select(GOLD["fact_sales"].fieldNames()).collect()) == plain
 
 
@@ -361,5 +361,6 @@ def test_custom_load(spark, warehouse):
 def test_command_line():
     import run_layers
 
-    given = run_layers.parse(["--root", "/data", "--layers", "silver", "--parallel-by", "a:b:4"])
+    given = run_layers.parse(["--root", "/data", "--layers", "silver", "--parallel-by", "a:b:4", "--as-of", "2024-01-31"])
+    assert given.as_of == D(2024, 1, 31)
     assert (given.root, given.layers, given.parallel_by, given.export) == ("/data", ["silver"], ["a:b:4"], False)
