@@ -54,5 +54,5 @@ def fact_sales(
     """Order lines with the keys of both dimensions; lines without a match keep NULL keys."""
     spread_by = ["sls_ord_num", "sls_ship_dt", "sls_quantity", "sls_price"]
     joined = left_lookup(sales, products, "sls_prd_key", "product_number", ["product_key"], spread_by, hot_share)
-    joined = left_lookup(joined, customers, "sls_cust_id", "customer_id", ["customer_key"], spread_by, hot_share)
+    joined = left_lookup(joined, customers, "sls_cust_id", "customer_id", ["customer_key"], spread_by, hot_share, sales)
     return renamed(joined, SALES_NAMES)

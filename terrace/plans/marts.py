@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terrace.operators.keys import rank_in_group
 from terrace.operators.lookup import left_lookup
 
-_SPREAD_BY = ["order_number", "shipping_date", "quantity", "price"]
+_SPREAD_BY = ["order_number", "quantity"]  # columns that the reports read anyway
 _CUSTOMER_COLUMNS = [
     "customer_number", "first_name", "last_name", "country", "birthdate", "gender", "marital_status"
 ]

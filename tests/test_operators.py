@@ -187,6 +187,13 @@ def test_left_lookup(spark, skewed, options, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_left_lookup_does_not_depend_on_where_keys_are_counted(spark, skewed):
+    right = spark.createDataFrame([(1, "hot"), (2, "two"), (3, "three")], "r int, t string")
+    plain = skewed.join(right, skewed.k == right.r, "left").select("k", "v", "id", "t")
+    for counted in (skewed.where("k = 2"), skewed.where("k = 1"), skewed.where("false")):
+        assert bag(left_lookup(skewed, right, "k", "r", ["t"], ["id"], 0.2, counted)) == bag(plain)
+
+
 def test_left_lookup_keeps_rows_of_unique_keys(spark, skewed):
     right = skewed.where("k is not null").select(F.col("k").alias("r")).distinct().withColumn("t", F.lit(1))
     assert left_lookup(skewed, right, "k", "r", ["t"], ["id"]).count() == skewed.count()

@@ -113,3 +113,14 @@ def test_reports_reduce_the_fact_before_the_join(spark, no_broadcast):
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "sales_amount" in line)
     exchanges = [i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(product_key" in line]
     assert exchanges and any("partial_sum" in line for line in lines[exchanges[-1] : scan])
+
+
+def test_reports_read_only_what_they_need(spark, no_broadcast):
+    warehouse = layers.warehouse_of(spark, SF_DIR)
+    fact, products = warehouse.read("gold", "fact_sales"), warehouse.read("gold", "dim_products")
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(marts.agg_sales_rollup(fact, products)))
+    columns = [{c.split(":")[0] for c in schema.split(",")} for schema in schemas]
+    assert {"order_number", "product_key", "order_date", "sales_amount", "quantity"} in columns
+    assert {"product_key", "cat"} in columns
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(marts.sales_trend(fact)))
+    assert schemas == ["order_date:date,sales_amount:bigint"]
