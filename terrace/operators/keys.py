@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from terrace.staging import stage
@@ -43,9 +43,9 @@ def with_position(
     """
     rows = df if stored else stage(df, "rows")
     ranges = _ranges(rows)
-    if ranges == 1:
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
     sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
+    if ranges == 1:
+        return _numbered(rows, Window.orderBy(*sort), name)
     placed = stage(
         with_row_id(rows)
         .repartitionByRange(ranges, *sort)
@@ -85,8 +85,7 @@ def rank_in_group(
     """
     rows = df if stored else stage(df, "rows")
     if _ranges(rows) == 1:
-        by_group = Window.partitionBy(*group).orderBy(*order_by)
-        return rows.withColumn(name, F.row_number().over(by_group).cast("bigint"))
+        return _numbered(rows, Window.partitionBy(*group).orderBy(*order_by, ROW_ID), name)
     placed = with_position(rows, [*group, *order_by], _POSITION, stored=True)
     keys = [F.col(c).alias(f"_group_{i}") for i, c in enumerate(group)]
     first = stage(placed.groupBy(*keys).agg(F.min(_POSITION).alias(_FIRST)), "groups")
@@ -94,5 +93,10 @@ def rank_in_group(
     return placed.join(first, same).select(*df.columns, (F.col(_POSITION) - F.col(_FIRST) + 1).alias(name))
 
 
+def _numbered(rows: DataFrame, window: WindowSpec, name: str) -> DataFrame:
+    number = F.row_number().over(window).cast("bigint")
+    return with_row_id(rows).select(*rows.columns, number.alias(name))
+
+
 def _ranges(rows: DataFrame) -> int:
     return max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))

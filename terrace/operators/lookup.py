@@ -44,8 +44,8 @@ def left_lookup(
     Rows without a match get NULL; a key that is not unique on the right multiplies rows.
 
     Spark chooses the join by size: it broadcasts only a side that it knows to be small, and
-    otherwise splits skewed partitions of a sort-merge join at run time. Two additions cover
-    what is known beforehand. With ``spread_by``, rows without a key, which never match, go to
+    otherwise splits skewed partitions of a shuffled join at run time. Two additions cover what
+    is known beforehand. With ``spread_by``, rows without a key, which never match, go to
     all shuffle partitions by a hash of these columns. With ``hot_share``, keys above this share
     of the left rows are counted first, their left rows spread the same way, and only their
     right rows repeated once per slot. The count runs over ``count_in``, which spares computing

@@ -90,6 +90,14 @@ def test_position_of_copies(spark):
     assert [r.k for r in found] == [None] * 300 + [1] * 500 + [2]
 
 
+@pytest.mark.parametrize("rows_per_range", [100, 1_000_000])
+def test_keys_of_ties_do_not_change_between_reads(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", rows_per_range)
+    df = spark.range(2000).select(F.lit(1).alias("k"), "id").repartition(7)
+    keyed = surrogate_key(df, ["k"], "key")
+    assert bag(keyed) == bag(keyed.repartition(3)) == bag(keyed.where("key > 0"))
+
+
 def test_copies_are_spread_over_ranges(spark):
     """One row repeated: no range holds much more than its share."""
     df = spark.range(8000).select(F.lit(1).alias("k"))
