@@ -27,7 +27,7 @@ def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     told apart by 64-bit hashes. The two joins can be split at run time: one row per window on one
     side, and one row per document on the other.
     """
-    read = _with_windows(docs, id, text)
+    read = _with_windows(_placed(docs, id, text))
     # Outer: an inner explode filters the texts by the lists to come, and so computes them twice.
     first = (
         read.select("_place", F.explode_outer(F.array_distinct("_windows")).alias("_hash"))
@@ -46,7 +46,9 @@ def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     )
     none = F.array().cast("array<int>")
     starts = F.concat(F.coalesce("_later", none), _repeats_inside())
-    marked = read.join(later, F.col("_place") == F.col("_later_place"), "left").withColumn("_starts", starts)
+    # Only the rows themselves are shuffled; lines and windows are cut again behind the join.
+    joined = _placed(docs, id, text).join(later, F.col("_place") == F.col("_later_place"), "left")
+    marked = _with_windows(joined, "_later").withColumn("_starts", starts)
     covered = F.flatten(F.transform("_starts", lambda i: F.sequence(i, i + (WINDOW - 1))))
     removed = F.array_distinct(F.transform(covered, lambda i: F.get("_solid", i)["at"]))
     marked = marked.withColumn("_removed", F.when(F.size("_starts") > 0, removed).otherwise(none))
@@ -66,14 +68,17 @@ def cleaned_documents(docs: DataFrame) -> DataFrame:
     return without_repeated_lines(docs).select(*(fresh.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
-def _with_windows(docs: DataFrame, id: str, text: str) -> DataFrame:
-    lines = F.split("_text", "\n")
+def _placed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    return aside(docs, _place=_place(F.col(id), text_of(text))).withColumn("_given", F.col("_row")[text])
+
+
+def _with_windows(placed: DataFrame, *more: str) -> DataFrame:
+    lines = F.split(text_of("_given"), "\n")
     numbered = F.transform("_lines", lambda line, i: F.struct(line.alias("line"), i.alias("at")))
     solid = F.filter(numbered, lambda x: x["line"].rlike(BLANK.replace("[", "[^")))
     windows = F.transform(F.sequence(F.lit(1), F.size("_solid") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_solid.line", i, WINDOW)))
     return (
-        aside(docs, _given=F.col(text), _text=text_of(text), _place=_place(F.col(id), text_of(text)))
-        .withColumn("_lines", lines)
+        placed.select("_row", "_given", "_place", *more, lines.alias("_lines"))
         .withColumn("_solid", solid)
         .withColumn("_windows", F.when(F.size("_solid") >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")))
     )
