@@ -223,19 +223,21 @@ def _indexes(items: DataFrame) -> Iterator[Index]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [s for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for s in segments_of(i, t)]
+            given = zip(*(c.to_pylist() for c in batch.columns))
+            rows = [(hash_, *s) for id_, hash_, text in given for s in segments_of(id_, text)]
             if rows:
-                kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32(), pa.int32()]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    names = ["item_id", "segment", "words", "spans", "questions", "answers"]
-    schema = "item_id bigint, segment int, words array<string>, spans array<int>, questions int, answers int"
-    source = items.select(F.col("item_id").cast("bigint").alias("item_id"), text_of().alias("_text")).distinct()
-    cut = stage(source.mapInArrow(run, schema).withColumn("_key", F.xxhash64("item_id", "segment", "words")), "segments")
+    names = ["_hash", "item_id", "segment", "words", "spans", "questions", "answers"]
+    schema = "_hash bigint, item_id bigint, segment int, words array<string>, spans array<int>, questions int, answers int"
+    source = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.xxhash64(text_of()).alias("_hash"), text_of().alias("_text"))
+    cut = source.distinct().mapInArrow(run, schema)
+    cut = stage(cut.withColumn("_key", F.xxhash64("_hash", "item_id", "segment")).drop("_hash"), "segments")
     terms = cut.select("_key", F.explode(F.array_distinct("words")).alias("term"))
     frequency = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     per_segment = terms.join(frequency, "term").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("frequency"))
-    indexed = stage(cut.dropDuplicates(["_key"]).join(per_segment, "_key"), "index")
+    indexed = stage(cut.join(per_segment, "_key"), "index")
     n, total = indexed.agg(F.count(F.lit(1)), F.sum(F.size("words"))).first()
     parts = -(-(total or 0) // INDEX_WORDS)
     for part in range(parts):
