@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,16 +25,31 @@ def close_versions(df: DataFrame, key: str, start: str, end: str, tie_break: Seq
     if not tie_break:
         raise ValueError("tie_break must name at least one column")
     dated = df.withColumn(start, F.to_date(start))
-    place = F.struct(*tie_break) if len(tie_break) > 1 else F.col(tie_break[0])
-    starts = dated.groupBy(F.col(key).alias("_key"), F.col(start).alias("_start")).agg(F.max(place).alias("_last"))
+    starts = _last_version(dated, F.col(key).alias("_key"), F.col(start).alias("_start"), tie_break)
     by_start = Window.partitionBy("_key").orderBy("_start")
     followed = starts.withColumn("_next", F.lead("_start").over(by_start))
     same_start = F.col(key).eqNullSafe(F.col("_key")) & F.col(start).eqNullSafe(F.col("_start"))
-    following = F.when(place.eqNullSafe(F.col("_last")), F.col("_next")).otherwise(F.col("_start"))
+    last = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_last_{i}")) for i, c in enumerate(tie_break)))
+    following = F.when(last, F.col("_next")).otherwise(F.col("_start"))
     columns = [c for c in df.columns if c != end]
     return dated.join(followed, same_start).select(*columns, F.date_sub(following, 1).alias(end))
 
 
+def _last_version(dated: DataFrame, key: Column, start: Column, tie_break: Sequence[str]) -> DataFrame:
+    """``_key``, ``_start`` and the tie-break columns, as ``_last_<i>``, of the last row of each; NULL comes first.
+
+    The columns are reduced one by one, from the last to the first. For numbers and dates each
+    step is an aggregate by hash, combined before the shuffle; a maximum of structs would sort.
+    """
+    found = dated.select(key, start, *(F.col(c).alias(f"_last_{i}") for i, c in enumerate(tie_break)))
+    for i in reversed(range(len(tie_break))):
+        by, top = f"_last_{i}", [f"_last_{j}" for j in range(i)]
+        # Without any value in the column, max_by finds nothing, and all rows tie.
+        rest = [F.coalesce(F.max_by(c, by), F.max(c)).alias(c) for c in (f"_last_{j}" for j in range(i + 1, len(tie_break)))]
+        found = found.groupBy("_key", "_start", *top).agg(F.max(by).alias(by), *rest)
+    return found
+
+
 def current_versions(df: DataFrame, end: str) -> DataFrame:
     """The versions that are still open."""
     return df.where(F.col(end).isNull())

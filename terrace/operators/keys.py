@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.staging import stage
 
 ROW_ID = "_row_id"
 ROWS_PER_RANGE = 1_000_000
-MOST_RANGES = 50_000
+MOST_BROADCAST = 50_000
 _POSITION = "_position"
 _RANGE = "_range"
 _BEFORE = "_before"
@@ -30,22 +30,21 @@ def with_row_id(scan: DataFrame) -> DataFrame:
 def with_position(
     df: DataFrame, order_by: Sequence[str | Column], name: str = "position", stored: bool = False
 ) -> DataFrame:
-    """Add 1..n in the given order, computed by all tasks.
+    """Add 1..n in the given order, computed by all tasks, in the same way for every number of rows.
 
     1. The rows are written once, which gives each of them a stable physical id, and counted
-       from the file footers. With ``stored``, ``df`` is a scan of Parquet files already. Up to
-       ``ROWS_PER_RANGE`` rows are numbered by one task.
-    2. More rows are range-partitioned by ``order_by`` plus that id, sorted per partition and
-       written with their number inside the partition. Because of the id, equal rows spread over
-       several partitions too.
-    3. The sizes of the partitions are summed up and broadcast: one row per ``ROWS_PER_RANGE``
-       rows, and never more than ``MOST_RANGES`` rows.
+       from the file footers. With ``stored``, ``df`` is a scan of Parquet files already.
+    2. They are range-partitioned by ``order_by``, then by a hash of the whole row, then by that id, sorted
+       per partition and written with their number inside the partition. Unequal rows that tie
+       are thus numbered by their content, however their files are cut; only equal rows are
+       interchangeable, and these spread over several partitions too.
+    3. The sizes of the partitions are summed up: one row per range, that is per ``ROWS_PER_RANGE``
+       rows or per core. These few rows are the only thing that one task sees as a whole; they are
+       broadcast up to ``MOST_BROADCAST`` of them, and joined by a shuffle beyond.
     """
     rows = df if stored else stage(df, "rows")
     ranges = _ranges(rows)
-    sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [F.col(ROW_ID)]
-    if ranges == 1:
-        return _numbered(rows, Window.orderBy(*sort), name)
+    sort = [c if isinstance(c, Column) else F.col(c) for c in order_by] + [_content(rows), F.col(ROW_ID)]
     placed = stage(
         with_row_id(rows)
         .repartitionByRange(ranges, *sort)
@@ -60,10 +59,10 @@ def with_position(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(_RANGE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias(_BEFORE))
     )
+    if ranges <= MOST_BROADCAST:
+        offsets = F.broadcast(offsets)
     in_range = F.col(_POSITION) - F.shiftleft(F.col(_RANGE), _LOW_BITS)
-    return placed.join(F.broadcast(offsets), _RANGE).select(
-        *df.columns, (F.col(_BEFORE) + in_range + 1).alias(name)
-    )
+    return placed.join(offsets, _RANGE).select(*df.columns, (F.col(_BEFORE) + in_range + 1).alias(name))
 
 
 def surrogate_key(df: DataFrame, order_by: Sequence[str | Column], name: str, stored: bool = False) -> DataFrame:
@@ -79,24 +78,24 @@ def rank_in_group(
 ) -> DataFrame:
     """Add 1..n per group in the given order; a group of any size is shared by many tasks.
 
-    Up to ``ROWS_PER_RANGE`` rows in all are ranked by a window. Of more, the first position of
-    each group is written before it is joined back, so Spark knows its size: it is broadcast if
-    small, and joined by a shuffle that splits large groups if not.
+    The first position of each group is written before it is joined back, so Spark knows its
+    size: it is broadcast if small, and joined by a shuffle that splits large groups if not.
     """
-    rows = df if stored else stage(df, "rows")
-    if _ranges(rows) == 1:
-        return _numbered(rows, Window.partitionBy(*group).orderBy(*order_by, ROW_ID), name)
-    placed = with_position(rows, [*group, *order_by], _POSITION, stored=True)
+    placed = with_position(df, [*group, *order_by], _POSITION, stored)
     keys = [F.col(c).alias(f"_group_{i}") for i, c in enumerate(group)]
     first = stage(placed.groupBy(*keys).agg(F.min(_POSITION).alias(_FIRST)), "groups")
     same = [F.col(c).eqNullSafe(F.col(f"_group_{i}")) for i, c in enumerate(group)]
     return placed.join(first, same).select(*df.columns, (F.col(_POSITION) - F.col(_FIRST) + 1).alias(name))
 
 
-def _numbered(rows: DataFrame, window: WindowSpec, name: str) -> DataFrame:
-    number = F.row_number().over(window).cast("bigint")
-    return with_row_id(rows).select(*rows.columns, number.alias(name))
+def content_hash(df: DataFrame, besides: Sequence[str] = ()) -> Column:
+    """A hash of all columns that can be hashed, so that unequal rows can be told apart by what they hold."""
+    return _content(df.drop(*besides))
+
+
+def _content(rows: DataFrame) -> Column:
+    return F.xxhash64(*(c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind))
 
 
 def _ranges(rows: DataFrame) -> int:
-    return max(1, min(MOST_RANGES, -(-rows.count() // ROWS_PER_RANGE)))
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_RANGE))

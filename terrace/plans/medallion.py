@@ -7,13 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from terrace.operators.keys import ROW_ID, with_row_id
+from terrace.operators.keys import ROW_ID, content_hash, with_row_id
 from terrace.plans import gold, marts, silver
 from terrace.plans.load import Audit, Load, LoadFailed, Warehouse, run_loads
 from terrace.sources.jdbc import Connection, overwrite_table, read_table
 from terrace.sources.schemas import GOLD, SOURCES, conform
 
 Source = Callable[[str], DataFrame]
+_CONTENT = "_content"
 
 
 def bronze_loads(source: Source) -> list[Load]:
@@ -34,7 +35,7 @@ def silver_loads(
         customer_tie_break = [c for c in declared if c not in ("cst_id", "cst_create_date")]
     rules: dict[str, Callable[[DataFrame], DataFrame]] = {
         "crm_cust_info": lambda df: silver.silver_customers(df, customer_tie_break),
-        "crm_prd_info": lambda df: silver.silver_products(df, ["prd_id", ROW_ID]),
+        "crm_prd_info": lambda df: silver.silver_products(df, ["prd_id", _CONTENT, ROW_ID]),
         "crm_sales_details": silver.silver_sales,
         "erp_cust_az12": lambda df: silver.silver_erp_customers(df, as_of),
         "erp_loc_a101": silver.silver_locations,
@@ -44,7 +45,8 @@ def silver_loads(
     def build(warehouse: Warehouse, name: str) -> DataFrame:
         bronze = warehouse.read("bronze", name)
         if name == "crm_prd_info":
-            bronze = with_row_id(bronze)
+            # Versions that tie are ordered by what they hold, and only equal ones by their place in the files.
+            bronze = with_row_id(bronze).withColumn(_CONTENT, content_hash(bronze))
         return rules[name](conform(bronze, SOURCES[name]))
 
     return [

@@ -327,3 +327,27 @@ def test_shared_folder():
     assert os.path.isdir(local) and shared_dir(FakeSession("local[2]")) == local
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(FakeSession("yarn"))
+
+
+def test_ties_do_not_depend_on_the_files(spark, tmp_path):
+    rows = [(i % 3, f"name {i}", i // 2 % 2) for i in range(60)]
+    made = []
+    for number, parts in enumerate((1, 7)):
+        path = str(tmp_path / str(number))
+        given = rows if number else rows[::-1]
+        spark.createDataFrame(given, "k int, name string, start int").repartition(parts).write.parquet(path)
+        df = spark.read.parquet(path)
+        numbered = {(r.name, r.key) for r in surrogate_key(df, ["k"], "key").collect()}
+        dated = df.withColumn("start_dt", F.date_add(F.lit("2020-01-01").cast("date"), "start")).withColumn("end_dt", F.lit(None).cast("date"))
+        closed = close_versions(dated.withColumn("content", keys.content_hash(dated)), "k", "start_dt", "end_dt", ["start", "content"])
+        made.append((numbered, {(r.name, r.end_dt) for r in closed.collect()}))
+    assert made[0] == made[1]
+
+
+def test_version_ends_with_unknown_tie_breaks(spark):
+    rows = [(1, None, 1), (1, None, 2), (1, 5, 3), (2, None, 4), (2, None, 5)]
+    df = spark.createDataFrame(rows, "k int, t int, u int").withColumns(
+        {"s": F.lit("2020-01-01").cast("date"), "e": F.lit(None).cast("date")}
+    )
+    still_open = close_versions(df, "k", "s", "e", ["t", "u"]).where("e is null")
+    assert {r.u for r in still_open.collect()} == {3, 5}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators import keys
 from terrace.operators.history import close_versions, current_versions
-from terrace.operators.keys import surrogate_key
+from terrace.operators.keys import surrogate_key, with_position
 from terrace.operators.latest import latest_by_key
 from terrace.operators.lookup import left_lookup
 from terrace.plans import gold, marts, silver
@@ -124,3 +124,17 @@ def test_reports_read_only_what_they_need(spark, no_broadcast):
     assert {"product_key", "cat"} in columns
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(marts.sales_trend(fact)))
     assert schemas == ["order_date:date,sales_amount:bigint"]
+
+
+def test_numbering_takes_ranges_at_any_size(spark):
+    for df, order in ((table(spark, SF_DIR, "customer"), "c_custkey"), (table(spark, SF_DIR, "nation"), "n_nationkey")):
+        numbered = with_position(df, [order])
+        text = plan(numbered)
+        assert "ReadSchema: struct<_position:bigint>" in text  # the only task that sees all ranges reads sizes
+        assert numbered.select(F.max("position"), F.count_distinct("position")).first() == (df.count(), df.count())
+
+
+def test_version_ends_with_two_tie_breaks_are_hashed(spark):
+    events = table(spark, SF_DIR, "events").withColumn("end", F.lit(None).cast("date"))
+    text = plan(close_versions(events, "user_id", "ts", "end", ["event_id", "value"]))
+    assert "SortAggregate" not in text and "HashAggregate" in text
