@@ -19,11 +19,6 @@ def aside(docs: DataFrame, **columns: str | Column) -> DataFrame:
     return docs.select(F.struct("*").alias(ROW), *(F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()))
 
 
-def restored(df: DataFrame) -> DataFrame:
-    """The rows that :func:`aside` put away."""
-    return df.select(f"{ROW}.*")
-
-
 def text_of(column: str = "text") -> Column:
     """The text, empty if NULL."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -11,7 +11,7 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.rows import text_of
@@ -19,20 +19,25 @@ from terrace.operators.keys import rank_in_group
 from terrace.staging import stage
 
 SHARDS = 16
-#: Groups differenced by one task at first, and partial partitions combined by one task after that.
-GROUPS, PARTIALS = 50_000, 2_000
+#: Groups of more than this part of all bytes, and so fewer than this many, are differenced by one task.
+LARGE = 200_000
+#: Smaller groups that one task differences.
+GROUPS = 50_000
 
 
-def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, partials: int = PARTIALS) -> DataFrame:
+def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, large: int = LARGE) -> DataFrame:
     """``doc_id``, ``size`` (bytes of the text and 1), ``text_crc32``, ``shard``, ``slot`` (gapless from 0 in its shard).
 
     NULL and empty texts have size 1 and are one group. Equal rows are different rows of one group,
-    and get different slots.
-
-    Texts are read twice and never shuffled. Groups are combined on the map side, dealt by hash into blocks of
-    about ``groups``, and each block is differenced by one task into one partial partition. Blocks are then
-    differenced like groups, ``partials`` at a time, until one is left. The rows of a large group
-    are the skewed side of a join, which can be split; slots are numbered by ranges of rows.
+    and get different slots. A group that exceeds the mean shard has a shard to itself, as far as
+    the others fill up without it.
+
+    Texts are read twice and never shuffled. Groups are combined on the map side. The large ones,
+    fewer than ``large`` by their definition, are differenced by one task. The others are dealt by hash
+    into blocks of about ``groups``; each block gets its part of what the large ones put into each shard, as one
+    more partial partition, and is differenced by one task, so that the small groups make up for the
+    large ones. The rows of a large group are the skewed side of a join, which can be split; slots
+    are numbered by ranges of rows.
     """
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text")).select(
         "doc_id",
@@ -41,40 +46,46 @@ def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, partia
         F.xxhash64("_text").alias("group"),
     )
     weights = stage(sized.groupBy("group").agg(F.sum("size").alias("size")), "groups")
-    blocks = max(1, -(-weights.count() // groups))
-    leaves = weights.select(F.pmod(F.xxhash64("group"), F.lit(blocks)).alias("block"), "group", F.lit(0).alias("label"), "size")
-    placed = stage(_differenced(leaves, shards), "level")
-    found = placed.select("group", "block", F.col("to").alias("place"))
-    while blocks > 1:
-        sums = placed.groupBy("block", F.col("to").alias("label")).agg(F.sum("size").alias("size"))
-        parts = sums.select(F.floor(F.col("block") / partials).alias("above"), F.col("block").alias("group"), "label", "size")
-        blocks = -(-blocks // partials)
-        placed = stage(_differenced(parts.withColumnRenamed("above", "block"), shards), "level")
-        moves = placed.select(F.col("group").alias("_from"), F.col("label").alias("_label"), F.col("block").alias("_block"), "to")
-        found = found.join(moves, (F.col("block") == F.col("_from")) & (F.col("place") == F.col("_label"))).select(
-            "group", F.col("_block").alias("block"), F.col("to").alias("place")
-        )
-    where = found.select("group", F.col("place").alias("shard"))
-    rows = sized.join(where, "group")
-    return rank_in_group(rows, ["shard"], ["group", "doc_id"], "slot").select(
+    total = weights.agg(F.sum("size")).first()[0] or 0
+    is_large = F.col("size") * large > total
+    first = stage(_differenced(_leaves(weights.where(is_large), F.lit(0)), shards), "large")
+    held = dict(first.groupBy("shard").agg(F.sum("size")).collect())  # one number per shard
+    rest = weights.where(~is_large)
+    blocks = max(1, -(-rest.count() // groups))
+    leaves = _leaves(rest, F.pmod(F.xxhash64("group"), F.lit(blocks)))
+    block = F.col("id").cast("bigint")
+    part = F.explode(F.array(*(F.struct(F.lit(s).alias("label"), F.lit(held.get(s, 0)).cast("bigint").alias("held")) for s in range(shards))))
+    upto = lambda n: F.floor(F.col("_p.held") / blocks * n).cast("bigint")
+    parts = docs.sparkSession.range(blocks).select(block.alias("block"), part.alias("_p")).select(
+        "block", F.lit(0).cast("bigint").alias("group"), F.col("_p.label").alias("label"), (upto(F.col("block") + 1) - upto(F.col("block"))).alias("size"), F.lit(True)
+    )
+    where = first.union(stage(_differenced(leaves.union(parts), shards), "small")).select("group", "shard")
+    return rank_in_group(sized.join(where, "group"), ["shard"], ["group", "doc_id"], "slot").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("slot") - 1).alias("slot")
     )
 
 
+def _leaves(weights: DataFrame, block: Column) -> DataFrame:
+    return weights.select(block.cast("bigint").alias("block"), "group", F.lit(0).alias("label"), "size", F.lit(False).alias("fixed"))
+
+
 def _differenced(parts: DataFrame, shards: int) -> DataFrame:
-    """Per block, the shard ``to`` of each label of each partial partition (``group``, ``label``, ``size``)."""
+    """``group``, ``size`` and ``shard`` of each group, differenced per block.
+
+    Fixed rows belong to no group; they are one partial partition whose labels are the shards themselves.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["group", "label"]).reset_index(drop=True)
-        number = rows["group"].ne(rows["group"].shift()).cumsum().to_numpy() - 1
-        partials: list[list[tuple[int, int]]] = [[] for _ in range(number[-1] + 1)]
-        for item, label, size in zip(number, rows["label"], rows["size"]):
-            partials[item].append((int(size), int(label)))
+        small, fixed = rows[~rows["fixed"]].sort_values("group"), rows[rows["fixed"]]
+        partials = [[(int(size), 0)] for size in small["size"]]
+        if len(fixed):
+            partials.append([(int(size), int(label)) for size, label in zip(fixed["size"], fixed["label"])])
         to = differencing(partials, shards)
-        return rows.assign(to=np.array([to[item][label] for item, label in zip(number, rows["label"])], np.int32))
+        shard_at = {place: label for label, place in to.pop().items()} if len(fixed) else {p: p for p in range(shards)}
+        found = np.array([shard_at[place[0]] for place in to], np.int32)
+        return pd.DataFrame({"group": small["group"].to_numpy(), "size": small["size"].to_numpy(), "shard": found})
 
-    schema = "block bigint, group bigint, label int, size bigint, to int"
-    return parts.select("block", "group", "label", "size").groupBy("block").applyInPandas(run, schema)
+    return parts.groupBy("block").applyInPandas(run, "group bigint, size bigint, shard int")
 
 
 def differencing(partials: list[list[tuple[int, int]]], shards: int) -> list[dict[int, int]]:

@@ -157,14 +157,14 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> bytes:
         rows = [(label, id_, terms) for b in batches for label, id_, terms in zip(b.column(1).to_pylist(), b.column(0).to_pylist(), map(_terms, b.column(2)))]
         rows.sort(key=lambda r: (r[1], len(r[2]), r[2].tobytes()))
         machine = trained([(label, terms) for label, _, terms in rows])
-        parts = [[np.float64(machine.bias).tobytes()], [machine.weight.tobytes()], [machine.vector.tobytes()]]
-        yield pa.RecordBatch.from_arrays([pa.array(p, pa.binary()) for p in parts], names=["bias", "weight", "vector"])
+        parts = [np.float64(machine.bias), machine.used, machine.weight, machine.vector]
+        yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["bias", "used", "weight", "vector"])
 
     # Ids that occur several times among the documents could exceed the bound: one text per id is taken.
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
     terms = own.select("doc_id", "toxic", "text").mapInArrow(extract, "doc_id bigint, toxic int, terms array<int>")
     one = terms.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms"))
-    row = one.coalesce(1).mapInArrow(fit, "bias binary, weight binary, vector binary").first()
+    row = one.coalesce(1).mapInArrow(fit, "bias binary, used binary, weight binary, vector binary").first()
     return pickle.dumps(tuple(bytes(c) for c in row))
 
 
@@ -173,8 +173,9 @@ def _terms(value) -> np.ndarray:
 
 
 def _machine(stored: bytes) -> Machine:
-    bias, weight, vector = pickle.loads(stored)
+    bias, used, weight, vector = pickle.loads(stored)
     machine = Machine(float(np.frombuffer(bias, np.float64)[0]))
+    machine.used = np.frombuffer(used, bool)
     machine.weight = np.frombuffer(weight, np.float32)
     machine.vector = np.frombuffer(vector, np.float32).reshape(BUCKETS, FACTORS)
     return machine
