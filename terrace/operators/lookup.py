@@ -51,6 +51,8 @@ def left_lookup(
     right rows repeated once per slot. The count runs over ``count_in``, which spares computing
     a joined ``left`` twice; a key it misses or adds changes the speed and not the result.
     """
+    if hot_share is not None and not 0 < hot_share <= 1:
+        raise ValueError("hot_share must be above 0 and at most 1")  # at most 1 / hot_share keys are broadcast
     slots = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     picked = right.select(F.col(right_key).alias("_key"), *columns)
     output = [*left.columns, *columns]

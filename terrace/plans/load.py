@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.sources.catalog import create_database, read_or_fallback, register_parquet
-from terrace.sources.files import overwrite_parquet
+from terrace.sources.files import drop_other_versions, write_version
 from terrace.staging import staged_until_end
 
 AUDIT_SCHEMA = "layer string, table_name string, row_count bigint, seconds double, status string, message string"
@@ -57,14 +58,19 @@ class Warehouse:
         return read_or_fallback(self.spark, self.table(layer, name), self.path(layer, name))
 
     def save(self, layer: str, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
-        """Replace a table by ``df`` and return the number of rows, counted while writing."""
+        """Replace a table by ``df`` and return the number of rows, counted while writing.
+
+        The rows go to a new version; the table is switched to it once it is complete, and only then
+        the older versions go. Whatever fails in between leaves the table with its old rows, or the new ones.
+        """
         counted = Observation()
         path = self.path(layer, name)
         if partition_by:
             df = df.hint("rebalance", *partition_by)  # few files per folder, large folders split
-        overwrite_parquet(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, partition_by)
+        fresh = write_version(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, partition_by)
         self.create_database(layer)
-        register_parquet(self.spark, self.table(layer, name), path, df.schema, partition_by)
+        register_parquet(self.spark, self.table(layer, name), fresh, df.schema, partition_by)
+        drop_other_versions(self.spark, path, fresh)
         return counted.get["rows"]
 
 
@@ -117,9 +123,15 @@ def _run(warehouse: Warehouse, load: Load, bad: set[str]) -> Audit:
             else:
                 rows = load.sink(df)
     except Exception as error:  # any failure of one table must leave the others running
-        return Audit(load.layer, load.name, None, _since(started), "failed", str(error).split("\n")[0])
+        return Audit(load.layer, load.name, None, _since(started), "failed", _reason(error))
     return Audit(load.layer, load.name, rows, _since(started), "ok", None)
 
 
+def _reason(error: Exception) -> str:
+    """The error and what caused it, without stack traces."""
+    lines = [line.strip() for line in str(error).split("\n")]
+    return "; ".join(line for line in lines if line and not re.match(r"at |\.\.\. |Traceback|File |JVM stacktrace", line))[:2000]
+
+
 def _since(started: float) -> float:
     return round(time.monotonic() - started, 2)

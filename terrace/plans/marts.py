@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators.keys import rank_in_group
 from terrace.operators.lookup import left_lookup
+from terrace.staging import stage
 
 _SPREAD_BY = ["order_number", "quantity"]  # columns that the reports read anyway
 _CUSTOMER_COLUMNS = [
@@ -26,19 +27,23 @@ def flat_sales(fact: DataFrame, products: DataFrame, customers: DataFrame) -> Da
 def agg_sales_rollup(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Sales, quantity and orders by category and month, with subtotals.
 
-    ``level`` is 0 for category and month, 1 for a category, 3 for the total.
+    ``level`` is 0 for category and month, 1 for a category, 3 for the total. Lines without an order
+    number count as no order. The fact is reduced to products, months and orders before the join and
+    to categories, months and orders after it; that table is written, and each level read from it.
     """
-    flat = left_lookup(fact, products, "product_key", "product_key", ["cat"], _SPREAD_BY)
+    sums = [F.sum("sales").alias("sales"), F.sum("quantity").alias("quantity")]
+    lines = fact.select("product_key", _month().alias("month"), "order_number", F.col("sales_amount").alias("sales"), "quantity")
+    per_product = lines.groupBy("product_key", "month", "order_number").agg(*sums)
+    described = left_lookup(per_product, products, "product_key", "product_key", ["cat"], _SPREAD_BY)
+    orders = stage(described.groupBy("cat", "month", "order_number").agg(*sums), "orders")
+    no_cat, no_month = (F.lit(None).cast(orders.schema[c].dataType).alias(c) for c in ("cat", "month"))
+    level = lambda n: F.lit(n).cast("bigint").alias("level")
+    counted = [*sums, F.count_distinct("order_number").alias("orders")]
+    columns = ["sales", "quantity", "orders"]
     return (
-        flat.select("cat", _month().alias("month"), "order_number", "sales_amount", "quantity")
-        .rollup("cat", "month")
-        .agg(
-            F.grouping_id().alias("level"),
-            F.sum("sales_amount").alias("sales"),
-            F.sum("quantity").alias("quantity"),
-            F.countDistinct("order_number").alias("orders"),
-        )
-        .select("cat", "month", "level", "sales", "quantity", "orders")
+        orders.groupBy("cat", "month").agg(*sums, F.count("order_number").alias("orders")).select("cat", "month", level(0), *columns)
+        .union(orders.groupBy("cat").agg(*counted).select("cat", no_month, level(1), *columns))
+        .union(orders.agg(*counted).select(no_cat, no_month, level(3), *columns))
     )
 
 
@@ -48,12 +53,12 @@ def customer_segments(
     """Orders, spending and activity span per customer, and a segment from thresholds.
 
     Customers active for ``loyal_months`` or longer are VIP above ``vip_sales``, else Regular;
-    the others are New.
+    the others are New. Lines without a customer make one row without a key, in no segment, so that
+    the rows add up to the fact.
     """
     months = F.year("last_order") * 12 + F.month("last_order") - F.year("first_order") * 12 - F.month("first_order")
     per_customer = (
-        fact.where(F.col("customer_key").isNotNull())
-        .groupBy("customer_key")
+        fact.groupBy("customer_key")
         .agg(
             F.countDistinct("order_number").alias("orders"),
             F.sum("sales_amount").alias("sales"),
@@ -64,26 +69,28 @@ def customer_segments(
         .withColumn("span_months", months.cast("bigint"))
     )
     loyal = F.col("span_months") >= loyal_months
-    segment = F.when(loyal & (F.col("sales") > vip_sales), "VIP").when(loyal, "Regular").otherwise("New")
+    known = F.col("customer_key").isNotNull()
+    segment = F.when(known & loyal & (F.col("sales") > vip_sales), "VIP").when(known & loyal, "Regular").when(known, "New")
     return left_lookup(
         per_customer.withColumn("segment", segment), customers, "customer_key", "customer_key", ["customer_number"]
     )
 
 
 def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue, quantity, profit and place by revenue within the category, per product.
+    """Revenue, quantity, profit and rank by revenue within the category, per product.
 
-    Profit is amount minus quantity times cost over the lines with a known amount. The fact is
-    reduced to one row per product before the join.
+    Profit is amount minus quantity times cost over the lines that have both amount and quantity.
+    Products of equal revenue share a place. Lines without a product make one row without a key, so that the
+    rows add up to the fact. The fact is reduced to one row per product before the join.
     """
-    known = F.col("sales_amount").isNotNull()
+    known = F.col("sales_amount").isNotNull() & F.col("quantity").isNotNull()
     per_product = (
-        fact.where(F.col("product_key").isNotNull())
-        .groupBy("product_key")
+        fact.groupBy("product_key")
         .agg(
             F.sum("sales_amount").alias("revenue"),
             F.sum("quantity").alias("quantity"),
             F.countDistinct("order_number").alias("orders"),
+            F.sum(F.when(known, F.col("sales_amount"))).alias("earned"),
             F.sum(F.when(known, F.col("quantity"))).alias("costed"),
         )
     )
@@ -95,22 +102,28 @@ def product_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
         "revenue",
         "quantity",
         "orders",
-        (F.col("revenue") - F.col("costed") * F.col("cost")).alias("profit"),
+        (F.col("earned") - F.col("costed") * F.col("cost")).alias("profit"),
     )
-    return rank_in_group(measured, ["cat"], [F.col("revenue").desc(), F.col("product_key")], "place")
+    numbered = rank_in_group(measured, ["cat"], [F.col("revenue").desc(), F.col("product_key")], "_row")
+    places = numbered.groupBy(F.col("cat").alias("_cat"), F.col("revenue").alias("_revenue")).agg(F.min("_row").alias("place"))
+    same = F.col("cat").eqNullSafe(F.col("_cat")) & F.col("revenue").eqNullSafe(F.col("_revenue"))
+    return numbered.join(places, same).select(*measured.columns, "place")
 
 
 def sales_trend(fact: DataFrame) -> DataFrame:
     """Sales per month, change against the month before, and running total.
 
-    The windows without a partition see one row per month, after the aggregation.
+    The change is NULL if the month before has no line. Lines without a date make a last row without a
+    month, so that its running total is that of the fact. The windows without a partition see one
+    row per month, after the aggregation.
     """
-    by_month = Window.orderBy("month")
+    by_month = Window.orderBy(F.col("month").asc_nulls_last())
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return _monthly(fact).select(
+    follows = F.lag("month").over(by_month) == F.add_months("month", -1)
+    return _monthly(fact, dated=False).select(
         "month",
         "sales",
-        (F.col("sales") - F.lag("sales").over(by_month)).alias("change"),
+        F.when(follows, F.col("sales") - F.lag("sales").over(by_month)).alias("change"),
         F.sum("sales").over(so_far).alias("running_sales"),
     )
 
@@ -128,11 +141,12 @@ def seasonal_index(fact: DataFrame) -> DataFrame:
 def seasonal_forecast(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Next twelve months per category: the sales of the same month one year before, or 0.
 
-    The fact is reduced to products and months before the join, and the months are twelve
-    conditional sums, so that no category is collected or joined with itself.
+    The fact is reduced to products and months once and written; the last month comes from there,
+    as do the categories. The months are twelve conditional sums, so that no category is collected or joined
+    with itself.
     """
-    last = fact.agg(F.trunc(F.max("order_date"), "month")).scalar()
-    per_product = _monthly(fact, "product_key")
+    per_product = stage(_monthly(fact, "product_key"), "monthly")
+    last = per_product.agg(F.max("month")).scalar()
     per_category = left_lookup(per_product, products, "product_key", "product_key", ["cat"])
     year_ago = {ahead: F.add_months(last, ahead - 12) for ahead in range(1, 13)}
     sums = [
@@ -153,6 +167,6 @@ def _month() -> Column:
     return F.trunc("order_date", "month")
 
 
-def _monthly(sales: DataFrame, *by: str) -> DataFrame:
-    dated = sales.where(F.col("order_date").isNotNull())
-    return dated.groupBy(*by, _month().alias("month")).agg(F.sum("sales_amount").alias("sales"))
+def _monthly(sales: DataFrame, *by: str, dated: bool = True) -> DataFrame:
+    lines = sales.where(F.col("order_date").isNotNull()) if dated else sales
+    return lines.groupBy(*by, _month().alias("month")).agg(F.sum("sales_amount").alias("sales"))

@@ -44,6 +44,14 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path, orders.schema)
 
 
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written as CSV with a header line and read in declared types."""
+    parts = table(spark, sf_dir, "part")
+    path = scratch_path(spark, "parts")
+    parts.write.option("header", True).csv(path)
+    return files.read_csv(spark, path, parts.schema)
+
+
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of five tables in one run, and the keys of all of them read back."""
     keys = {
@@ -104,6 +112,10 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.preview(orders, ["o_orderkey"])
 
 
+def _absent(name: str) -> DataFrame:
+    raise LookupError(f"no table {name}")
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four loads: two good ones, one whose source is absent, one that depends on it."""
     warehouse = new_warehouse(spark)
@@ -111,7 +123,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         [
             Load("bronze", "orders", lambda _: table(spark, sf_dir, "orders")),
             Load("bronze", "lineitem", lambda _: table(spark, sf_dir, "lineitem")),
-            Load("bronze", "absent", lambda _: table(spark, sf_dir, "no_such_table")),
+            Load("bronze", "absent", lambda _: _absent("no_such_table")),
         ],
         [Load("silver", "absent", lambda w: w.read("bronze", "absent"), needs=("bronze.absent",))],
     ]
@@ -204,6 +216,7 @@ _GOLD = {name: name for name in ("dim_customers", "dim_products", "fact_sales")}
 
 QUERIES = {
     "parquet_roundtrip": (parquet_roundtrip, "SELECT * FROM orders"),
+    "csv_roundtrip": (csv_roundtrip, "SELECT * FROM part"),
     "bronze_ingest": (
         bronze_ingest,
         """SELECT 'region' AS table_name, CAST(r_regionkey AS BIGINT) AS key FROM region
@@ -284,6 +297,33 @@ QUERIES = {
                         "(SELECT cst_id FROM b_cust WHERE cst_id IS NOT NULL)",
                         "b_sales",
                     ),
+                    _check("not_null", "erp_cust_az12", "cid", "cid IS NULL", "s_erp"),
+                    _check("not_null", "erp_cust_az12", "bdate", "bdate IS NULL", "s_erp"),
+                    _surplus("erp_cust_az12", "cid", "s_erp"),
+                    _check("not_null", "erp_loc_a101", "cid", "cid IS NULL", "s_loc"),
+                    _surplus("erp_loc_a101", "cid", "s_loc"),
+                    _check("not_null", "erp_px_cat_g1v2", "id", "id IS NULL", "s_cat"),
+                    _surplus("erp_px_cat_g1v2", "id", "s_cat"),
+                    _check(
+                        "references", "current crm_prd_info", "cat_id",
+                        "cat_id IS NOT NULL AND cat_id NOT IN (SELECT id FROM s_cat WHERE id IS NOT NULL)",
+                        "s_prd WHERE prd_end_dt IS NULL",
+                    ),
+                    _surplus("dim_customers", "customer_key", "dim_customers"),
+                    _surplus("dim_customers", "customer_id", "dim_customers"),
+                    _surplus("dim_products", "product_key", "dim_products"),
+                    _surplus("dim_products", "product_number", "dim_products"),
+                    *(
+                        _check("not_null", "fact_sales", c, f"{c} IS NULL", "fact_sales")
+                        for c in ("product_key", "customer_key", "order_date")
+                    ),
+                    *(
+                        _check(
+                            "references", "fact_sales", c,
+                            f"{c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {parent})", "fact_sales",
+                        )
+                        for c, parent in (("product_key", "dim_products"), ("customer_key", "dim_customers"))
+                    ),
                 ]
             )
         ),

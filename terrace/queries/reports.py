@@ -104,32 +104,35 @@ QUERIES = {
         customer_segments,
         with_tables(
             """SELECT per.*, customer_number,
-            CASE WHEN span_months >= 12 AND sales > 1000000 THEN 'VIP' WHEN span_months >= 12 THEN 'Regular'
-                ELSE 'New' END AS segment
+            CASE WHEN per.customer_key IS NULL THEN NULL WHEN span_months >= 12 AND sales > 1000000 THEN 'VIP'
+                WHEN span_months >= 12 THEN 'Regular' ELSE 'New' END AS segment
         FROM (SELECT customer_key, count(DISTINCT order_number) AS orders, CAST(sum(sales_amount) AS BIGINT) AS sales,
                 CAST(sum(quantity) AS BIGINT) AS quantity, min(order_date) AS first_order, max(order_date) AS last_order,
                 date_diff('month', min(order_date), max(order_date)) AS span_months
-            FROM fact_sales WHERE customer_key IS NOT NULL GROUP BY customer_key) AS per
+            FROM fact_sales GROUP BY customer_key) AS per
         LEFT JOIN dim_customers ON per.customer_key = dim_customers.customer_key"""
         ),
     ),
     "product_performance": (
         product_performance,
         with_tables(
-            """SELECT *, row_number() OVER (PARTITION BY cat ORDER BY revenue DESC NULLS LAST, product_key) AS place
+            """SELECT *, rank() OVER (PARTITION BY cat ORDER BY revenue DESC NULLS LAST) AS place
         FROM (SELECT f.product_key, product_number, cat, CAST(sum(sales_amount) AS BIGINT) AS revenue,
                 CAST(sum(quantity) AS BIGINT) AS quantity, count(DISTINCT order_number) AS orders,
                 CAST(sum(sales_amount - quantity * cost) AS BIGINT) AS profit
-            FROM fact_sales AS f JOIN dim_products AS p ON f.product_key = p.product_key
+            FROM fact_sales AS f LEFT JOIN dim_products AS p ON f.product_key = p.product_key
             GROUP BY ALL) AS per"""
         ),
     ),
     "sales_trend": (
         sales_trend,
         with_tables(
-            f"""SELECT month, sales, sales - lag(sales) OVER (ORDER BY month) AS change,
-            CAST(sum(sales) OVER (ORDER BY month ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_sales
-        FROM ({_MONTHLY}) AS m"""
+            """SELECT month, sales,
+            CASE WHEN lag(month) OVER w = CAST(month - INTERVAL 1 MONTH AS DATE) THEN sales - lag(sales) OVER w END AS change,
+            CAST(sum(sales) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_sales
+        FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, CAST(sum(sales_amount) AS BIGINT) AS sales
+            FROM fact_sales GROUP BY 1) AS m
+        WINDOW w AS (ORDER BY month NULLS LAST)"""
         ),
     ),
     "seasonal_index": (

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.sources import files, folders
+
 
 def create_database(spark: SparkSession, database: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_literal(location)}")
@@ -16,19 +18,24 @@ def register_parquet(
 ) -> None:
     """Make the Parquet folder known as external table ``database.table``.
 
-    A table of the same columns, folder and layout only has its file list refreshed. Any other
-    one is dropped (its files stay) and created again, so that new columns become visible.
+    A table of the same columns and layout is pointed to the folder by one catalog change, so a
+    reader finds the old rows or the new ones. Any other one is dropped (its files stay) and
+    created again, so that new columns become visible.
     """
     known = spark.catalog.tableExists(table)
-    if known and not _matches(spark, table, path, schema, partition_by):
+    if known and not _matches(spark, table, schema, partition_by):
         spark.sql(f"DROP TABLE {table}")
         known = False
-    if not known:
+    if known:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    else:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        folders = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET {folders} LOCATION {_literal(path)}")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING PARQUET {parts} LOCATION {_literal(path)}")
+        if partition_by:
+            spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
 
 
@@ -40,10 +47,13 @@ def tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def read_or_fallback(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """The catalog table, or the Parquet folder if the catalog does not know the table."""
+    """The catalog table, or the Parquet folder if the catalog does not know the table or cannot read it."""
     if spark.catalog.tableExists(table):
-        return spark.table(table)
-    return spark.read.parquet(path)
+        found = spark.table(table)
+        location = _location(spark, table)
+        if location is None or folders.exists(spark, location):
+            return found
+    return files.read_parquet(spark, path)
 
 
 def create_view(spark: SparkSession, view: str, query: str) -> DataFrame:
@@ -57,20 +67,17 @@ def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def _matches(
-    spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: tuple[str, ...]
-) -> bool:
+def _matches(spark: SparkSession, table: str, schema: T.StructType, partition_by: tuple[str, ...]) -> bool:
     if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != list(partition_by):
         return False
     held = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
-    if held != {f.name: f.dataType.simpleString() for f in schema.fields}:
-        return False
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-    return location is not None and _plain(location["data_type"]) == _plain(path)
+    return held == {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
-def _plain(path: str) -> str:
-    return path.removeprefix("file:").replace("///", "/").rstrip("/")
+def _location(spark: SparkSession, table: str) -> str | None:
+    """Where the files of a table are; None for a view."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return found and found["data_type"]
 
 
 def _literal(text: str) -> str:

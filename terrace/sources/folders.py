@@ -11,12 +11,15 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(folder, True)
 
 
-def replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path``."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
     system, folder = _find(spark, path)
-    system.delete(folder, True)
-    if not system.rename(_find(spark, fresh)[1], folder):
-        raise OSError(f"cannot rename {fresh} to {path}")
+    return [found.getPath().getName() for found in system.listStatus(folder)] if system.exists(folder) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _find(spark, path)
+    return system.exists(folder)
 
 
 def _find(spark: SparkSession, path: str):

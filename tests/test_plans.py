@@ -13,6 +13,7 @@ from terrace.operators.lookup import left_lookup
 from terrace.plans import gold, marts, silver
 from terrace.queries import layers
 from terrace.queries.inputs import SOURCES, table
+from terrace.staging import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -105,20 +106,30 @@ def test_no_python_in_any_plan(spark, no_broadcast):
         assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_reports_reduce_the_fact_before_the_join(spark, no_broadcast):
+def test_reports_reduce_the_fact_before_the_join(spark, no_broadcast, monkeypatch):
+    """The fact is read once, by a table of sums that is written; what is left reads that table."""
     warehouse = layers.warehouse_of(spark, SF_DIR)
     fact, products = warehouse.read("gold", "fact_sales"), warehouse.read("gold", "dim_products")
-    text = plan(marts.seasonal_forecast(fact, products))
-    lines = text.splitlines()
-    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "sales_amount" in line)
-    exchanges = [i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(product_key" in line]
-    assert exchanges and any("partial_sum" in line for line in lines[exchanges[-1] : scan])
-
-
-def test_reports_read_only_what_they_need(spark, no_broadcast):
+    written = []
+    monkeypatch.setattr(marts, "stage", lambda df, label: written.append(plan(df)) or stage(df, label))
+    for report in (marts.seasonal_forecast, marts.agg_sales_rollup):
+        after = plan(report(fact, products))
+        (before,) = [written.pop()]
+        assert "sales_amount" not in after and "Expand" not in after + before
+        lines = before.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "sales_amount" in line)
+        exchanges = [i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(product_key" in line]
+        assert before.count("sales_amount:bigint") == 1
+        assert exchanges and any("partial_sum" in line for line in lines[exchanges[-1] : scan])
+
+
+def test_reports_read_only_what_they_need(spark, no_broadcast, monkeypatch):
     warehouse = layers.warehouse_of(spark, SF_DIR)
     fact, products = warehouse.read("gold", "fact_sales"), warehouse.read("gold", "dim_products")
-    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan(marts.agg_sales_rollup(fact, products)))
+    written = []
+    monkeypatch.setattr(marts, "stage", lambda df, label: written.append(plan(df)) or stage(df, label))
+    marts.agg_sales_rollup(fact, products)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", written[0])
     columns = [{c.split(":")[0] for c in schema.split(",")} for schema in schemas]
     assert {"order_number", "product_key", "order_date", "sales_amount", "quantity"} in columns
     assert {"product_key", "cat"} in columns
