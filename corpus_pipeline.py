@@ -1,7 +1,8 @@
 """The training-text pipeline: each stage works on all that the one before kept.
 
 ``run`` writes the result of each stage as Parquet below ``spark.checkpoint.dir`` and reads it
-again, so a lost executor repeats tasks of one stage only.
+again, so a lost executor repeats tasks of one stage only. What a stage wrote for itself goes when it ends, and
+its result when the next one is complete.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.llm import decontaminate, lines, quality, sequences, simhash
 from terrace.llm.rows import table
-from terrace.staging import stage
+from terrace.sources import folders
+from terrace.staging import scratch_path, staged_until_end
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the documents that pass all stages."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with staged_until_end(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before is not None:
+            folders.delete(spark, before)
+        before = path
     return docs
