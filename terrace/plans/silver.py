@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import codes
-from terrace.functions.amounts import repair_amount, repair_price
+from terrace.functions.amounts import common_number, repair_amount, repair_price
 from terrace.functions.dates import null_future, parse_yyyymmdd
 from terrace.functions.text import (
     category_part,
@@ -54,8 +54,12 @@ def silver_products(bronze: DataFrame, tie_break: Sequence[str]) -> DataFrame:
 
 
 def silver_sales(bronze: DataFrame) -> DataFrame:
-    """Order lines with real dates and consistent amounts; the price uses the repaired amount."""
-    amount = repair_amount(F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price"))
+    """Order lines with real dates and consistent amounts; the price uses the repaired amount.
+
+    Amounts are whole numbers, decimals or doubles, like the columns they come from.
+    """
+    number = common_number([bronze.schema[c].dataType for c in ("sls_sales", "sls_quantity", "sls_price")])
+    amount = repair_amount(F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price"), number)
     return bronze.select(
         "sls_ord_num",
         "sls_prd_key",

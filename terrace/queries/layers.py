@@ -7,12 +7,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.functions.dates import parse_yyyymmdd
 from terrace.plans import gold, medallion, silver
 from terrace.plans.checks import warehouse_report
 from terrace.plans.load import Audit, Load, Warehouse, audit_table, run_loads
 from terrace.queries.inputs import AS_OF, SOURCES, table
 from terrace.queries.oracle import with_tables
 from terrace.sources import catalog, files
+from terrace.sources.schemas import SOURCES as DECLARED
+from terrace.sources.schemas import conform
 from terrace.staging import scratch_path
 
 _built: dict[tuple[str, str], Warehouse] = {}
@@ -143,6 +146,16 @@ def silver_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_sales(SOURCES["crm_sales_details"](spark, sf_dir))
 
 
+def silver_sales_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as another database has them: quarters as decimals, dates as text and as dates."""
+    sales = SOURCES["crm_sales_details"](spark, sf_dir)
+    money = {c: (F.col(c) / 4).cast("decimal(14,2)") for c in ("sls_sales", "sls_price")}
+    shipped, due = parse_yyyymmdd(F.col("sls_ship_dt")), parse_yyyymmdd(F.col("sls_due_date"))
+    dates = {"sls_order_dt": F.col("sls_order_dt").cast("string"), "sls_ship_dt": shipped, "sls_due_date": due.cast("string")}
+    cleaned = silver.silver_sales(conform(sales.withColumns({**money, **dates}), DECLARED["crm_sales_details"]))
+    return cleaned.withColumn("sls_sales", F.col("sls_sales").cast("double"))
+
+
 def silver_erp_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_erp_customers(SOURCES["erp_cust_az12"](spark, sf_dir), AS_OF)
 
@@ -255,6 +268,10 @@ QUERIES = {
     "silver_customers": (silver_customers, with_tables("SELECT * FROM s_cust")),
     "silver_products": (silver_products, with_tables("SELECT * FROM s_prd")),
     "silver_sales": (silver_sales, with_tables("SELECT * FROM s_sales")),
+    "silver_sales_decimal": (
+        silver_sales_decimal,
+        with_tables("SELECT * REPLACE (CAST(sls_sales AS DOUBLE) / 4 AS sls_sales, sls_price / 4 AS sls_price) FROM s_sales"),
+    ),
     "silver_erp_customers": (silver_erp_customers, with_tables("SELECT * FROM s_erp")),
     "silver_locations": (silver_locations, with_tables("SELECT * FROM s_loc")),
     "silver_categories": (silver_categories, with_tables("SELECT * FROM s_cat")),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.functions.dates import parse_yyyymmdd
+
 
 class SchemaMismatch(ValueError):
     """A table lacks a declared column or holds it in another type."""
@@ -44,6 +47,9 @@ SOURCES = {
     "erp_px_cat_g1v2": _schema("id string, cat string, subcat string, maintenance string"),
 }
 
+# Measures keep the type that the database has for them: whole numbers, decimals or doubles.
+MEASURES = ("prd_cost", "sls_sales", "sls_quantity", "sls_price")
+
 # Names of the silver columns in the star schema.
 CUSTOMER_NAMES = {
     "cst_id": "customer_id",
@@ -108,8 +114,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns in declared type, followed by any further columns.
 
     Names match in any case and come out as declared. Narrower numbers and whole decimals, which
-    databases often return for integers, widen and timestamps become dates; a missing column or
-    another type is a :class:`SchemaMismatch`.
+    databases often return for integers, widen, and timestamps become dates. Measures may be
+    decimals or doubles, and stay that. Dates may be text; dates declared as whole numbers (``yyyyMMdd``) may be
+    text or dates. Text that is no date becomes NULL. A missing column or another type is a
+    :class:`SchemaMismatch`.
     """
     found = {f.name.lower(): f for f in df.schema.fields}
     columns = []
@@ -118,14 +126,28 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         actual = found.pop(field.name.lower(), None)
         if actual is None:
             raise SchemaMismatch(f"column {field.name} is missing")
-        held = actual.dataType.simpleString()
-        if held != wanted and not _widens(actual.dataType, wanted):
-            raise SchemaMismatch(f"column {field.name} is {held}, declared as {wanted}")
-        column = df[actual.name]
-        columns.append((column if held == wanted else column.cast(field.dataType)).alias(field.name))
+        column = _converted(df[actual.name], actual.dataType, wanted, field.name in MEASURES)
+        if column is None:
+            raise SchemaMismatch(f"column {field.name} is {actual.dataType.simpleString()}, declared as {wanted}")
+        columns.append(column.alias(field.name))
     return df.select(*columns, *(df[f.name] for f in found.values()))
 
 
+def _converted(column: Column, held: T.DataType, wanted: str, measure: bool) -> Column | None:
+    """The column in the declared type, or in its own if it is a measure; None if there is no way."""
+    if held.simpleString() == wanted or measure and isinstance(held, T.DecimalType | T.DoubleType):
+        return column
+    if _widens(held, wanted):
+        return column.cast(_TYPES[wanted])
+    if isinstance(held, T.StringType) and wanted == "date":
+        return F.coalesce(column.try_cast("date"), parse_yyyymmdd(column))
+    if isinstance(held, T.StringType) and wanted == "int":
+        return F.translate(F.trim(column), "-", "").try_cast("int")
+    if held.simpleString() in ("date", "timestamp", "timestamp_ntz") and wanted == "int":
+        return F.year(column) * 10_000 + F.month(column) * 100 + F.day(column)
+    return None
+
+
 def _widens(held: T.DataType, wanted: str) -> bool:
     if isinstance(held, T.DecimalType):
         digits = {"int": 9, "bigint": 18}.get(wanted, 0)

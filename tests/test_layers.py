@@ -240,6 +240,18 @@ def test_conform(spark):
         conform(df.withColumn("ID", F.lit("a")), declared)
 
 
+def test_conform_takes_other_types_of_measures_and_dates(spark):
+    df = spark.createDataFrame([("2011-12-29", "2011-12-30", "x", 1)], "sls_order_dt string, day string, bad string, n int").withColumns(
+        {"sls_price": F.lit("1.25").cast("decimal(10,2)"), "due": F.lit("2012-01-02").cast("date")}
+    )
+    declared = T.StructType(
+        [T.StructField(n, t) for n, t in (("sls_order_dt", T.IntegerType()), ("day", T.DateType()), ("bad", T.DateType()), ("due", T.IntegerType()), ("sls_price", T.LongType()))]
+    )
+    found = conform(df, declared)
+    assert found.first()[:4] == (20111229, dt.date(2011, 12, 30), None, 20120102)
+    assert dict(found.dtypes)["sls_price"] == "decimal(10,2)"
+
+
 def test_duplicate_dimension_keys_multiply_rows(spark, source):
     customers = silver.silver_customers(source("crm_cust_info"), ["cst_key"])
     erp = silver.silver_erp_customers(source("erp_cust_az12"), D(2024, 1, 1))
