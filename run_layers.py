@@ -14,6 +14,7 @@ import sys
 from pyspark.sql import functions as F
 
 from terrace.plans import medallion
+from terrace.plans.checks import warehouse_report
 from terrace.plans.load import LoadFailed, Warehouse, audit_table
 from terrace.session import session
 from terrace.sources.jdbc import Connection
@@ -35,6 +36,9 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--newest-last", nargs="+", help="tie-break of customer records, descending")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="last valid birth date; by default today")
     parser.add_argument("--hot-share", type=float, help="salt fact keys that hold more than this share of the rows")
+    parser.add_argument("--unique-keys", action="store_true", help="fail if a looked-up key occurs twice")
+    parser.add_argument("--fact-by", nargs="*", default=[], metavar="COLUMN", help="columns that cut the fact into folders")
+    parser.add_argument("--quality", action="store_true", help="print the quality report at the end")
     parser.add_argument("--reports", action="store_true", help="add the flat and the aggregated tables")
     parser.add_argument("--export", action="store_true", help="copy the gold tables to the database")
     parser.add_argument("--hive", action="store_true", help="register the tables in the Hive catalog")
@@ -68,7 +72,11 @@ def main(arguments: list[str]) -> int:
             layers=given.layers,
             hot_share=given.hot_share,
             with_reports=given.reports,
+            fact_partition_by=tuple(given.fact_by),
+            unique_keys=given.unique_keys,
         )
+        if given.quality:
+            warehouse_report(Warehouse(spark, given.root)).show(100, truncate=False)
     except LoadFailed as failed:
         audits, status = failed.audits, 1
     audit_table(spark, audits).show(len(audits), truncate=False)

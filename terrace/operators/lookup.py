@@ -23,10 +23,11 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows with a key: fewer than ``1 / share`` of them."""
+    """Keys, as ``_hot``, with more than ``share`` of the rows with a key, and their ``_share``: fewer than ``1 / share`` of them."""
     counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") > share * total).select("_hot")
+    part = (F.col("_n") / total).alias("_share")
+    return counts.select("_hot", part).where(F.col("_share") > share)
 
 
 def left_lookup(
@@ -48,7 +49,7 @@ def left_lookup(
     is known beforehand. With ``spread_by``, rows without a key, which never match, go to
     all shuffle partitions by a hash of these columns. With ``hot_share``, keys above this share
     of the left rows are counted first, their left rows spread the same way, and only their
-    right rows repeated once per slot. The count runs over ``count_in``, which spares computing
+    right rows repeated once per slot, of which it has its share. The count runs over ``count_in``, which spares computing
     a joined ``left`` twice; a key it misses or adds changes the speed and not the result.
     """
     if hot_share is not None and not 0 < hot_share <= 1:
@@ -70,8 +71,11 @@ def left_lookup(
         counted = left if count_in is None else count_in
         hot = F.broadcast(hot_keys(counted, left_key, hot_share))  # fewer than 1 / hot_share rows
         left = left.join(hot, F.col(left_key) == F.col("_hot"), "left")
+        # As many slots as the key's rows would fill shuffle partitions, so no right row is repeated more often.
+        own = F.ceil(F.col("_share") * slots).cast("bigint")
         spread = spread | F.col("_hot").isNotNull()
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint"))
+        slot = F.pmod(F.xxhash64(*spread_by), F.coalesce(own, F.lit(slots)))
+        every = F.sequence(F.lit(0).cast("bigint"), own - 1)
         homes = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(home))
         picked = picked.join(hot, F.col("_key") == F.col("_hot"), "left").select(
             "_key", *columns, F.explode(homes).alias("_home")

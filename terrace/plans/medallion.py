@@ -56,25 +56,31 @@ def silver_loads(
 
 
 def gold_loads(
-    fact_partition_by: tuple[str, ...] = (), hot_share: float | None = None
+    fact_partition_by: tuple[str, ...] = (), hot_share: float | None = None, unique_keys: bool = False
 ) -> list[list[Load]]:
     """Both dimensions, then the fact, which reads the written dimensions.
 
-    ``hot_share`` as in :func:`terrace.operators.lookup.left_lookup`.
+    ``hot_share`` as in :func:`terrace.operators.lookup.left_lookup`, ``unique_keys`` as in
+    :func:`terrace.plans.gold.dim_customers`.
     """
     dimensions = [
         Load(
             "gold",
             "dim_customers",
             lambda w: gold.dim_customers(
-                w.read("silver", "crm_cust_info"), w.read("silver", "erp_cust_az12"), w.read("silver", "erp_loc_a101")
+                w.read("silver", "crm_cust_info"),
+                w.read("silver", "erp_cust_az12"),
+                w.read("silver", "erp_loc_a101"),
+                unique_keys,
             ),
             ("silver.crm_cust_info", "silver.erp_cust_az12", "silver.erp_loc_a101"),
         ),
         Load(
             "gold",
             "dim_products",
-            lambda w: gold.dim_products(w.read("silver", "crm_prd_info"), w.read("silver", "erp_px_cat_g1v2")),
+            lambda w: gold.dim_products(
+                w.read("silver", "crm_prd_info"), w.read("silver", "erp_px_cat_g1v2"), unique_keys
+            ),
             ("silver.crm_prd_info", "silver.erp_px_cat_g1v2"),
         ),
     ]
@@ -155,10 +161,12 @@ def run(
     hot_share: float | None = None,
     with_reports: bool = False,
     parallel: int = 4,
+    unique_keys: bool = False,
 ) -> list[Audit]:
     """Full load of the given layers; raises :class:`LoadFailed` at the end if a table is not loaded.
 
-    ``fact_partition_by`` and ``hot_share`` shape the load of the fact; ``with_reports`` adds the flat and the aggregated tables to the gold layer.
+    ``fact_partition_by`` and ``hot_share`` shape the load of the fact; ``with_reports`` adds the flat and the aggregated tables to the gold layer;
+    with ``unique_keys``, a dimension whose looked-up keys are not unique fails.
     """
     steps: list[list[Load]] = []
     if "bronze" in layers:
@@ -166,7 +174,7 @@ def run(
     if "silver" in layers:
         steps.append(silver_loads(customer_tie_break, as_of))
     if "gold" in layers:
-        steps += gold_loads(fact_partition_by, hot_share)
+        steps += gold_loads(fact_partition_by, hot_share, unique_keys)
     if with_reports:
         steps.append(report_loads())
     if export_to is not None:

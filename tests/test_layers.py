@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.operators import lookup
 from terrace.operators.lookup import DuplicateKeys
 from terrace.plans import gold, load, marts, medallion, silver
 from terrace.plans.checks import warehouse_report
@@ -406,6 +407,22 @@ def test_custom_load(spark, warehouse):
     assert audits[0].row_count == 3
 
 
+def test_unique_keys_are_asked_for_by_the_run(spark, warehouse, source):
+    def doubled(name):
+        df = source(name)
+        return df.union(df) if name == "erp_loc_a101" else df
+
+    with pytest.raises(LoadFailed, match="cid is not unique"):
+        medallion.run(warehouse, doubled, unique_keys=True)
+
+
+@pytest.mark.parametrize("share", [0, -1, 1.5])
+def test_hot_share_is_checked(spark, share):
+    df = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(ValueError, match="hot_share"):
+        lookup.left_lookup(df, df.withColumn("x", F.lit(1)), "k", "k", ["x"], ["k"], share)
+
+
 def test_command_line():
     import run_layers
 
