@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.rows import BLANK, aside, text_of
+from terrace.llm.rows import BLANK, aside, fixed, text_of
 
 WINDOW = 3
 
@@ -54,12 +54,13 @@ def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "tex
     marked = marked.withColumn("_removed", F.when(F.size("_starts") > 0, removed).otherwise(none))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed")
     cleaned = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    return marked.select(
+    found = marked.select(
         "_row",
         F.when(F.size("_removed") == 0, F.col("_given")).otherwise(cleaned).alias("text"),
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.size("_removed").cast("bigint").alias("n_removed"),
     )
+    return fixed(found, "_row")
 
 
 def cleaned_documents(docs: DataFrame) -> DataFrame:

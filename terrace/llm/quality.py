@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.rows import BLANK, aside, text_of, words_of
+from terrace.llm.rows import BLANK, aside, fixed, text_of, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 SPAN = 8
@@ -84,7 +84,7 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words", F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(covered)).cast("bigint")
     )
     bits = reduce(Column.bitwiseOR, (F.when(F.expr(rule), F.lit(BIT[name])).otherwise(F.lit(0)) for name, rule in RULES.items()))
-    return measured.select("_row", *MEASURES, bits.cast("bigint").alias("failure_bits"))
+    return fixed(measured.select("_row", *MEASURES, bits.cast("bigint").alias("failure_bits")), "_row")
 
 
 def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
@@ -94,10 +94,7 @@ def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def kept_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The input rows that the policy keeps, unchanged."""
-    # A plain filter, or that of an inner explode, would be pushed below the measures and compute all of them a second time,
-    # the word lists anew for each window; the filter on an outer explode stays above.
-    judged = verdicts(docs, policy).select(F.when(F.col("kept"), F.array("_row")).alias("_kept"))
-    return judged.select(F.explode_outer("_kept").alias("_row")).where("_row is not null").select("_row.*")
+    return verdicts(docs, policy).where("kept").select("_row.*")
 
 
 def ablations(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:

@@ -18,7 +18,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
     )
-    given = given.union(spark.createDataFrame(TRICKY, given.schema))
+    kinds = {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"}
+    tricky = F.array(*(F.struct(*(F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, kinds.items()))) for row in TRICKY))
+    given = given.union(spark.range(1).select(F.inline(tricky)))
     found = chat.formatted(given.select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts")))
     read = found.withColumn("turns", chat.read_back(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

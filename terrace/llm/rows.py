@@ -19,6 +19,16 @@ def aside(docs: DataFrame, **columns: str | Column) -> DataFrame:
     return docs.select(F.struct("*").alias(ROW), *(F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()))
 
 
+def fixed(df: DataFrame, *plain: str) -> DataFrame:
+    """``df`` with columns that later filters find computed, except for the ``plain`` ones.
+
+    A filter on a column is otherwise pushed below the steps that compute it, and computes all of
+    them again, lists anew for each of their elements. It is not pushed below an outer generator.
+    """
+    computed = [c for c in df.columns if c not in plain]
+    return df.select(*plain, F.inline_outer(F.array(F.struct(*computed)))).select(*df.columns)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty if NULL."""
     return F.coalesce(F.col(column), F.lit(""))

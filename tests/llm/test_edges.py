@@ -90,3 +90,11 @@ def test_repeated_rows_count_as_one_document(odd_documents):
     assert [r.n_removed for r in found] == [0, 0]
     both = lines.without_repeated_lines(odd_documents.where("doc_id in (1, 2)")).collect()
     assert sorted(r.n_removed for r in both) == [0, 8, 8]
+
+
+def test_filters_stay_above_what_they_filter(documents):
+    """Pushed down, a filter would compute windows of words and lines once per element of a list."""
+    for df, wanted in ((quality.verdicts(documents), "kept and n_repeat_words > 0"), (lines.without_repeated_lines(documents), "n_removed > 0")):
+        plan = df.where(wanted)._jdf.queryExecution().optimizedPlan().toString()
+        assert max(map(len, plan.split("\n"))) < 6000
+        assert 0 < df.where(wanted).count() < documents.count()
