@@ -376,3 +376,14 @@ def test_pipeline(spark):
         found[r.doc_id] += r.length
     assert found == expected
     assert leaked and len(kept) < len(docs)  # every stage had something to do
+
+
+def test_components_with_a_hot_centre(spark):
+    """A star whose centre is at half of all ends, a chain, and edges of their own."""
+    edges = [(0, i) for i in range(1, 400)] + [(i, i + 1) for i in range(1000, 1040)] + [(i, i + 1) for i in range(2000, 2600, 2)]
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    hot = components._hot(frame.select(F.col("b").alias("hi"), F.col("a").alias("lo")), len(edges))
+    assert hot == [0]
+    found = {r.node: r.root for r in components.components(frame).collect()}
+    expected = {b: 0 if b < 400 else 1000 if b < 2000 else a for a, b in edges}
+    assert found == expected
