@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,10 +142,15 @@ def jdbc_source(
     schema: str = "bronze",
     parallel_by: Mapping[str, tuple[str, int]] | None = None,
 ) -> Source:
-    """Source tables in a database; ``parallel_by`` gives column and number of reads per table."""
+    """Source tables in a database; ``parallel_by`` gives column and number of reads per table.
+
+    A table without an entry is read by one task, which warns: that fits small tables only.
+    """
 
     def read(name: str) -> DataFrame:
         column, partitions = (parallel_by or {}).get(name, (None, 1))
+        if column is None or partitions <= 1:
+            warnings.warn(f"{schema}.{name} is read by one task; name a column in parallel_by to share it", stacklevel=2)
         return read_table(spark, connection, f"{schema}.{name}", column, partitions)
 
     return read

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -429,3 +430,14 @@ def test_command_line():
     given = run_layers.parse(["--root", "/data", "--layers", "silver", "--parallel-by", "a:b:4", "--as-of", "2024-01-31"])
     assert given.as_of == D(2024, 1, 31)
     assert (given.root, given.layers, given.parallel_by, given.export) == ("/data", ["silver"], ["a:b:4"], False)
+
+
+def test_database_tables_read_by_one_task_warn(spark):
+    fake = FakeSession(spark.createDataFrame([(1, 90)], "lo int, hi int"))
+    read = medallion.jdbc_source(fake, CONNECTION, "src", {"crm_sales_details": ("sls_cust_id", 64)})
+    with pytest.warns(UserWarning, match="src.crm_cust_info is read by one task"):
+        read("crm_cust_info")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        read("crm_sales_details")
+    assert fake.log[-1][1]["numPartitions"] == 64
