@@ -438,6 +438,6 @@ def test_database_tables_read_by_one_task_warn(spark):
     with pytest.warns(UserWarning, match="src.crm_cust_info is read by one task"):
         read("crm_cust_info")
     with warnings.catch_warnings():
-        warnings.simplefilter("error")
+        warnings.simplefilter("error", UserWarning)
         read("crm_sales_details")
     assert fake.log[-1][1]["numPartitions"] == 64
