@@ -32,7 +32,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, ranks: str | None = None)
     path = ranks or tokens.ranks_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path).encode_ordinary
+        encode = tokens.encoder(path)
         for batch in batches:
             rows: list[tuple] = []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):

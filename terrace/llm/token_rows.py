@@ -43,7 +43,7 @@ def rows(docs: DataFrame, row_tokens: int = ROW_TOKENS, ranks: str | None = None
     path = ranks or tokens.ranks_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokens.encoder(path).encode_ordinary
+        encode = tokens.encoder(path)
         first = TaskContext.get().partitionId() << 32
         held: list[tuple[int | None, int, np.ndarray]] = []
         size = 0

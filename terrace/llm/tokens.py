@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
 
 
 def ranks_path() -> str:
@@ -12,8 +14,24 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The tokens that the vocabulary has beside its ranks: those that the ``.json`` of the same name lists, if there is one."""
+    described = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(described):
+        return {}
+    with open(described, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in found):
+        raise ValueError(f"{described} has added tokens that are not plain strings")
+    return {t["content"]: t["id"] for t in found}
+
+
 def encoder(path: str):
-    """The encoding of a file of ranks; loaded once per worker process. No text is read as a special token."""
+    """Text to token ids by a file of ranks; loaded once per worker process.
+
+    As in the library that the vocabulary is from, a text is cut at the added tokens, each of which is one id, and
+    what lies between is encoded by the ranks.
+    """
     import sys
 
     kept = sys.__dict__.setdefault("_encoders", {})  # outlives the function, which workers unpickle per task
@@ -23,5 +41,12 @@ def encoder(path: str):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        kept[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        added = added_tokens(path)
+        encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+
+        def encode(text: str) -> list[int]:
+            # The search for added tokens costs more than telling that a text has none.
+            return encoding.encode(text, allowed_special="all") if any(t in text for t in added) else encoding.encode_ordinary(text)
+
+        kept[path] = encode
     return kept[path]

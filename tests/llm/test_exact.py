@@ -77,6 +77,28 @@ def test_token_rows_are_lossless(documents):
     assert len({r.row_id for r in rows}) == len(rows)
 
 
+def test_added_tokens_are_one_id(spark):
+    """Against the vocabulary as it is, without any setting."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"x  {end}\n\n {end}s é中", f"a\n {end[:-1]} {end[1:]}", f"don't{end}'t", f" {end} " * 700, "none", ""]
+    expected = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    assert expected[0] == [64, 220, 50256, 275, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    pieces = defaultdict(list)
+    for row in token_rows.rows(docs).collect():
+        ids = np.frombuffer(row.ids, "<u2")
+        for doc, start, a, b in zip(row.doc_ids, row.starts, row.segment_ends, row.segment_ends[1:]):
+            pieces[doc].append((start, ids[a:b].tolist()))
+    assert {d: [i for _, part in sorted(p) for i in part] for d, p in pieces.items()} == expected
+    for r in sequences.packed(docs).collect():
+        ids = np.array(expected[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_best_fit_takes_the_smallest_space():
     r = random.Random(3)
     lengths = [r.randrange(1, 101) for _ in range(2000)]
