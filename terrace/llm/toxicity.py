@@ -28,6 +28,8 @@ DECAY = 1e-5
 POSITIVE_WEIGHT = 2.0
 #: Terms are used whose share of toxic documents is this many standard errors off the expected one.
 SIGNIFICANT = 3.0
+#: Pairs are many, so both terms of a pair are used if it is this many standard errors off what its two terms say.
+SIGNIFICANT_PAIR = 6.0
 HELD_OUT_OF = 5
 _WORD = re.compile(r"\w+")
 _KNOWN_MOST = 500_000
@@ -59,13 +61,18 @@ class Machine:
         self.vector = np.random.default_rng(7).normal(0, 0.05, (BUCKETS, FACTORS)).astype(np.float32)
 
     def choose(self, texts: list[np.ndarray], labels: np.ndarray) -> None:
-        """Use the terms that toxic documents hold clearly more, or less, often than chance has it."""
+        """Use the terms that toxic documents hold clearly more, or less, often than chance has it, and those of such pairs.
+
+        A term can be as frequent in toxic documents as in others and still count beside another one. So all pairs
+        are looked at as well, against the share that the two terms' own shares add up to.
+        """
         if not len(texts):
             return
         total = np.bincount(np.concatenate(texts), minlength=BUCKETS)
         toxic = np.bincount(np.concatenate([np.zeros(0, np.int32), *(t for t, y in zip(texts, labels) if y > 0)]), minlength=BUCKETS)
         expected = total * labels.mean()
         self.used = np.abs(toxic - expected) >= SIGNIFICANT * np.sqrt(expected + 1)
+        self.used[_in_pairs(texts, labels, total, toxic)] = True
 
     def logits(self, terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Of several texts whose used terms, at least one each, lie one after the other."""
@@ -119,6 +126,47 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
+def _in_pairs(texts: list[np.ndarray], labels: np.ndarray, total: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Terms of the pairs whose toxic documents are clearly more, or less, than the two terms' shares let expect.
+
+    A pair can reach the bound upwards with so many toxic documents only, and
+    downwards with so many documents; terms that have neither are in no such pair, and need not be counted.
+    """
+    most = SIGNIFICANT_PAIR * (SIGNIFICANT_PAIR + np.sqrt(SIGNIFICANT_PAIR**2 + 4)) / 2  # n with n = bound * sqrt(n + 1)
+    kept = np.flatnonzero((toxic >= SIGNIFICANT_PAIR) | (total >= most))
+    place = np.full(BUCKETS, -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    # Toxic documents come first, so that the first of a term's documents are the toxic ones.
+    own = [p[p >= 0] for p in (place[texts[i]] for i in np.argsort(labels <= 0, kind="stable"))]
+    if not len(kept):
+        return kept
+    bad = int((labels > 0).sum())
+    sizes = np.array([len(t) for t in own])
+    ends, flat = np.cumsum(sizes), np.concatenate(own)
+    order = np.argsort(flat, kind="stable")
+    docs = np.repeat(np.arange(len(own)), sizes)[order]
+    first = np.append(0, np.cumsum(np.bincount(flat, minlength=len(kept))))
+    n = np.diff(first)
+    n_bad = np.bincount(flat[: ends[bad - 1] if bad else 0], minlength=len(kept))
+    odds = lambda part, whole: np.log((part + 0.5) / (whole - part + 0.5))
+    base, alone = odds(bad, len(own)), odds(n_bad, n)
+    found = np.zeros(len(kept), bool)
+    for a in range(len(kept)):
+        with_a = docs[first[a] : first[a + 1]]
+        both_bad, both = (
+            np.bincount(np.concatenate([flat[:0], *(own[d] for d in some)]), minlength=len(kept)) for some in (with_a[: n_bad[a]], with_a[n_bad[a] :])
+        )
+        both += both_bad
+        b = np.flatnonzero((both_bad >= SIGNIFICANT_PAIR) | (both >= most))
+        b = b[b > a]
+        # Shares add up as odds do in a sum of weights.
+        expected = both[b] / (1 + np.exp(-(alone[a] + alone[b] - base)))
+        off = b[np.abs(both_bad[b] - expected) >= SIGNIFICANT_PAIR * np.sqrt(expected + 1)]
+        if len(off):
+            found[a] = found[off] = True
+    return kept[found]
+
+
 def trained(rows: list[tuple[int, list[int]]]) -> Machine:
     """Rows of label and terms, in any order."""
     labels = np.array([label for label, _ in rows], np.float32)

@@ -347,6 +347,33 @@ def test_pairs_count_more_than_their_terms():
     assert scores[0] < 0.5 < scores[1] and scores[3] < 0.5 < scores[2]
 
 
+def test_terms_that_count_in_pairs_only_are_used():
+    """Each of both terms is as frequent in toxic texts as in others; training chooses the terms itself."""
+    r = np.random.default_rng(4)
+    rows = []
+    for _ in range(4000):
+        a, b = int(r.random() < 0.5), int(r.random() < 0.5)
+        rows.append((int(a != b), [1] * a + [2] * b + [3] + sorted(r.choice(np.arange(100, 400), 10, False).tolist())))
+    machine = toxicity.trained(rows)
+    assert machine.used[[1, 2]].all() and machine.used.sum() < 20
+    scores = machine.scores([np.array(t, np.int32) for t in ([1, 3], [2, 3], [1, 2, 3])])
+    assert min(scores[:2]) > 0.5 > scores[2]
+
+
+def test_a_term_that_is_toxic_beside_another_one_is_used():
+    """Alone, the mention has the share of all texts, 11 %: all of it beside the insult, none without."""
+    r = np.random.default_rng(6)
+    rows = []
+    for _ in range(8000):
+        mention, insult = r.random() < 0.25, r.random() < 0.11
+        toxic = insult if mention else r.random() < 0.11
+        rows.append((int(toxic), [1] * mention + [2] * insult + sorted(r.choice(np.arange(100, 400), 10, False).tolist())))
+    machine = toxicity.trained(rows)
+    assert machine.used[[1, 2]].all()
+    scores = machine.scores([np.array(t, np.int32) for t in ([1], [2], [1, 2])])
+    assert max(scores[:2]) < 0.5 < scores[2]
+
+
 # Quality
 
 
