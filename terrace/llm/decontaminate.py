@@ -1,17 +1,19 @@
-"""Benchmark decontamination: training passages that hold a test item.
+"""Benchmark decontamination: training texts that hold a test item.
 
-The test items form a BM25 inverted index with block maxima. Every passage of every training text
-is a query. As in block-max WAND, the sum of a block's largest impacts is an upper bound for all
+The questions of the test items form a BM25 inverted index with block maxima. Every training text is a
+query, with all of its words. As in block-max WAND, the sum of a block's largest impacts is an upper bound for all
 items of the block, and only blocks whose bound reaches the threshold are scored; there, an item is
 left as soon as the terms that are still open cannot lift it over the threshold. Common terms of an
 item together stay below half its threshold, so bounds need its rarer ("essential") terms only.
-Items above the threshold are verified by the overlap of question and answer in five-word shingles.
+The threshold is the least score of a text that holds enough of the question, so the index only saves
+work: items above it are verified by the overlap of question and answer in five-word shingles, over the whole text.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -26,140 +28,151 @@ from terrace.staging import stage
 
 SHINGLE = 5
 OVERLAP = 0.8
-#: Share of an item's score against itself that a passage has to reach.
-SHARE = 0.6
 K1, B = 1.2, 0.75
-#: Words that begin shingles of one segment of an item, and of one passage step; a passage is two steps.
-SEGMENT = 60
-STEP = SEGMENT + SHINGLE - 1
 BLOCK = 16
 #: Words of items whose index is sent to the executors at a time; more items take more passes over the texts.
 INDEX_WORDS = 1_000_000
 
 _WORD = re.compile(r"\w+")
-FOUND = "item_id bigint, segment int, score double, question int, answer int, questions int, answers int"
+FOUND = "item_id bigint, score double, question_overlap double, answer_overlap double"
 
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def segments_of(item_id: int, text: str) -> list[tuple]:
-    """An item as segments: words, and how many of the shingles that start there belong to question and answer.
+def parts_of(text: str) -> tuple[list[str], list[str]] | None:
+    """Words of an item's question and answer; None without a word.
 
     The answer is the last line of an item of several lines, else the last quarter of its words;
-    the question is what comes before. A part shorter than a shingle is one shingle.
+    the question is what comes before.
     """
     lines = [w for w in map(words, text.split("\n")) if w]
     flat = [w for line in lines for w in line]
     if not flat:
-        return []
+        return None
     cut = len(flat) - (len(lines[-1]) if len(lines) > 1 else len(flat) // 4)
-    parts = [(0, cut, 0)] + [(cut, len(flat), 1)] * (cut < len(flat))
-    spans = [(i, min(i + SHINGLE, end), part) for start, end, part in parts for i in range(start, max(start + 1, end - SHINGLE + 1))]
-    totals = [sum(s[2] == part for s in spans) for part in (0, 1)]
-    found = []
-    for number, at in enumerate(range(0, len(flat), SEGMENT)):
-        own = [(i - at, end - at, part) for i, end, part in spans if at <= i < at + SEGMENT]
-        found.append((item_id, number, flat[at : at + STEP], [x for s in own for x in s], *totals))
-    return found
+    return flat[:cut], flat[cut:]
+
+
+def shingles_of(part: list[str]) -> list[tuple[str, ...]]:
+    """A part shorter than a shingle is one shingle, and one without a word has none."""
+    return [tuple(part[i : i + SHINGLE]) for i in range(max(1, len(part) - SHINGLE + 1))] if part else []
+
+
+def least_score(impact: dict[str, float], question: list[str]) -> float:
+    """A lower bound for the score of all texts that hold enough of the shingles of a question.
+
+    m different shingles cover m + 4 words or more, so a text that lacks k of them lacks at most k of the words. A term is
+    lacking if all its places are: the bound takes away the terms that score most per place, the last one in part.
+    """
+    n = max(1, len(question) - SHINGLE + 1)
+    room = int(n * (1 - OVERLAP) + 1e-6)
+    left = sum(impact.values())
+    count = Counter(question)
+    for term in sorted(impact, key=lambda t: -impact[t] / count[t]):
+        if not room:
+            break
+        places = min(room, count[term])
+        left -= impact[term] * places / count[term]
+        room -= places
+    return left
 
 
 class Index:
-    """Postings of one set of segments; every term carries its frequency over all segments."""
+    """Postings of one set of questions; every term carries its frequency over all questions."""
 
     def __init__(self, rows: list, n: int, mean: float):
-        self.segments = sorted(((r["item_id"], r["segment"], r["words"], r["spans"], r["questions"], r["answers"], r["frequency"]) for r in rows), key=lambda s: (s[0] is None, s[:2], s[2]))
+        self.items = sorted(((r["item_id"], r["question"], r["answer"], r["frequency"]) for r in rows), key=lambda s: (s[0] is None, s[0] or 0, *s[1:3]))
         self.terms: list[list[tuple[float, str]]] = []
+        self.total: list[float] = []
         self.threshold: list[float] = []
         need, postings = [], {}
-        for number, (_, _, text, _, _, _, frequency) in enumerate(self.segments):
-            length = K1 * (1 - B + B * len(text) / mean)
-            impact = [(float(np.log1p((n - df + 0.5) / (df + 0.5))) * (tf := text.count(t)) * (K1 + 1) / (tf + length), t) for t, df in frequency.items()]
+        for number, (_, text, _, frequency) in enumerate(self.items):
+            length, count = K1 * (1 - B + B * len(text) / mean), Counter(text)
+            impact = [(float(np.log1p((n - df + 0.5) / (df + 0.5))) * (tf := count[t]) * (K1 + 1) / (tf + length), t) for t, df in frequency.items()]
             impact.sort()
             self.terms.append(impact[::-1])
-            self.threshold.append(SHARE * sum(w for w, _ in impact))
-            open_ = self.threshold[-1]
+            self.total.append(sum(w for w, _ in impact))
+            self.threshold.append(least_score({t: w for w, t in impact}, text))
+            # The bound takes the most common terms for held.
+            dropped = 0.0
             for weight, term in impact:
-                if open_ - weight >= self.threshold[-1] / 2:
-                    open_ -= weight
+                if dropped + weight <= self.threshold[-1] / 2:
+                    dropped += weight
                 else:
                     per_block = postings.setdefault(term, {})
                     per_block[number // BLOCK] = max(per_block.get(number // BLOCK, 0.0), weight)
-            need.append(open_)
-        self.blocks = -(-len(self.segments) // BLOCK)
+            need.append(self.threshold[-1] - dropped)
+        self.blocks = -(-len(self.items) // BLOCK)
         self.need = np.array([min(need[i : i + BLOCK]) for i in range(0, len(need), BLOCK)]) - 1e-9
         self.term_id = {t: i for i, t in enumerate(postings)}
         self.first = np.cumsum([0, *map(len, postings.values())])
         self.block = np.array([b for p in postings.values() for b in p], np.int64)
         self.most = np.array([w for p in postings.values() for w in p.values()])
 
-    def candidates(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, step, block) of all passages and blocks whose bound reaches the block's threshold."""
-        # Texts lie one after the other, each from a new step on, with one empty step between.
-        steps = np.array([len(t) // STEP + 2 for t in texts])
-        base = np.append(0, np.cumsum(steps))
-        get, at, term = self.term_id.get, [], []
+    def candidates(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, block) of all texts and blocks whose bound reaches the block's threshold."""
+        get, size = self.term_id.get, max(1, len(self.term_id))
+        pairs = [np.zeros(0, np.int64)]
         for number, text in enumerate(texts):
-            ids = np.fromiter(map(get, text, repeat(-1)), np.int32, len(text))
-            hit = np.flatnonzero(ids >= 0)
-            at.append(hit // STEP + base[number])
-            term.append(ids[hit])
-        at, term = np.concatenate(at), np.concatenate(term).astype(np.int64)
-        size = max(1, len(self.term_id))
-        again = at > base[np.searchsorted(base, at, "right") - 1]
-        pair = _distinct(np.concatenate([at, at[again] - 1]) * size + np.concatenate([term, term[again]]))
-        passage, term = pair // size, pair % size
+            ids = np.fromiter(map(get, text, repeat(-1)), np.int64, len(text))
+            pairs.append(_distinct(ids[ids >= 0]) + number * size)
+        pair = np.concatenate(pairs)
+        text, term = pair // size, pair % size
         n = self.first[term + 1] - self.first[term]
         place = np.repeat(self.first[term] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()) if len(n) else n
-        key = np.repeat(passage, n) * self.blocks + self.block[place]
+        key = np.repeat(text, n) * self.blocks + self.block[place]
         order = np.argsort(key, kind="stable")
         key = key[order]
         if not len(key):
-            return key, key, key
+            return key, key
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         bound = np.add.reduceat(self.most[place][order], starts)
         key = key[starts]
         key = key[bound >= self.need[key % self.blocks]]
-        passage = key // self.blocks
-        number = np.searchsorted(base, passage, "right") - 1
-        return number, passage - base[number], key % self.blocks
+        return key // self.blocks, key % self.blocks
 
     def search(self, texts: list[list[str]]) -> Iterator[tuple]:
-        """Segments found in a text: its number, then the columns :data:`FOUND`."""
-        best: dict[tuple[int, int], list] = {}
-        last, held, shingles = None, set(), set()
-        for number, step, block in zip(*(c.tolist() for c in self.candidates(texts))):
-            if last != (number, step):
-                passage = texts[number][step * STEP : (step + 2) * STEP]
-                last, held, shingles = (number, step), set(passage), None
-            for s in range(block * BLOCK, min(len(self.segments), (block + 1) * BLOCK)):
-                score = self.score(s, held)
+        """Items that a text holds: its number, then the columns :data:`FOUND`."""
+        last, held, shingles = None, set(), {}
+        for number, block in zip(*(c.tolist() for c in self.candidates(texts))):
+            if last != number:
+                last, held, shingles = number, set(texts[number]), {}
+            for i in range(block * BLOCK, min(len(self.items), (block + 1) * BLOCK)):
+                score = self.score(i, held)
                 if score is None:
                     continue
-                text, spans = self.segments[s][2:4]
-                if shingles is None:
-                    shingles = {tuple(passage[i : i + k]) for k in range(1, SHINGLE + 1) for i in range(len(passage) - k + 1)}
-                hits = {i for i in range(0, len(spans), 3) if tuple(text[spans[i] : spans[i + 1]]) in shingles}
-                seen = best.setdefault((number, s), [0.0, set()])
-                seen[0] = max(seen[0], score)
-                seen[1] |= hits
-        for (number, s), (score, hits) in best.items():
-            item_id, segment, _, spans, questions, answers, _ = self.segments[s]
-            in_answer = sum(spans[i + 2] for i in hits)
-            yield number, item_id, segment, score, len(hits) - in_answer, in_answer, questions, answers
-
-    def score(self, s: int, held: set[str]) -> float | None:
-        """BM25 of segment ``s`` for the passage's terms, or None if below its threshold."""
-        left = self.threshold[s] / SHARE
-        for weight, term in self.terms[s]:
+                item_id, question, answer, _ = self.items[i]
+                in_question = _overlap(question, texts[number], shingles)
+                if in_question < OVERLAP:
+                    continue
+                in_answer = _overlap(answer, texts[number], shingles)
+                if in_answer is None or in_answer >= OVERLAP:
+                    yield number, item_id, score, in_question, in_answer
+
+    def score(self, i: int, held: set[str]) -> float | None:
+        """BM25 of the question of item ``i`` for the text's terms, or None if below its threshold."""
+        left = self.total[i]
+        for weight, term in self.terms[i]:
             if term not in held:
                 left -= weight
-                if left < self.threshold[s] - 1e-9:
+                if left < self.threshold[i] - 1e-9:
                     return None
         return left
 
 
+def _overlap(part: list[str], text: list[str], known: dict[int, set]) -> float | None:
+    """Share of the shingles of ``part`` that ``text`` holds; ``known`` keeps those of the text by length."""
+    own = shingles_of(part)
+    if not own:
+        return None
+    k = len(own[0])
+    if k not in known:
+        known[k] = set(zip(*(text[j:] for j in range(k))))
+    return sum(s in known[k] for s in own) / len(own)
+
+
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id``, ``_hash`` (of the text), ``item_id``, ``score``, ``question_overlap``, ``answer_overlap`` of leaked items.
 
@@ -177,15 +190,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         found = part if found is None else found.union(part)
     if found is None:
         found = docs.sparkSession.createDataFrame([], f"doc_id bigint, _hash bigint, {FOUND}")
-    key = ["doc_id", "_hash", "item_id"]
-    counts = ["question", "answer", "questions", "answers"]
-    per_segment = found.groupBy(*key, "segment").agg(*(F.max(c).alias(c) for c in ["score", *counts]))
-    per_item = per_segment.groupBy(*key).agg(
-        F.max("score").alias("score"),
-        (F.sum("question") / F.max("questions")).alias("question_overlap"),
-        F.try_divide(F.sum("answer"), F.max("answers")).alias("answer_overlap"),
-    )
-    return per_item.where((F.col("question_overlap") >= OVERLAP) & F.coalesce(F.col("answer_overlap") >= OVERLAP, F.lit(True)))
+    return found.groupBy("doc_id", "_hash", "item_id").agg(*(F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -213,35 +218,34 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
 
 
 _ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("_hash", pa.int64()), ("item_id", pa.int64()), ("segment", pa.int32()), ("score", pa.float64())]
-    + [(c, pa.int32()) for c in ("question", "answer", "questions", "answers")]
+    [("doc_id", pa.int64()), ("_hash", pa.int64()), ("item_id", pa.int64())] + [(c, pa.float64()) for c in ("score", "question_overlap", "answer_overlap")]
 )
 
 
 def _indexes(items: DataFrame) -> Iterator[Index]:
-    """Indexes of at most about :data:`INDEX_WORDS` words each; segments are dealt by hash."""
+    """Indexes of at most about :data:`INDEX_WORDS` words each; items are dealt by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             given = zip(*(c.to_pylist() for c in batch.columns))
-            rows = [(hash_, *s) for id_, hash_, text in given for s in segments_of(id_, text)]
+            rows = [(hash_, id_, *parts) for id_, hash_, text in given if (parts := parts_of(text))]
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32(), pa.int32()]
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    names = ["_hash", "item_id", "segment", "words", "spans", "questions", "answers"]
-    schema = "_hash bigint, item_id bigint, segment int, words array<string>, spans array<int>, questions int, answers int"
+    names = ["_hash", "item_id", "question", "answer"]
+    schema = "_hash bigint, item_id bigint, question array<string>, answer array<string>"
     source = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.xxhash64(text_of()).alias("_hash"), text_of().alias("_text"))
     cut = source.distinct().mapInArrow(run, schema)
-    cut = stage(cut.withColumn("_key", F.xxhash64("_hash", "item_id", "segment")).drop("_hash"), "segments")
-    terms = cut.select("_key", F.explode(F.array_distinct("words")).alias("term"))
+    cut = stage(cut.withColumn("_key", F.xxhash64("_hash", "item_id")).drop("_hash"), "questions")
+    terms = cut.select("_key", F.explode(F.array_distinct("question")).alias("term"))
     frequency = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    per_segment = terms.join(frequency, "term").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("frequency"))
-    indexed = stage(cut.join(per_segment, "_key"), "index")
-    n, total = indexed.agg(F.count(F.lit(1)), F.sum(F.size("words"))).first()
+    per_item = terms.join(frequency, "term").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("frequency"))
+    indexed = stage(cut.join(per_item, "_key"), "index")
+    n, asked, total = indexed.agg(F.count(F.lit(1)), F.sum(F.size("question")), F.sum(F.size("question") + F.size("answer"))).first()
     parts = -(-(total or 0) // INDEX_WORDS)
     for part in range(parts):
-        yield Index(indexed.where(F.pmod(F.col("_key"), F.lit(parts)) == part).collect(), n, total / n)
+        yield Index(indexed.where(F.pmod(F.col("_key"), F.lit(parts)) == part).collect(), n, asked / n)
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:

@@ -319,6 +319,51 @@ def test_leaks_of_long_items_over_several_indexes(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == plain_leaks(docs, items)
 
 
+def test_leaks_anywhere_in_a_text(spark):
+    """An answer key far behind the question, edits of a long item in one place, an item in pieces, and near misses."""
+    r = random.Random(5)
+    word = lambda: "w%d" % r.randrange(3000)
+    some = lambda n: [word() for _ in range(n)]
+    short, long_, lined, flat = some(40), some(300), some(30), ["the", "the", "a"] * 10 + some(9)
+    items = [(1, " ".join(short)), (2, " ".join(long_)), (3, " ".join(lined) + "\n" + " ".join(some(10))), (4, " ".join(flat)), (5, "one two"), (5, "one two three four\nfive")]
+    key = items[2][1].split("\n")[1].split()
+    gap = lambda a, b, n: a + some(n) + b
+    docs = [
+        gap(short[:30], short[30:], 500),
+        gap(lined, key, 300) + some(200),
+        gap(key, lined, 1000),
+        long_[:70] + some(38) + long_[108:],
+        long_[:70] + some(60) + long_[130:],
+        gap(gap(long_[:150], long_[150:225], 200), long_[225:], 200),
+        some(200) + flat + some(10),
+        gap(lined, key[:5], 300),
+        gap(["one", "two", "three", "four"], ["five"], 400),
+        short[:30] + some(500),
+        some(900),
+    ]
+    docs = [(d, " ".join(t)) for d, t in enumerate(docs)]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    found = {(r.doc_id, r.item_id) for r in found.collect()}
+    expected = set().union(*(plain_leaks(docs, [item]) for item in items))
+    assert found == expected >= {(0, 1), (1, 3), (2, 3), (3, 2), (5, 2), (6, 4), (8, 5)}
+    assert not {d for d, _ in found} & {4, 7, 9, 10}
+
+
+def test_least_score_is_a_lower_bound():
+    """Random texts that hold just enough of a question score no less."""
+    r = random.Random(8)
+    for _ in range(300):
+        question = ["w%d" % r.randrange(r.choice([3, 20, 500])) for _ in range(r.randrange(1, 80))]
+        impact = {t: r.random() * 9 for t in set(question)}
+        own = decontaminate.shingles_of(question)
+        places = list(range(len(own)))
+        gone = int(len(own) * 0.2 + 1e-6)
+        at = r.choice([0, len(own) - gone, r.randrange(len(own) - gone + 1)])
+        lacking = set(places[at : at + gone]) if r.random() < 0.5 else set(r.sample(places, gone))
+        held = {t for i, s in enumerate(own) if i not in lacking for t in s}
+        assert sum(impact[t] for t in held) >= decontaminate.least_score(impact, question) - 1e-9
+
+
 # Toxicity
 
 
