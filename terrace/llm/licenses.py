@@ -2,15 +2,22 @@
 
 Two texts have one canonical form if they differ only in case, punctuation, white space, copyright
 lines and equivalent spellings. The unit that is looked up is an entire text: the whole document,
-and each of its lines as a text of its own, which finds one-line notices. Built-in functions only.
+each of its lines as a text of its own, which finds one-line notices, and each run of as many paragraphs as a known
+text has, which finds texts and wrapped notices inside longer documents. Built-in functions only.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm.rows import text_of
+from terrace.llm.rows import BLANK, text_of
+
+#: Whole licence texts by identifier; after "~" comes the number of another edition of the same text.
+TEXTS = Path(__file__).with_name("license_texts")
 
 # Spellings that count as equal, after lower-casing.
 SPELLINGS = {
@@ -73,6 +80,39 @@ KNOWN = {
     ),
 }
 
+# Standard headers with a version, as (identifier, licence, version, later).
+_GNU = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {0} as published by the "
+    "Free Software Foundation; either version {1} of the License, or (at your option) any later version."
+)
+_WARRANTY = (
+    "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details."
+)
+_GNU_NAMES = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
+_GNU_VERSIONS = {"GPL-2.0": "2", "GPL-3.0": "3", "LGPL-2.1": "2.1", "LGPL-3.0": "3", "AGPL-3.0": "3"}
+# Headers of source files.
+HEADERS = {
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+        "License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable "
+        'law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES '
+        "OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+        "limitations under the License.",
+    ),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+} | {
+    f"{i}-or-later": tuple(
+        text.format(_GNU_NAMES[i.split("-")[0]], version) for text in (_GNU, f"{_GNU}\n\n{_WARRANTY}")
+    )
+    for i, version in _GNU_VERSIONS.items()
+}
+# Identifiers that are known from their SPDX line, besides those above.
+IDENTIFIERS = ("0BSD", "CC-BY-4.0", "CC-BY-3.0", "CC-BY-SA-3.0", "EPL-2.0", "Zlib", "BSL-1.0", "Artistic-2.0")
+
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, equivalent spellings, words with one space between."""
@@ -93,7 +133,19 @@ def digest(text: Column) -> Column:
 def known_rows() -> list[tuple[str, str]]:
     """Identifier and text of the licences that come with this module."""
     titled = [(i, f"{title} {texts[0]}") for i, texts in KNOWN.items() for title in TITLES.get(i, ())]
-    return [(i, t) for i, texts in KNOWN.items() for t in texts] + titled
+    whole = [(p.stem.split("~")[0], p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt"))]
+    headers = [(i, t) for i, texts in HEADERS.items() for t in texts]
+    # A line of the appendix that users fill in, which then counts as a copyright line.
+    filled = [(i, t.replace("Copyright [yyyy] [name of copyright owner]", "")) for i, t in whole]
+    # The paragraphs of the texts above as they are commonly set.
+    set_ = [(i, t.replace(" The above copyright notice and", "\n\nThe above copyright notice and").replace(" THE SOFTWARE IS PROVIDED", "\n\nTHE SOFTWARE IS PROVIDED")) for i, t in titled + [(i, texts[0]) for i, texts in KNOWN.items()]]
+    titled_set = [(i, t.replace(" Permission", "\n\nPermission", 1)) for i, t in set_]
+    names = sorted({i for i, _ in whole} | set(IDENTIFIERS) | set(_GNU_VERSIONS))
+    names += [f"{i}-{kind}" for i in names if "GPL-" in i or "GFDL-" in i for kind in ("only", "or-later")]
+    known = [(i, t) for i, texts in KNOWN.items() for t in texts]
+    said = {t for _, t in known}
+    spdx = [(i, t) for i in names if (t := f"SPDX-License-Identifier: {i}") not in said]
+    return list(dict.fromkeys(known + titled + set_ + titled_set + whole + filled + headers + spdx))
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
@@ -104,19 +156,66 @@ def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
     """``doc_id``, ``line``, ``digest``, ``license_id``.
 
     One row per input row with ``line`` -1: the digest of the whole text (NULL if no word is left),
-    and its licence if known; and one row per line, counted from 0, that is a known licence text by itself.
+    and its licence if known; and one row per line, counted from 0, that is a known licence text by itself, or where a
+    run of paragraphs of several lines begins that is one and is not the whole text.
     A text of one line has both. If several known licences have one digest, the first name counts.
     NULL texts count as empty; equal rows give equal rows.
 
-    One pass over the texts. The known digests are joined by hash without a hint: Spark broadcasts
+    One pass over the texts. The known texts are read by the driver too, for the words that they start with. The known digests are joined by hash without a hint: Spark broadcasts
     them if it knows them to be small, and can split a frequent digest otherwise.
     """
     digests = known.select(digest(F.col("text")).alias("_digest"), "license_id").where("_digest is not null")
     digests = digests.groupBy("_digest").agg(F.min("license_id").alias("license_id"))
-    units = F.concat(F.array("_text"), F.split("_text", "\n"))
-    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text"))
-    read = read.select("doc_id", F.posexplode_outer(units).alias("_place", "_unit"))
-    read = read.select("doc_id", (F.col("_place") - 1).cast("bigint").alias("line"), digest(F.col("_unit")).alias("digest"))
+    shapes = known.select("text").collect()
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text")).withColumn("_lines", F.split("_text", "\n"))
+    unit = lambda line, text: F.struct(line.cast("bigint").alias("line"), text.alias("unit"))
+    single = F.transform("_lines", lambda text, i: unit(i, text))
+    units = F.concat(F.array(unit(F.lit(-1), F.col("_text"))), single, _runs([r.text for r in shapes], unit))
+    read = read.select("doc_id", F.inline_outer(units))
+    read = read.select("doc_id", "line", digest(F.col("unit")).alias("digest"))
     # A line that is no licence needs no join partner; a whole text stays in any case.
     joined = read.join(digests, F.col("digest") == F.col("_digest"), "left")
     return joined.where("line = -1 or license_id is not null").select("doc_id", "line", "digest", "license_id")
+
+
+def _runs(known: list[str], unit) -> Column:
+    """Runs of paragraphs of ``_lines`` that may be a known text: as long as one, and with the first two words of one in the first paragraph."""
+    old = {new: [new, *(o for o, n in SPELLINGS.items() if n == new)] for new in SPELLINGS.values()}
+    starts, sizes = set(), set()
+    for text in known:
+        plain = re.sub(COPYRIGHT, " ", (text or "").lower())
+        if found := re.findall(r"[^\W_]+", plain):
+            starts.add(r"[^\p{L}\p{N}]+".join("(?:" + "|".join(old.get(SPELLINGS.get(w, w), [w])) + ")" for w in found[:2]))
+            sizes.update(len(re.findall(r"(?m)(?:^.*[^\s].*$\n?)+", t)) for t in (text, plain))
+    if not starts:
+        return F.array().cast("array<struct<line:bigint,unit:string>>")
+    solid = F.transform("_lines", lambda line: line.rlike(BLANK.replace("[", "[^")))
+    at = lambda flags, i: F.coalesce(F.get(flags, i), F.lit(False))
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    edges = lambda flags, by: F.filter(every, lambda i: at(flags, i) & ~at(flags, i + by))
+    part = lambda a, z: F.array_join(F.slice("_lines", a + 1, z - a + 1), "\n")
+    begins = "(?<![\\p{L}\\p{N}])(?:" + "|".join(sorted(starts)) + ")(?![\\p{L}\\p{N}])"
+
+    def of(flags: Column) -> Column:
+        return F.transform(F.array(F.struct(edges(flags, -1).alias("a"), edges(flags, 1).alias("z"))), of_edges)[0]
+
+    def of_edges(e: Column) -> Column:
+        first = F.filter(
+            F.transform(e["a"], lambda a, i: F.struct(a.alias("a"), i.alias("i"))),
+            lambda p: F.lower(part(p["a"], F.get(e["z"], p["i"]))).rlike(begins),
+        )
+        runs = F.flatten(
+            F.transform(
+                first,
+                lambda p: F.filter(
+                    F.transform(F.array(*map(F.lit, sorted(sizes))), lambda n: F.struct(p["a"].alias("a"), F.get(e["z"], p["i"] + n - 1).alias("z"))),
+                    lambda r: r["z"].isNotNull() & (r["z"] > r["a"]) & ((r["a"] > F.element_at(e["a"], 1)) | (r["z"] < F.element_at(e["z"], -1))),
+                ),
+            )
+        )
+        return F.transform(runs, lambda r: unit(r["a"], part(r["a"], r["z"])))
+
+    # Without the first two words of a known text anywhere, there is nothing to cut.
+    return F.when(F.lower("_text").rlike(begins), F.flatten(F.transform(F.array(solid), of))).otherwise(
+        F.array().cast("array<struct<line:bigint,unit:string>>")
+    )

@@ -212,6 +212,26 @@ def test_license_spellings(spark):
     assert next(r for r in found if r.doc_id == 4).digest is None
 
 
+def test_whole_texts_and_texts_inside_documents(spark):
+    import textwrap
+
+    whole = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    rows = [(i, f"Copyright 2020 A. Person\n\n{text}") for i, text in enumerate(whole.values())]
+    mit = licenses.KNOWN["MIT"][0].replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    wrapped = "\n\n".join(textwrap.fill(p, 60) for p in mit.split("\n\n"))
+    bsd = "\n\n".join(textwrap.fill(p, 70) for p in whole["BSD-3-Clause"].split("\n\n"))
+    rows += [
+        (100, f"A tool.\nIt does things.\n\n{wrapped}\n\nMore text\nof it."),
+        (101, "intro\n\nThis work is licensed under\nthe GNU General Public\nLicence, version 3.\n\nend"),
+        (102, f"x\ny\n \nCopyright (c) 2001 B\n\n{bsd}\n\nend"),
+        (103, f"intro\n\n{wrapped} but not quite\n\nend"),
+    ]
+    found = licenses.scanned(spark.createDataFrame(rows, "doc_id bigint, text string"), licenses.known_texts(spark)).collect()
+    known = {(r.doc_id, r.line): r.license_id for r in found if r.license_id}
+    assert {d: i for (d, line), i in known.items() if line == -1} == {i: name.split("~")[0] for i, name in enumerate(whole)}
+    assert {k: i for k, i in known.items() if k[0] >= 100} == {(100, 3): "MIT", (101, 2): "GPL-3.0", (102, 5): "BSD-3-Clause"}
+
+
 # SimHash
 
 
