@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import chat, decontaminate, licenses, lines, quality, sequences, shards, simhash, token_rows, toxicity
+from terrace.llm import (
+    chat, decontaminate, jaccard, lexical, licenses, lines, quality, sequences, shards, simhash, token_rows, toxicity, variants,
+)
 from terrace.llm.rows import table
 
 #: A conversation whose texts are control strings: conversation, turn, role, text.
@@ -78,6 +80,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_row.doc_id").cast("bigint").alias("doc_id"), "text", "n_lines", "n_removed")
 
 
+def op11_bloom_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
+def op13_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.grouped(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,7 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat_format, op2_token_rows, op3_byte_shards, op4_quality_rules, op5_license_scan, op6_simhash_groups,
-        op7_benchmark_leaks, op8_packed_sequences, op9_toxicity_scores, op10_line_dedup, pipeline,
+        op7_benchmark_leaks, op8_packed_sequences, op9_toxicity_scores, op10_line_dedup, op11_bloom_search, op12_spelling_variants,
+        op13_shingle_links, pipeline,
     )
 }
 
@@ -195,4 +210,87 @@ SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(left_over, '') END AS te
 FROM documents LEFT JOIN counted USING (doc_id)
 """
 
-ORACLE = {"op1_chat_format": _CHAT, "op4_quality_rules": _QUALITY, "op5_license_scan": _LICENSES, "op10_line_dedup": _LINES}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = f"""
+WITH docs AS (
+  SELECT doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM (SELECT doc_id, {_TERMS} AS terms FROM documents) WHERE len(terms) > 0
+), counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY ALL
+), totals AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), totals
+), shortness AS (
+  SELECT doc_id, 100 - 50 + (50 * n * n_docs) // n_terms AS m FROM docs, totals
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark)
+  JOIN weights USING (term) JOIN counted USING (term) JOIN shortness USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 50
+"""
+
+_SPELLINGS = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END)) AS b FROM runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT cut.word AS a, rest AS b FROM cut JOIN words ON rest = words.word
+    UNION ALL SELECT rest, cut.word FROM cut JOIN words ON rest = words.word
+    UNION ALL SELECT x.word, y.word FROM cut x JOIN cut y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word)
+), counted AS (
+  SELECT a, b, own.n, other.n AS b_n, count(*) OVER (PARTITION BY a) AS n_near
+  FROM near JOIN words own ON a = own.word JOIN words other ON b = other.word
+), forms AS (
+  SELECT a AS word, b AS form, b_n AS form_n FROM (
+    SELECT *, row_number() OVER (PARTITION BY a ORDER BY b_n DESC, b) AS place FROM counted WHERE b_n >= 10 * n) WHERE place = 1
+), walk AS (
+  SELECT word, word AS reached FROM words UNION ALL SELECT walk.word, form FROM walk JOIN forms ON walk.reached = forms.word
+)
+SELECT words.word, form, reached AS root, words.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words JOIN walk ON walk.word = words.word AND walk.reached NOT IN (SELECT word FROM forms)
+LEFT JOIN forms ON words.word = forms.word LEFT JOIN (SELECT DISTINCT a, n_near FROM counted) ON words.word = a
+"""
+
+_SHINGLES = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM docs
+), sizes AS (
+  SELECT doc_id, count(shingle) AS n FROM docs LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * shared >= 90 * (s.n + t.n - shared)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM docs UNION SELECT reached.doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM sizes JOIN reached USING (doc_id) GROUP BY ALL
+"""
+
+ORACLE = {
+    "op1_chat_format": _CHAT, "op4_quality_rules": _QUALITY, "op5_license_scan": _LICENSES, "op10_line_dedup": _LINES,
+    "op11_bloom_search": _SEARCH, "op12_spelling_variants": _SPELLINGS, "op13_shingle_links": _SHINGLES,
+}

@@ -4,7 +4,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.llm import decontaminate, licenses, lines, quality, sequences, shards, simhash, token_rows, toxicity
+from terrace.llm import decontaminate, jaccard, lexical, licenses, lines, quality, sequences, shards, simhash, token_rows, toxicity, variants
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,13 +31,16 @@ OPERATORS = {
     "sequences": lambda d, i, n: sequences.packed(d),
     "toxicity": lambda d, i, n: toxicity.scored(d, n),
     "lines": lambda d, i, n: lines.without_repeated_lines(d),
+    "lexical": lambda d, i, n: lexical.ranked(d, i),
+    "variants": lambda d, i, n: variants.grouped(d),
+    "jaccard": lambda d, i, n: jaccard.grouped(d),
 }
 
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_odd_rows(odd_documents, items, labels, name):
     found = OPERATORS[name](odd_documents, items, labels).collect()
-    per_row = {"quality", "simhash", "toxicity", "lines", "shards"}
+    per_row = {"quality", "simhash", "toxicity", "lines", "shards", "jaccard"}
     if name in per_row:
         assert len(found) == odd_documents.count()
     elif name == "licenses":
@@ -47,6 +50,15 @@ def test_odd_rows(odd_documents, items, labels, name):
         assert {(r.doc_id, r.item_id) for r in found} == {(None, 1), (7, 3)}
     elif name == "sequences":
         assert sum(r.piece == 0 for r in found) == odd_documents.count()
+    elif name == "lexical":
+        # Item 1 is a line of 1, 2 and 2, and of the text without an id; "one" is only in document 7; the other items have no terms.
+        assert sorted((r.item_id, r.rank, r.doc_id) for r in found if r.item_id == 3) == [(3, 1, 7)]
+        assert sorted(r.rank for r in found if r.item_id == 1) == [1, 2, 3, 4] and {r.doc_id for r in found if r.item_id == 1} == {None, 1, 2}
+    elif name == "variants":
+        assert found == []  # runs of letters end at digits, and are short here
+    if name == "jaccard":
+        by_text = {(r.doc_id, r.n_shingles): r.component_id for r in found}
+        assert by_text[1, 94] == by_text[2, 94] == 1 and by_text[3, 0] == 3 and by_text[None, 0] is None and by_text[7, 1] == 7
 
 
 @pytest.mark.parametrize("name", OPERATORS)

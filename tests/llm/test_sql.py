@@ -6,13 +6,13 @@ import pytest
 from terrace.llm import queries
 
 SF_DIR = "/root/testdata/sf0.01"
-TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     df = queries.QUERIES[name](spark, SF_DIR)
     expected = connection.execute(queries.ORACLE[name])
