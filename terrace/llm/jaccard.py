@@ -35,7 +35,7 @@ CHUNK, MOST_CHUNK, CHUNK_TOKENS = 200, 4_000, 1 << 20
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = 0x9E3779B97F4A7C15
 
-_DOCS = "doc_id bigint, key bigint, check bigint, n int, d1 bigint, d2 bigint, part int, counts binary"
+_DOCS = "doc_id bigint, key bigint, check bigint, n int, d1 bigint, d2 bigint, bits binary, part int, counts binary"
 
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -85,10 +85,11 @@ def grouped(
     without any id is NULL. Documents of fewer words than a shingle link with equal sequences only.
 
     Three passes over texts: sizes and digests of the sets with token counts; prefixes under the first order, about a
-    tenth of the tokens, which alone are shuffled; and the sets of documents that share a prefix token with
-    another. Copies are combined before the second shuffle. Tokens whose sets mostly meet under an earlier token are handled
-    with that one. Buckets are cut into chunks, and pairs of chunks are compared by tasks that return a
-    spanning star of the links they find, so no pair of a large group is a row.
+    tenth of the tokens, which alone are shuffled; and the sets that have a candidate. Tokens whose sets mostly meet
+    under an earlier token are handled with that one. Buckets are cut into chunks, and pairs of chunks are compared
+    by tasks: first by size and by one bit per token, whose differences are never more than those of the sets, so
+    that only sets with a likely partner travel as a whole; then by all orders. The tasks return which sets
+    are left, and then a spanning star of the links they find, so no pair of a large group is a row.
     """
     source = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("check"), F.col(text).cast("binary").alias("text")
@@ -101,12 +102,16 @@ def grouped(
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "distinct_sets")
 
     members = _members(source, classes, shingle, percent)
+    bits = described.where("n > 0").select(F.col("d1").alias("set"), "bits").join(members.select("set").distinct(), "set", "left_semi")
+    likely = _dealt(members, chunk).join(bits.groupBy("set").agg(F.first("bits").alias("bits")), "set")
+    likely = _in_units(likely.select("bucket", "low", "high", "chunk", "set", "n", "bits")).mapInArrow(_likely(percent), "bucket bigint, set bigint, n int")
+    members = stage(likely.distinct(), "likely_buckets")
     wanted = stage(nodes.join(members.select(F.col("set").alias("d1")).distinct(), "d1", "left_semi"), "wanted_sets")
     texts = source.join(wanted.select("key", "check"), ["key", "check"], "left_semi").groupBy("key", "check").agg(F.first("text").alias("text"))
     sets = texts.mapInArrow(_sets(shingle), "n int, d1 bigint, d2 bigint, tokens binary").join(wanted, same_set)
     sets = stage(sets.select(F.col("d1").alias("set"), "node", "tokens"), "candidate_sets")
-    units = _units(members, chunk).join(sets, "set").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    edges = units.select("bucket", "low", "high", "chunk", "node", "tokens").mapInArrow(_verified(classes, percent, orders), "a bigint, b bigint")
+    whole = _dealt(members, chunk).join(sets, "set").select("bucket", "low", "high", "chunk", "node", "tokens")
+    edges = _in_units(whole).mapInArrow(_verified(classes, percent, orders), "a bigint, b bigint")
 
     roots = components(edges)
     rooted = stage(nodes.join(roots, "node", "left").select(*same_set, "least_id", F.coalesce("root", "node").alias("root")), "rooted")
@@ -121,22 +126,34 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), "<i8").tolist())
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """One bit per token, or up to two: whether the number of tokens with these last bits is odd.
+
+    The bits in which two sets differ are at most the tokens in which they differ. The upper half xor the
+    lower one are the parities of half as many bits.
+    """
+    size = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
 def _describe(shingle: int):
-    """Size and digest of each set, and at the end of the task how many sets have a token in each cell."""
+    """Size, digest and parities of each set, and at the end of the task how many sets have a token in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << CELL_BITS, np.uint32)
-        schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "key", "check")] + [("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("part", pa.int32()), ("counts", pa.binary())])
+        schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "key", "check")] + [("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
         for batch in batches:
-            sizes, digests = [], []
+            sizes, digests, bits = [], [], []
             for text in batch.column(3):
                 tokens = shingle_set(text.as_py(), shingle)
                 np.add.at(counts, tokens >> np.uint64(64 - CELL_BITS), 1)
                 sizes.append(len(tokens))
                 digests.append(_digest(tokens))
+                bits.append(parities(tokens).tobytes())
             d1, d2 = zip(*digests) if digests else ((), ())
             none = [None] * len(sizes)
-            columns = [*batch.columns[:3], sizes, d1, d2, none, none]
+            columns = [*batch.columns[:3], sizes, d1, d2, bits, none, none]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, schema)], schema=schema)
         for part, cells in enumerate(counts.reshape(_PARTS, -1)):
             if cells.any():
@@ -174,26 +191,30 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "set", "n", "at", "short"]
+        seen: set[tuple[int, int]] = set()  # copies in one task need to be sent once
         for batch in batches:
             parts: list[list[np.ndarray]] = [[] for _ in names]
             for text in batch.column(0):
                 tokens = shingle_set(text.as_py(), shingle)
-                n = len(tokens)
-                if not n:
+                n, digest = len(tokens), _digest(tokens)
+                if not n or digest in seen:
                     continue
+                seen.add(digest)
                 first = tokens[np.argsort(ranks(tokens, classes.value, 0), kind="stable")[: probe_length(n, percent)]]
                 at = np.arange(len(first), dtype=np.int32)
-                row = first.view(np.int64), np.full(len(first), _digest(tokens)[0]), np.full(len(first), n, np.int32), at, at < short_length(n, percent)
+                row = first.view(np.int64), np.full(len(first), digest[0]), np.full(len(first), n, np.int32), at, at < short_length(n, percent)
                 for column, values in zip(parts, row):
                     column.append(values)
             if parts[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts], names=names)
 
-    kinds = "token bigint, set bigint, n int, at int, short boolean"
-    posted = source.select("text").mapInArrow(prefixes, kinds).groupBy("token", "set").agg(F.max("n").alias("n"), F.min("at").alias("at"), F.max("short").alias("short"))
-    posted = stage(posted, "prefixes")
-    shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max("short").alias("any")).where("sets > 1 and any").select("token")
-    shared = stage(posted.join(shared, "token").select("token", "set", "n", "at"), "shared_prefixes")
+    posted = stage(source.select("text").mapInArrow(prefixes, "token bigint, set bigint, n int, at int, short boolean"), "prefixes")
+    # Most tokens are in one row. Of the rest, copies from other tasks are combined before their sets are counted.
+    again = posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
+    again = posted.join(again, "token").groupBy("token", "set").agg(F.max("n").alias("n"), F.min("at").alias("at"), F.max("short").alias("short"))
+    again = stage(again, "repeated_prefixes")
+    shared = again.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max("short").alias("any")).where("sets > 1 and any").select("token")
+    shared = stage(again.join(shared, "token").select("token", "set", "n", "at"), "shared_prefixes")
     first = shared.groupBy("set").agg(F.min_by("token", "at").alias("first"))
     counted = shared.join(first, "set").groupBy("token", "first").agg(F.count(F.lit(1)).alias("sets"))
     usual = counted.groupBy("token").agg(F.max(F.struct("sets", "first")).alias("most"), F.sum("sets").alias("all"))
@@ -201,7 +222,12 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
     return stage(shared.join(usual.select("token", bucket.alias("bucket")), "token").select("bucket", "set", "n").distinct(), "buckets")
 
 
-def _units(members: DataFrame, chunk: int) -> DataFrame:
+def _in_units(dealt: DataFrame) -> DataFrame:
+    unit = ["bucket", "low", "high"]
+    return dealt.repartition(*unit).sortWithinPartitions(*unit)
+
+
+def _dealt(members: DataFrame, chunk: int) -> DataFrame:
     """``members`` dealt into pairs of chunks: ``bucket``, ``low``, ``high`` name the pair, ``chunk`` is the row's own."""
     size = F.greatest(F.lit(chunk), F.least(F.lit(MOST_CHUNK), F.col("sets") / 32))
     chunks = F.ceil(F.greatest(F.col("sets") / size, F.col("tokens") / CHUNK_TOKENS)).cast("int")
@@ -210,7 +236,7 @@ def _units(members: DataFrame, chunk: int) -> DataFrame:
         members.join(cut, "bucket")
         .withColumn("chunk", F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "set")
+        .select("bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "set", "n")
     )
 
 
@@ -226,6 +252,49 @@ def _sets(shingle: int):
     return run
 
 
+def _likely(percent: int):
+    """Sets of each pair of chunks that have another one of similar size and parities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in whole_groups(batches, 3):
+            chunk, sizes = unit.column("chunk").to_numpy(), unit.column("n").to_numpy().astype(np.int64)
+            across = unit.column("low")[0] != unit.column("high")[0]
+            found = like_another(sizes, [np.frombuffer(b.as_py(), np.uint64) for b in unit.column("bits")], chunk if across else None, percent)
+            if found.any():
+                left = unit.filter(pa.array(found)).select(["bucket", "set", "n"])
+                yield from left.combine_chunks().to_batches()
+
+    return run
+
+
+def like_another(sizes: np.ndarray, bits: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np.ndarray:
+    """Whether each set may be linked with another one (of a different side, if given), by sizes and parities."""
+    order = np.argsort(sizes, kind="stable")
+    n, found = sizes[order], np.zeros(len(order), bool)
+    words = np.array([len(bits[i]) for i in order])
+    side = None if sides is None else sides[order]
+    most = np.searchsorted(n, 100 * n // percent, "right")
+    for width in np.unique(words):
+        here = np.flatnonzero(words == width)
+        end = max(most[here[0] : here[-1] + 1])
+        # Partners are at least as large, with as many bits or more, which are folded.
+        folded = np.array([np.bitwise_xor.reduce(bits[order[i]].reshape(-1, width), axis=0) for i in range(here[0], end)])
+        for x in here:
+            y = slice(x + 1, most[x])
+            if y.stop <= y.start:
+                continue
+            apart = np.bitwise_count(folded[y.start - here[0] : y.stop - here[0]] ^ folded[x - here[0]]).sum(axis=1, dtype=np.int64)
+            both = n[x] + n[y]
+            near = apart <= both - 2 * -(-percent * both // (100 + percent))
+            if side is not None:
+                near &= side[y] != side[x]
+            found[x] |= near.any()
+            found[y] |= near
+    back = np.empty(len(order), bool)
+    back[order] = found
+    return back
+
+
 def _verified(classes, percent: int, orders: int):
     """Links of each pair of chunks, as a spanning star per component."""
 
