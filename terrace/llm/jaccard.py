@@ -87,9 +87,9 @@ def grouped(
     Three passes over texts: sizes and digests of the sets with token counts; prefixes under the first order, about a
     tenth of the tokens, which alone are shuffled; and the sets that have a candidate. Tokens whose sets mostly meet
     under an earlier token are handled with that one. Buckets are cut into chunks, and pairs of chunks are compared
-    by tasks: first by size and by one bit per token, whose differences are never more than those of the sets, so
-    that only sets with a likely partner travel as a whole; then by all orders. The tasks return which sets
-    are left, and then a spanning star of the links they find, so no pair of a large group is a row.
+    by tasks that return a spanning star of what they find, so no pair of a large group is a row: first by size and by
+    one bit per token, in which two sets never differ more than in their tokens. Sets that this leaves connected
+    travel once as a whole, to be compared by all orders.
     """
     source = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("check"), F.col(text).cast("binary").alias("text")
@@ -104,8 +104,9 @@ def grouped(
     members = _members(source, classes, shingle, percent)
     bits = described.where("n > 0").select(F.col("d1").alias("set"), "bits").join(members.select("set").distinct(), "set", "left_semi")
     likely = _dealt(members, chunk).join(bits.groupBy("set").agg(F.first("bits").alias("bits")), "set")
-    likely = _in_units(likely.select("bucket", "low", "high", "chunk", "set", "n", "bits")).mapInArrow(_likely(percent), "bucket bigint, set bigint, n int")
-    members = stage(likely.distinct(), "likely_buckets")
+    likely = components(_in_units(likely.select("bucket", "low", "high", "chunk", "set", "n", "bits")).mapInArrow(_likely(percent), "a bigint, b bigint"))
+    members = likely.select(F.col("root").alias("bucket"), F.col("node").alias("set")).unionAll(likely.select("root", "root").distinct())
+    members = stage(members.join(nodes.select(F.col("d1").alias("set"), "n"), "set"), "likely_sets")
     wanted = stage(nodes.join(members.select(F.col("set").alias("d1")).distinct(), "d1", "left_semi"), "wanted_sets")
     texts = source.join(wanted.select("key", "check"), ["key", "check"], "left_semi").groupBy("key", "check").agg(F.first("text").alias("text"))
     sets = texts.mapInArrow(_sets(shingle), "n int, d1 bigint, d2 bigint, tokens binary").join(wanted, same_set)
@@ -229,7 +230,7 @@ def _in_units(dealt: DataFrame) -> DataFrame:
 
 def _dealt(members: DataFrame, chunk: int) -> DataFrame:
     """``members`` dealt into pairs of chunks: ``bucket``, ``low``, ``high`` name the pair, ``chunk`` is the row's own."""
-    size = F.greatest(F.lit(chunk), F.least(F.lit(MOST_CHUNK), F.col("sets") / 32))
+    size = F.greatest(F.lit(chunk), F.least(F.lit(MOST_CHUNK), F.col("sets") / 8))
     chunks = F.ceil(F.greatest(F.col("sets") / size, F.col("tokens") / CHUNK_TOKENS)).cast("int")
     cut = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).select("bucket", chunks.alias("chunks"))
     return (
@@ -253,24 +254,24 @@ def _sets(shingle: int):
 
 
 def _likely(percent: int):
-    """Sets of each pair of chunks that have another one of similar size and parities."""
+    """Pairs of sets of similar size and parities, as a spanning star per component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in whole_groups(batches, 3):
-            chunk, sizes = unit.column("chunk").to_numpy(), unit.column("n").to_numpy().astype(np.int64)
+            chunk, sizes, sets = (unit.column(c).to_numpy() for c in ("chunk", "n", "set"))
             across = unit.column("low")[0] != unit.column("high")[0]
-            found = like_another(sizes, [np.frombuffer(b.as_py(), np.uint64) for b in unit.column("bits")], chunk if across else None, percent)
-            if found.any():
-                left = unit.filter(pa.array(found)).select(["bucket", "set", "n"])
-                yield from left.combine_chunks().to_batches()
+            labels = alike(sizes.astype(np.int64), [np.frombuffer(b.as_py(), np.uint64) for b in unit.column("bits")], chunk if across else None, percent)
+            other = np.flatnonzero(labels != np.arange(len(labels)))
+            if len(other):
+                yield pa.RecordBatch.from_arrays([pa.array(sets[other]), pa.array(sets[labels[other]])], names=["a", "b"])
 
     return run
 
 
-def like_another(sizes: np.ndarray, bits: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np.ndarray:
-    """Whether each set may be linked with another one (of a different side, if given), by sizes and parities."""
+def alike(sizes: np.ndarray, bits: list[np.ndarray], sides: np.ndarray | None, percent: int) -> np.ndarray:
+    """Of each set a set of its component, by pairs (of different sides, if given) that sizes and parities do not exclude."""
     order = np.argsort(sizes, kind="stable")
-    n, found = sizes[order], np.zeros(len(order), bool)
+    n, labels = sizes[order], np.arange(len(order))
     words = np.array([len(bits[i]) for i in order])
     side = None if sides is None else sides[order]
     most = np.searchsorted(n, 100 * n // percent, "right")
@@ -280,19 +281,20 @@ def like_another(sizes: np.ndarray, bits: list[np.ndarray], sides: np.ndarray |
         # Partners are at least as large, with as many bits or more, which are folded.
         folded = np.array([np.bitwise_xor.reduce(bits[order[i]].reshape(-1, width), axis=0) for i in range(here[0], end)])
         for x in here:
-            y = slice(x + 1, most[x])
-            if y.stop <= y.start:
+            y = np.arange(x + 1, most[x])
+            y = y[labels[y] != labels[x]]
+            if side is not None:
+                y = y[side[y] != side[x]]
+            if not len(y):
                 continue
-            apart = np.bitwise_count(folded[y.start - here[0] : y.stop - here[0]] ^ folded[x - here[0]]).sum(axis=1, dtype=np.int64)
+            apart = np.bitwise_count(folded[y - here[0]] ^ folded[x - here[0]]).sum(axis=1, dtype=np.int64)
             both = n[x] + n[y]
-            near = apart <= both - 2 * -(-percent * both // (100 + percent))
-            if side is not None:
-                near &= side[y] != side[x]
-            found[x] |= near.any()
-            found[y] |= near
-    back = np.empty(len(order), bool)
-    back[order] = found
-    return back
+            near = y[apart <= both - 2 * -(-percent * both // (100 + percent))]
+            if len(near):
+                labels[np.isin(labels, labels[near])] = labels[x]
+    found = np.empty(len(order), np.int64)
+    found[order] = order[labels]
+    return found
 
 
 def _verified(classes, percent: int, orders: int):
