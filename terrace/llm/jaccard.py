@@ -25,9 +25,9 @@ SHINGLE = 3
 #: Least overlap in hundredths of the union.
 PERCENT = 90
 ORDERS = 3
-#: Cells of the table of token counts, one byte each where it is broadcast. Above some terabytes use 2^24 or more:
-#: tokens in fewer documents than an average cell counts cannot be told from rare ones, which costs time, not links.
-CELL_BITS = 22
+#: Bytes of text per cell of the table of token counts, and the logarithms of its least and most cells, one byte each. Tokens in
+#: fewer documents than an average cell counts cannot be told from rare ones, which costs time, not links.
+CELL_BYTES, LEAST_BITS, MOST_BITS = 16, 16, 26
 _PARTS = 64
 #: Sets of one bucket that are compared at a time, at least and at most, and their tokens.
 CHUNK, MOST_CHUNK, CHUNK_TOKENS = 200, 4_000, 1 << 20
@@ -70,11 +70,16 @@ def short_length(n, percent: int):
 
 def ranks(tokens: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
     """Place of each token in a global order: by class of frequency, then by a hash that differs from order to order."""
-    rarity = classes[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64)
+    rarity = classes[cells(tokens, len(classes))].astype(np.uint64)
     salt = np.uint64((order + 1) * _STEP % 2**64)
     return (rarity << np.uint64(58)) | (mixed(tokens ^ salt) >> np.uint64(6))
 
 
+def cells(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Cell of each token in a table of ``n``, a power of two."""
+    return (tokens >> np.uint64(65 - n.bit_length())).astype(np.int64)
+
+
 def grouped(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS, chunk: int = CHUNK
 ) -> DataFrame:
@@ -94,8 +99,10 @@ def grouped(
     source = docs.select(
         F.col(id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("key"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("check"), F.col(text).cast("binary").alias("text")
     )
-    described = stage(source.mapInArrow(_describe(shingle), _DOCS), "shingle_sets")
-    classes = source.sparkSession.sparkContext.broadcast(_classes(described.where("part is not null").select("part", "counts")))
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_cells = 1 << min(MOST_BITS, max(LEAST_BITS, (size // CELL_BYTES).bit_length() - 1))
+    described = stage(source.mapInArrow(_describe(shingle, n_cells), _DOCS), "shingle_sets")
+    classes = source.sparkSession.sparkContext.broadcast(_classes(described.where("part is not null").select("part", "counts"), n_cells))
     rows = described.where("part is null").select("doc_id", "key", "check", "n", "d1", "d2")
     same_set = ["n", "d1", "d2"]
     nodes = rows.where("n > 0").groupBy(*same_set).agg(F.min("doc_id").alias("least_id"), F.min("key").alias("key"), F.min_by("check", "key").alias("check"))
@@ -138,17 +145,18 @@ def parities(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
 
 
-def _describe(shingle: int):
-    """Size, digest and parities of each set, and at the end of the task how many sets have a token in each cell."""
+def _describe(shingle: int, n_cells: int):
+    """Size, digest and parities of each set, and at the end of the task how many sets, up to 255, have a token in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << CELL_BITS, np.uint32)
+        counts = np.zeros(n_cells, np.uint8)
         schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "key", "check")] + [("n", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("bits", pa.binary()), ("part", pa.int32()), ("counts", pa.binary())])
         for batch in batches:
             sizes, digests, bits = [], [], []
             for text in batch.column(3):
                 tokens = shingle_set(text.as_py(), shingle)
-                np.add.at(counts, tokens >> np.uint64(64 - CELL_BITS), 1)
+                own, n = np.unique(cells(tokens, n_cells), return_counts=True)
+                counts[own] = np.minimum(counts[own] + n, 255)
                 sizes.append(len(tokens))
                 digests.append(_digest(tokens))
                 bits.append(parities(tokens).tobytes())
@@ -156,28 +164,28 @@ def _describe(shingle: int):
             none = [None] * len(sizes)
             columns = [*batch.columns[:3], sizes, d1, d2, bits, none, none]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, schema)], schema=schema)
-        for part, cells in enumerate(counts.reshape(_PARTS, -1)):
-            if cells.any():
-                row = {"n": 0, "part": part, "counts": zlib.compress(cells.tobytes(), 1)}
+        for part, some in enumerate(counts.reshape(_PARTS, -1)):
+            if some.any():
+                row = {"n": 0, "part": part, "counts": zlib.compress(some.tobytes(), 1)}
                 yield pa.RecordBatch.from_pylist([{f.name: row.get(f.name) for f in schema}], schema=schema)
 
     return run
 
 
-def _classes(parts: DataFrame) -> np.ndarray:
-    """Binary logarithm of each cell's count over all documents; as many bytes as there are cells, whatever the input."""
+def _classes(parts: DataFrame, n_cells: int) -> np.ndarray:
+    """Binary logarithm of each cell's count over all documents, a byte each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                cells = np.frombuffer(zlib.decompress(counts.as_py()), np.uint32).astype(np.uint64)
-                sums[part] = sums[part] + cells if part in sums else cells
-        for part, cells in sums.items():
-            logs = np.frexp(cells.astype(float))[1].astype(np.uint8)
+                some = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+                sums[part] = sums[part] + some if part in sums else some.astype(np.uint64)
+        for part, total in sums.items():
+            logs = np.frexp(total.astype(float))[1].astype(np.uint8)
             yield pa.RecordBatch.from_pylist([{"part": part, "logs": logs.tobytes()}], schema=pa.schema([("part", pa.int32()), ("logs", pa.binary())]))
 
-    found = np.zeros((_PARTS, (1 << CELL_BITS) // _PARTS), np.uint8)
+    found = np.zeros((_PARTS, n_cells // _PARTS), np.uint8)
     for row in parts.repartition(_PARTS, "part").mapInArrow(run, "part int, logs binary").collect():
         found[row.part] = np.frombuffer(row.logs, np.uint8)
     return found.reshape(-1)
@@ -187,11 +195,12 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
     """``bucket``, ``set``, ``n``: which sets have to be compared with each other. Similar sets share a bucket.
 
     A bucket is a token that at least two sets have in their prefix under the first order, one of them in its short
-    prefix. If at least half of its sets have the same token as their first, the bucket is joined with that one's.
+    prefix. If an eighth of its sets or more have the same token as their first, the bucket is joined with that one's, so
+    that near copies, which share most of their tokens but not the same ones, meet once and not under each token.
     """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "set", "n", "at", "short"]
+        names = ["token", "set", "place"]  # place: size and position in one number
         seen: set[tuple[int, int]] = set()  # copies in one task need to be sent once
         for batch in batches:
             parts: list[list[np.ndarray]] = [[] for _ in names]
@@ -202,24 +211,24 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
                     continue
                 seen.add(digest)
                 first = tokens[np.argsort(ranks(tokens, classes.value, 0), kind="stable")[: probe_length(n, percent)]]
-                at = np.arange(len(first), dtype=np.int32)
-                row = first.view(np.int64), np.full(len(first), digest[0]), np.full(len(first), n, np.int32), at, at < short_length(n, percent)
-                for column, values in zip(parts, row):
+                for column, values in zip(parts, (first.view(np.int64), np.full(len(first), digest[0]), (n << 32) + np.arange(len(first)))):
                     column.append(values)
             if parts[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts], names=names)
 
-    posted = stage(source.select("text").mapInArrow(prefixes, "token bigint, set bigint, n int, at int, short boolean"), "prefixes")
+    posted = stage(source.select("text").mapInArrow(prefixes, "token bigint, set bigint, place bigint"), "prefixes")
     # Most tokens are in one row. Of the rest, copies from other tasks are combined before their sets are counted.
     again = posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
-    again = posted.join(again, "token").groupBy("token", "set").agg(F.max("n").alias("n"), F.min("at").alias("at"), F.max("short").alias("short"))
-    again = stage(again, "repeated_prefixes")
-    shared = again.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max("short").alias("any")).where("sets > 1 and any").select("token")
+    again = posted.join(again, "token").groupBy("token", "set").agg(F.min("place").alias("place"))
+    n, at = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(2**32 - 1))
+    again = stage(again.select("token", "set", n.cast("int").alias("n"), at.cast("int").alias("at")), "repeated_prefixes")
+    short = F.col("at") < F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent)) + 1
+    shared = again.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.max(short).alias("any")).where("sets > 1 and any").select("token")
     shared = stage(again.join(shared, "token").select("token", "set", "n", "at"), "shared_prefixes")
     first = shared.groupBy("set").agg(F.min_by("token", "at").alias("first"))
     counted = shared.join(first, "set").groupBy("token", "first").agg(F.count(F.lit(1)).alias("sets"))
     usual = counted.groupBy("token").agg(F.max(F.struct("sets", "first")).alias("most"), F.sum("sets").alias("all"))
-    bucket = F.when(2 * F.col("most.sets") >= F.col("all"), F.col("most.first")).otherwise(F.col("token"))
+    bucket = F.when(8 * F.col("most.sets") >= F.col("all"), F.col("most.first")).otherwise(F.col("token"))
     return stage(shared.join(usual.select("token", bucket.alias("bucket")), "token").select("bucket", "set", "n").distinct(), "buckets")
 
 

@@ -196,7 +196,7 @@ def test_parities_never_exclude_a_link():
 
 def test_prefixes_share_a_token_under_any_order():
     r = np.random.default_rng(4)
-    classes = r.integers(0, 9, 1 << jaccard.CELL_BITS).astype(np.uint8)
+    classes = r.integers(0, 9, 1 << 18).astype(np.uint8)
     for _ in range(400):
         n = int(r.integers(1, 120))
         a = r.integers(0, 2**63, n).astype(np.uint64)
