@@ -28,6 +28,8 @@ ORDERS = 3
 #: Bytes of text per cell of the table of token counts, and the logarithms of its least and most cells, one byte each. Tokens in
 #: fewer documents than an average cell counts cannot be told from rare ones, which costs time, not links.
 CELL_BYTES, LEAST_BITS, MOST_BITS = 16, 16, 26
+#: Logarithm of the bits of the bitmap that tells tokens which lie in several prefixes: 16 MB.
+BITMAP_BITS = 27
 _PARTS = 64
 #: Sets of one bucket that are compared at a time, at least and at most, and their tokens.
 CHUNK, MOST_CHUNK, CHUNK_TOKENS = 200, 4_000, 1 << 20
@@ -218,8 +220,8 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
 
     posted = stage(source.select("text").mapInArrow(prefixes, "token bigint, set bigint, place bigint"), "prefixes")
     # Most tokens are in one row. Of the rest, copies from other tasks are combined before their sets are counted.
-    again = posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token")
-    again = posted.join(again, "token").groupBy("token", "set").agg(F.min("place").alias("place"))
+    again = stage(posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("token"), "repeated_tokens")
+    again = _may_hold(posted, again).join(again, "token").groupBy("token", "set").agg(F.min("place").alias("place"))
     n, at = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit(2**32 - 1))
     again = stage(again.select("token", "set", n.cast("int").alias("n"), at.cast("int").alias("at")), "repeated_prefixes")
     short = F.col("at") < F.col("n") - F.floor((2 * percent * F.col("n") + 99 + percent) / (100 + percent)) + 1
@@ -232,6 +234,38 @@ def _members(source: DataFrame, classes, shingle: int, percent: int) -> DataFram
     return stage(shared.join(usual.select("token", bucket.alias("bucket")), "token").select("bucket", "set", "n").distinct(), "buckets")
 
 
+def _may_hold(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose token is not among ``tokens``, so that they are not shuffled.
+
+    A bitmap over the first bits of the tokens, of fixed size, filled part by part.
+    """
+    bits = BITMAP_BITS - _PARTS.bit_length() + 1
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            first = batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)
+            for part in np.unique(first >> np.uint64(bits)).tolist():
+                own = first[first >> np.uint64(bits) == part] & np.uint64((1 << bits) - 1)
+                parts.setdefault(part, np.zeros(1 << bits, bool))[own.astype(np.int64)] = True
+        for part, held in parts.items():
+            schema = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
+            yield pa.RecordBatch.from_pylist([{"part": part, "bits": np.packbits(held).tobytes()}], schema=schema)
+
+    by_part = tokens.repartition(_PARTS, F.shiftrightunsigned("token", 64 - _PARTS.bit_length() + 1))
+    bitmap = np.zeros((_PARTS, (1 << bits) // 8), np.uint8)
+    for row in by_part.mapInArrow(fill, "part int, bits binary").collect():
+        bitmap[row.part] = np.frombuffer(row.bits, np.uint8)
+    held = rows.sparkSession.sparkContext.broadcast(bitmap.reshape(-1))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+            yield batch.filter(pa.array((held.value[first >> 3] >> (7 - (first & 7)).astype(np.uint8)) & 1 == 1))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def _in_units(dealt: DataFrame) -> DataFrame:
     unit = ["bucket", "low", "high"]
     return dealt.repartition(*unit).sortWithinPartitions(*unit)
