@@ -8,7 +8,8 @@ Template, one turn after the other, with nothing between::
 Parts that are not text become placeholders (``<|image|>``, ``<|audio|>``, ``<|document|>``) in their
 place; what they refer to, and the tokens they expand to, go to a list in the same order. A control string
 inside a text gets a backslash behind its first character, and one that has backslashes there gets
-one more, so the texts can be read back exactly. Built-in functions only.
+one more, so the texts can be read back exactly. Neighbouring text parts are one text, also where a control
+string begins in one and ends in another. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -45,16 +46,17 @@ def formatted(messages: DataFrame) -> DataFrame:
     ``messages`` has ``conv_id``, ``turn``, ``role`` and ``parts`` (:data:`PARTS`). Turns are
     ordered by number, NULL first; equal numbers by role, then by the rendered text; repeated rows are repeated turns.
     A NULL role or text counts as empty, NULL or no parts as an empty message, and a part of an unknown kind as text.
-    Messages without a conversation form one of their own.
-    ``loss_spans`` are start and length, in code points, of the escaped assistant texts.
+    Each message without a conversation is one of its own, so that any number of them is shared by all tasks.
+    ``loss_spans`` are start and length, in code points, of the escaped assistant texts. Other columns of ``messages`` are not
+    read, whatever their names.
 
-    One shuffle by conversation. A conversation is one output row, so it has to fit into a row.
+    One shuffle by conversation. A conversation is one output row, so it has to fit into a row, and a text of any length that does is formatted whole.
     """
-    rendered = F.transform("parts", _part)
-    body = F.coalesce(F.array_join(rendered, ""), F.lit(""))
+    body = F.coalesce(_body(F.col("parts")), F.lit(""))
     others = F.filter("parts", lambda p: p["kind"].isin(*KINDS))
     turns = messages.select(
         "conv_id",
+        F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone"),
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         body.alias("body"),
@@ -64,7 +66,7 @@ def formatted(messages: DataFrame) -> DataFrame:
     piece = F.when(spoken, F.concat(F.lit("<s>"), "body", F.lit("</s>"))).otherwise(
         F.concat(F.lit("[INST] "), _role_out(F.col("role")), F.lit("\n"), "body", F.lit(" [/INST]"))
     )
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "body", F.to_json("attached"))
+    order = Window.partitionBy("conv_id", "alone").orderBy("turn", "role", "body", F.to_json("attached"))
     placed = turns.withColumn("piece", piece).withColumns(
         {
             "place": F.row_number().over(order),
@@ -73,7 +75,7 @@ def formatted(messages: DataFrame) -> DataFrame:
     )
     span = F.when(spoken, F.struct((F.col("start") + 3).alias("start"), F.length("body").cast("bigint").alias("length")))
     turn = F.struct("place", "piece", span.alias("span"), "attached")
-    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    whole = placed.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     attachments = F.flatten("turns.attached")
     return whole.select(
         "conv_id",
@@ -103,10 +105,21 @@ def read_back(text: Column) -> Column:
     )
 
 
-def _part(part: Column) -> Column:
-    return F.when(part["kind"].isin(*KINDS), F.concat(F.lit("<|"), part["kind"], F.lit("|>"))).otherwise(
-        escaped(F.coalesce(part["text"], F.lit("")))
-    )
+def under_mask(formatted: Column, loss_spans: Column) -> Column:
+    """The texts of the spans, cut out of a formatted conversation and read back, one after the other."""
+    cut = lambda s: F.substr(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
+    return F.array_join(F.transform(loss_spans, lambda s: unescaped(cut(s))), "")
+
+
+def _body(parts: Column) -> Column:
+    """The parts in order: each run of texts as one escaped text, and the placeholders between them."""
+    texts = F.transform(parts, lambda p: F.when(p["kind"].isin(*KINDS), "").otherwise(F.coalesce(p["text"], F.lit(""))))
+    places = F.filter(F.transform(parts, lambda p, i: F.when(p["kind"].isin(*KINDS), i)), lambda i: i.isNotNull())
+    ends = F.concat(F.array(F.lit(-1)), places, F.array(F.size(parts)))
+    run = lambda start, end: escaped(F.array_join(F.slice(texts, start + 2, end - start - 1), ""))
+    shown = lambda end: F.coalesce(F.concat(F.lit("<|"), F.get(parts, end)["kind"], F.lit("|>")), F.lit(""))
+    pairs = F.arrays_zip(F.slice(ends, 1, F.size(ends) - 1).alias("start"), F.slice(ends, 2, F.size(ends) - 1).alias("end"))
+    return F.array_join(F.transform(pairs, lambda p: F.concat(run(p["start"], p["end"]), shown(p["end"]))), "")
 
 
 def _attachment(part: Column, turn: Column) -> Column:

@@ -26,14 +26,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.formatted(given.select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts")))
     read = found.withColumn("turns", chat.read_back(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learnt = F.array_join(F.filter("turns", lambda t: t["role"] == chat.ASSISTANT)["text"], "")
-    return read.select("conv_id", "turns", "formatted", learnt.alias("learnt")).select(
+    learnt = chat.under_mask(F.col("formatted"), F.col("loss_spans"))
+    attached = F.size("attachments").cast("bigint")
+    return read.select("conv_id", "turns", "formatted", learnt.alias("learnt"), attached.alias("n_attachments"), "attachment_tokens").select(
         "conv_id",
         F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
         F.length("learnt").cast("bigint").alias("loss_chars"),
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "n_attachments",
+        "attachment_tokens",
     )
 
 
@@ -128,7 +131,8 @@ WITH turns AS (
   FROM marked GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars,
-  sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+  sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
 FROM joined
 """
 
