@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.rows import BLANK, aside, fixed, text_of
+from terrace.operators.keys import ROW_ID, with_row_id
+from terrace.staging import stage
 
 WINDOW = 3
 
@@ -19,36 +21,39 @@ WINDOW = 3
 def without_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, the cleaned ``text``, ``n_lines`` and ``n_removed`` (lines); one row per input row.
 
-    A NULL text counts as empty and stays NULL. Rows equal in id and text count as one document and get the
-    same result. A text of fewer than three lines with words keeps them all.
+    A NULL text counts as empty and stays NULL. Of rows equal in id and text, a NULL id included, one counts as the first, and
+    the others lose all their windows. A text of fewer than three lines with words keeps them all.
 
-    Three passes over the texts and no written table. Windows are combined to one row per hash on
+    Three passes over the texts, and one over their places. Windows are combined to one row per hash on
     the map side, so a window that a third of the rows share arrives as one row per task. They are
-    told apart by 64-bit hashes. The two joins can be split at run time: one row per window on one
-    side, and one row per document on the other.
+    told apart by two 64-bit hashes. The two joins can be split at run time: one row per window on one
+    side, and one row per document on the other. Only rows equal in id and text are written, to tell which is the first of them.
     """
-    read = _with_windows(_placed(docs, id, text))
+    placed = _placed(docs, id, text)
+    read = _with_windows(placed)
     # Outer: an inner explode filters the texts by the lists to come, and so computes them twice.
     first = (
-        read.select("_place", F.explode_outer(F.array_distinct("_windows")).alias("_hash"))
-        .where("_hash is not null")
-        .groupBy("_hash")
+        read.select("_place", F.explode_outer(F.array_distinct("_windows")).alias("_w"))
+        .where("_w is not null")
+        .groupBy(F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
         .agg(F.min("_place").alias("_first"), F.max("_place").alias("_last"))
         .where("_first < _last")
-        .select("_hash", "_first")
+        .select("_a", "_b", "_first")
     )
     later = (
-        read.select("_place", F.posexplode_outer("_windows").alias("_at", "_hash"))
-        .join(first, "_hash")
+        read.select("_place", F.posexplode_outer("_windows").alias("_at", "_w"))
+        .select("_place", "_at", F.col("_w.a").alias("_a"), F.col("_w.b").alias("_b"))
+        .join(first, ["_a", "_b"])
         .where("_place > _first")
         .groupBy(F.col("_place").alias("_later_place"))
         .agg(F.collect_set("_at").alias("_later"))
     )
     none = F.array().cast("array<int>")
-    starts = F.concat(F.coalesce("_later", none), _repeats_inside())
+    all_ = F.when(F.size("_windows") > 0, F.sequence(F.lit(0), F.size("_windows") - 1)).otherwise(none)
+    starts = F.when(F.col("_again"), all_).otherwise(F.concat(F.coalesce("_later", none), _repeats_inside()))
     # Only the rows themselves are shuffled; lines and windows are cut again behind the join.
-    joined = _placed(docs, id, text).join(later, F.col("_place") == F.col("_later_place"), "left")
-    marked = _with_windows(joined, "_later").withColumn("_starts", starts)
+    joined = _numbered(placed).join(later, F.col("_place") == F.col("_later_place"), "left")
+    marked = _with_windows(joined, "_later", "_again").withColumn("_starts", starts)
     covered = F.flatten(F.transform("_starts", lambda i: F.sequence(i, i + (WINDOW - 1))))
     removed = F.array_distinct(F.transform(covered, lambda i: F.get("_solid", i)["at"]))
     marked = marked.withColumn("_removed", F.when(F.size("_starts") > 0, removed).otherwise(none))
@@ -73,18 +78,39 @@ def _placed(docs: DataFrame, id: str, text: str) -> DataFrame:
     return aside(docs, _place=_place(F.col(id), text_of(text))).withColumn("_given", F.col("_row")[text])
 
 
+def _numbered(placed: DataFrame) -> DataFrame:
+    """``placed`` and ``_again``: whether the row is another one of the same id and text, and not the first of them.
+
+    Places are counted without the rows. Where ids tell texts apart, no place occurs twice, and nothing else is done.
+    """
+    twice = stage(placed.groupBy(F.col("_place").alias("_twice")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_twice"), "places")
+    if twice.isEmpty():
+        return placed.withColumn("_again", F.lit(False))
+    same = F.col("_place") == F.col("_twice")
+    rows = with_row_id(stage(placed.join(twice, same, "left_semi"), "repeated_rows"))
+    kept = rows.groupBy(F.col("_place").alias("_twice")).agg(F.min(ROW_ID).alias("_kept"))
+    again = rows.join(kept, same).select(*placed.columns, (F.col(ROW_ID) != F.col("_kept")).alias("_again"))
+    return placed.join(twice, same, "left_anti").withColumn("_again", F.lit(False)).unionAll(again)
+
+
 def _with_windows(placed: DataFrame, *more: str) -> DataFrame:
     lines = F.split(text_of("_given"), "\n")
     numbered = F.transform("_lines", lambda line, i: F.struct(line.alias("line"), i.alias("at")))
     solid = F.filter(numbered, lambda x: x["line"].rlike(BLANK.replace("[", "[^")))
-    windows = F.transform(F.sequence(F.lit(1), F.size("_solid") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_solid.line", i, WINDOW)))
+    windows = F.transform(F.sequence(F.lit(1), F.size("_solid") - (WINDOW - 1)), _window)
     return (
         placed.select("_row", "_given", "_place", *more, lines.alias("_lines"))
         .withColumn("_solid", solid)
-        .withColumn("_windows", F.when(F.size("_solid") >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")))
+        .withColumn("_windows", F.when(F.size("_solid") >= WINDOW, windows).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>")))
     )
 
 
+def _window(i: Column) -> Column:
+    """Two hashes of the lines of a window: by chance alone, 64 bits would make some of 10^12 windows equal."""
+    lines = F.slice("_solid.line", i, WINDOW)
+    return F.struct(F.xxhash64(lines).alias("a"), F.xxhash64(F.lit(1), lines).alias("b"))
+
+
 def _place(id: Column, text: Column) -> Column:
     """One number that orders documents by id, then by a hash of the text.
 
