@@ -1,13 +1,15 @@
 """Sum-of-squares packing of documents into sequences of a fixed number of tokens.
 
 An open sequence has a residual gap. A piece goes where, afterwards, the sum over all gaps of the
-squared number of open sequences with that gap is smallest, so that no gap piles up.
+squared number of open sequences with that gap is smallest, so that no gap piles up. Pieces are placed by falling length, and
+a new sequence is begun only for a piece that fits into no open one.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,10 @@ from terrace.staging import stage
 
 CAPACITY = 2048
 END = 0
-#: Pieces that one task packs. Waste falls with the square root of it: about 0.2 % here.
+#: Pieces that one task packs.
 BLOCK = 100_000
+#: Sequences of a block with a larger part empty are packed again with those of the other blocks.
+LOOSE = 1 / 32
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -53,12 +57,24 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, ranks: str | None = None,
 
     A NULL text counts as empty: its one piece is the end id. Equal rows are packed like different
     ones. Only lengths travel: the pieces are written without their ids, dealt evenly into blocks
-    of ``block`` pieces at most, and each block is packed by one task. A task sorts its pieces by
+    of ``block`` pieces at most, and each block is packed by one task. What lies in sequences that a block leaves
+    part empty is dealt into blocks again, until one block holds it. A task sorts its pieces by length and
     hash, so a repeated task packs them the same way.
     """
-    cut = stage(pieces(docs, capacity, ranks), "pieces")
-    blocks = max(1, -(-cut.count() // block))
-
+    left, found, level, before = stage(pieces(docs, capacity, ranks), "pieces"), [], 0, None
+    while True:
+        n = left.count()
+        # What does not get fewer is packed for good.
+        last = n <= block or before is not None and 2 * n > before
+        made = left.repartition(max(1, -(-n // block))).mapInArrow(_packed_blocks(capacity, level, last), f"{PIECES}, sequence_id bigint, offset bigint, loose boolean")
+        if last:
+            return reduce(DataFrame.unionAll, [*found, made.drop("loose")])
+        made = stage(made, "packed")
+        found.append(made.where("not loose").drop("loose"))
+        left, level, before = made.where("loose").select(*left.columns), level + 1, n
+
+
+def _packed_blocks(capacity: int, level: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -68,28 +84,19 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, ranks: str | None = None,
         ids = table.column("doc_id").fill_null(-1).to_numpy()
         order = np.lexsort((table.column("piece").to_numpy(), ids, crc))
         sequence, offset = pack(length[order], capacity)
-        first = TaskContext.get().partitionId() << 32
+        gap = capacity - np.bincount(sequence, length[order])
+        loose = np.zeros(len(order), bool) if last else (gap > LOOSE * capacity)[sequence]
+        first = level << 56 | TaskContext.get().partitionId() << 32
         table = table.take(order).append_column("sequence_id", pa.array(sequence + first)).append_column("offset", pa.array(offset))
-        yield from table.to_batches(max_chunksize=10_000)
+        yield from table.append_column("loose", pa.array(loose)).to_batches(max_chunksize=10_000)
 
-    return cut.repartition(blocks).mapInArrow(run, f"{PIECES}, sequence_id bigint, offset bigint")
+    return run
 
 
 def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each piece.
-
-    The pieces are placed in the given order. What lies in sequences that are not full at the end is taken
-    out and placed again, longest first, as long as that saves sequences.
-    """
-    bins = _place(lengths, range(len(lengths)), capacity)
-    while True:
-        partial = [b for b in bins if sum(lengths[i] for i in b) < capacity]
-        again = _place(lengths, sorted((i for b in partial for i in b), key=lambda i: -lengths[i]), capacity)
-        if len(again) >= len(partial):
-            break
-        bins = [b for b in bins if sum(lengths[i] for i in b) == capacity] + again
+    """Sequence and offset of each piece. Pieces of equal length are placed in the given order."""
     sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    for number, members in enumerate(bins):
+    for number, members in enumerate(_place(lengths, np.argsort(-lengths, kind="stable"), capacity)):
         at = 0
         for i in members:
             sequence[i], offset[i] = number, at
@@ -110,8 +117,7 @@ def _place(lengths: np.ndarray, order, capacity: int) -> list[list[int]]:
         change[0] = 1 - 2 * before[0]
         change = np.where(before > 0, change, never)
         gap = int(change.argmin())
-        fresh = 2 * int(counts[capacity - size]) + 1 if size < capacity else 0
-        if change[gap] <= fresh and before[gap]:
+        if before[gap]:
             number = open_[size + gap].pop()
             counts[size + gap] -= 1
             bins[number].append(i)
