@@ -21,8 +21,8 @@ from terrace.staging import stage
 SHARDS = 16
 #: Groups of more than this part of all bytes, and so fewer than this many, are differenced by one task.
 LARGE = 200_000
-#: Smaller groups that one task differences.
-GROUPS = 50_000
+#: Smaller groups that one task differences, and how many times as many the last one does.
+GROUPS, LAST = 25_000, 4
 
 
 def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, large: int = LARGE) -> DataFrame:
@@ -36,7 +36,8 @@ def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, large:
     fewer than ``large`` by their definition, are differenced by one task. The others are dealt by hash
     into blocks of about ``groups``; each block gets its part of what the large ones put into each shard, as one
     more partial partition, and is differenced by one task, so that the small groups make up for the
-    large ones. The rows of a large group are the skewed side of a join, which can be split; slots
+    large ones. The last block has :data:`LAST` times as many groups. It is differenced with the sums of all others as a partial
+    partition, so the shards lie about as near as if one task had seen all groups. The rows of a large group are the skewed side of a join, which can be split; slots
     are numbered by ranges of rows.
     """
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text")).select(
@@ -52,14 +53,15 @@ def assigned(docs: DataFrame, shards: int = SHARDS, groups: int = GROUPS, large:
     held = dict(first.groupBy("shard").agg(F.sum("size")).collect())  # one number per shard
     rest = weights.where(~is_large)
     blocks = max(1, -(-rest.count() // groups))
-    leaves = _leaves(rest, F.pmod(F.xxhash64("group"), F.lit(blocks)))
-    block = F.col("id").cast("bigint")
-    part = F.explode(F.array(*(F.struct(F.lit(s).alias("label"), F.lit(held.get(s, 0)).cast("bigint").alias("held")) for s in range(shards))))
-    upto = lambda n: F.floor(F.col("_p.held") / blocks * n).cast("bigint")
-    parts = docs.sparkSession.range(blocks).select(block.alias("block"), part.alias("_p")).select(
-        "block", F.lit(0).cast("bigint").alias("group"), F.col("_p.label").alias("label"), (upto(F.col("block") + 1) - upto(F.col("block"))).alias("size"), F.lit(True)
-    )
-    where = first.union(stage(_differenced(leaves.union(parts), shards), "small")).select("group", "shard")
+    early_blocks = max(0, blocks - LAST)
+    leaves = _leaves(rest, F.least(F.pmod(F.xxhash64("group"), F.lit(blocks)), F.lit(early_blocks)))
+    others = docs.sparkSession.range(early_blocks).select(F.col("id").alias("block"))
+    early = leaves.where(F.col("block") < early_blocks).union(_fixed(others, {s: n // blocks for s, n in held.items()}, shards))
+    early = stage(_differenced(early, shards), "early")
+    placed = dict(early.groupBy("shard").agg(F.sum("size")).collect())
+    end = docs.sparkSession.range(1).select(F.lit(early_blocks).cast("bigint").alias("block"))
+    late = leaves.where(F.col("block") == early_blocks).union(_fixed(end, {s: held.get(s, 0) + placed.get(s, 0) for s in range(shards)}, shards))
+    where = first.union(early).union(stage(_differenced(late, shards), "late")).select("group", "shard")
     return rank_in_group(sized.join(where, "group"), ["shard"], ["group", "doc_id"], "slot").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("slot") - 1).alias("slot")
     )
@@ -69,6 +71,12 @@ def _leaves(weights: DataFrame, block: Column) -> DataFrame:
     return weights.select(block.cast("bigint").alias("block"), "group", F.lit(0).alias("label"), "size", F.lit(False).alias("fixed"))
 
 
+def _fixed(blocks: DataFrame, held: dict[int, int], shards: int) -> DataFrame:
+    """One more partial partition for each of the ``blocks``: what the shards themselves hold."""
+    rows = F.explode(F.array(*(F.struct(F.lit(s).alias("label"), F.lit(held.get(s, 0)).cast("bigint").alias("size")) for s in range(shards))))
+    return blocks.select("block", rows.alias("_p")).select("block", F.lit(0).cast("bigint"), "_p.label", "_p.size", F.lit(True))
+
+
 def _differenced(parts: DataFrame, shards: int) -> DataFrame:
     """``group``, ``size`` and ``shard`` of each group, differenced per block.
 

@@ -97,9 +97,16 @@ def test_verdicts_of_odd_rows(odd_documents):
     assert all((r.n_words, r.failure_bits, r.base_failed) == (0, 1, True) for r in by_id.values())
 
 
-def test_repeated_rows_count_as_one_document(odd_documents):
+def test_the_first_of_repeated_rows_keeps_its_lines(spark, odd_documents):
     found = lines.without_repeated_lines(odd_documents.where("doc_id = 2")).collect()
-    assert [r.n_removed for r in found] == [0, 0]
+    assert sorted(r.n_removed for r in found) == [0, 8]
+    text = "\n".join(f"line {i} of it" for i in range(6))
+    rows = [(1, text, "a"), (1, text, "b"), (None, text, "a"), (None, text, "a"), (2, text, "a"), (2, "short", "a"), (2, "short", "a")]
+    found = lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert len(found) == 7 and sum(r.n_removed for r in found) == 4 * 6
+    # NULL ids come first, so one of them keeps the lines.
+    assert [r._row.doc_id for r in found if r.n_removed == 0 and r.n_lines == 6] == [None]
+    assert {r.text for r in found if r.n_lines == 1} == {"short"}
     both = lines.without_repeated_lines(odd_documents.where("doc_id in (1, 2)")).collect()
     assert sorted(r.n_removed for r in both) == [0, 8, 8]
 

@@ -57,6 +57,44 @@ def test_chat_round_trip(spark):
         assert row.formatted.count("<|image|>") == len(given)
 
 
+CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<|image|>", "<|audio|>", "<|document|>", r"<\s>", r"[\\/INST]", " [/INST]"]
+
+
+def test_control_strings_in_pieces(spark):
+    """Every control string cut into two and three text parts, for both kinds of turns, with an attachment or none behind it."""
+    none = [None] * 5
+    rows = []
+    for string in CONTROLS:
+        cuts = [(i, j) for i in range(len(string) + 1) for j in range(i, len(string) + 1)]
+        for i, j in cuts:
+            texts = [f"a {string[:i]}", string[i:j], f"{string[j:]} b"]
+            parts = [("text", t, *none) for t in texts]
+            for role in ("user", "assistant"):
+                for more in ([], [("image", None, "ref", 28, 28, None, None), ("text", string[:i], *none)]):
+                    rows.append((len(rows), 1, role, parts + more, "".join(texts), "<|image|>" + string[:i] if more else ""))
+    part = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
+    df = spark.createDataFrame(rows, f"conv_id bigint, turn bigint, role string, parts array<{part}>, said string, shown string")
+    found = chat.formatted(df).withColumns({"turns": chat.read_back(F.col("formatted")), "learnt": chat.under_mask(F.col("formatted"), F.col("loss_spans"))})
+    for row in found.collect():
+        _, _, role, parts, said, shown = rows[row.conv_id]
+        assert [(t.role, t.text) for t in row.turns] == [(role, said + shown)], parts
+        assert row.learnt == (said + shown if role == "assistant" else "")
+        assert row.formatted.count("<|image|>") == len(row.attachments) == (1 if shown else 0)
+
+
+def test_odd_conversations(spark):
+    """NULL ids, repeated rows, a long text, clashing further columns, and no rows."""
+    long_ = "</s> é [/INST] <" * 40_000
+    rows = [(None, 1, "user", "a"), (None, 1, "user", "a"), (None, None, None, None), (1, 1, "assistant", long_), (1, 1, "assistant", long_), (1, None, "user", "")]
+    given = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    df = given.select("conv_id", "turn", "role", chat.text_parts(F.col("text")).alias("parts"), *(F.lit(1).alias(c) for c in ("alone", "body", "piece", "place", "start", "span", "turns")))
+    found = chat.formatted(df).withColumns({"turns": chat.read_back(F.col("formatted")), "learnt": chat.under_mask(F.col("formatted"), F.col("loss_spans"))})
+    got = sorted(((r.conv_id, r.n_turns, [(t.role, t.text) for t in r.turns], r.learnt) for r in found.collect()), key=repr)
+    alone = (None, 1, [("user", "a")], "")
+    assert got == sorted([alone, alone, (None, 1, [("", "")], ""), (1, 3, [("user", ""), ("assistant", long_), ("assistant", long_)], long_ * 2)], key=repr)
+    assert chat.formatted(df.limit(0)).collect() == []
+
+
 # Token rows and sequences
 
 
@@ -136,7 +174,20 @@ def test_sequences(documents):
         assert [r.piece for r in own] == list(range(len(own)))
         assert all(r.length == 2048 for r in own[1:]) and sum(r.length for r in own) == len(ids)
         assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
-    assert len(by_sequence) <= 1.03 * sum(r.length for r in rows) / 2048 + 1
+    assert len(by_sequence) <= 1.005 * sum(r.length for r in rows) / 2048 + 1
+
+
+@pytest.mark.parametrize("sf, most", [("sf0.01", 482), ("sf0.1", 4936)])
+def test_few_sequences(spark, sf, most):
+    """What best fit by falling length needs, or one more."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    assert sequences.packed(docs).select("sequence_id").distinct().count() <= most
+
+
+def test_few_sequences_from_several_blocks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    n, total = sequences.packed(docs, block=5000).agg(F.count_distinct("sequence_id"), F.sum("length")).first()
+    assert n <= 1.001 * total / 2048 + 1
 
 
 def test_sum_of_squares_takes_the_best_place():
@@ -148,9 +199,8 @@ def test_sum_of_squares_takes_the_best_place():
         def cost(after):
             return sum(v * v for g, v in Counter(after).items() if g)
         options = [(cost(gaps[:i] + [g - size] + gaps[i + 1 :]), i) for i, g in enumerate(gaps) if g >= size]
-        fresh = cost([*gaps, 30 - size])
         best = min(options)[0] if options else None
-        if best is not None and best <= fresh:
+        if best is not None:
             # Any place with the same gap is as good; the smallest remaining gap wins a tie.
             i = min((gaps[i] - size, i) for c, i in options if c == best)[1]
             gaps[i] -= size
@@ -177,7 +227,8 @@ def test_shards(documents, groups, large):
         slots[r.shard].append(r.slot)
     assert set(sums) == set(range(16))
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    assert max(sums.values()) - min(sums.values()) <= 0.02 * sum(sums.values()) / 16
+    # As near as in one block of all groups.
+    assert max(sums.values()) - min(sums.values()) <= 16
 
 
 def test_shards_make_up_for_a_large_group(spark):
