@@ -15,12 +15,26 @@ def parse_yyyymmdd(value: Column) -> Column:
     value, which is fifty times slower, and ``to_date`` ends the job under ANSI. The formula is
     kept short, because generated code of more than 8,000 bytes per method is not compiled.
     """
+    number = whole_number(value)
+    return date_of(number, month_and_day(number))
+
+
+def whole_number(value: Column) -> Column:
+    """The number of eight digits, or NULL."""
     number = value.try_cast("int")
-    year, month, day = (number / 10_000).cast("int"), (number / 100).cast("int") % 100, number % 100
-    first = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
-    date = F.date_add(first, day - 1)
-    eight_digits = number.between(1000_01_01, 9999_12_31)
-    return F.when(eight_digits & month.between(1, 12) & day.between(1, 31) & (date <= F.last_day(first)), date)
+    return F.when(number.between(1000_01_01, 9999_12_31), number)
+
+
+def month_and_day(number: Column) -> Column:
+    """So many days from the first of the month of :func:`whole_number`; NULL if there is no such month or day."""
+    month, day = (number / 100).cast("int") % 100, number % 100
+    first = F.add_months(F.make_date((number / 10_000).cast("int"), F.lit(1), F.lit(1)), month - 1)
+    return F.when(month.between(1, 12) & day.between(1, 31), F.date_add(first, day - 1))
+
+
+def date_of(number: Column, shifted: Column) -> Column:
+    """The date, if counting days from the first of its month does not leave the month."""
+    return F.when(F.dayofmonth(shifted) == number % 100, shifted)
 
 
 def null_future(value: Column, as_of: dt.date | None = None) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import codes
 from terrace.functions.amounts import common_number, repair_amount, repair_price
-from terrace.functions.dates import null_future, parse_yyyymmdd
+from terrace.functions.dates import date_of, month_and_day, null_future, whole_number
 from terrace.functions.text import (
     category_part,
     default_if_null,
@@ -60,14 +60,20 @@ def silver_sales(bronze: DataFrame) -> DataFrame:
     """
     number = common_number([bronze.schema[c].dataType for c in ("sls_sales", "sls_quantity", "sls_price")])
     amount = repair_amount(F.col("sls_sales"), F.col("sls_quantity"), F.col("sls_price"), number)
-    return bronze.select(
+    dates = ("sls_order_dt", "sls_ship_dt", "sls_due_date")
+    # What is used several times is computed first: one step for all makes a method that is too long to be compiled.
+    prepared = bronze.select(
+        "sls_ord_num", "sls_prd_key", "sls_cust_id", *(whole_number(F.col(c)).alias(c) for c in dates), amount.alias("_amount"), "sls_quantity", "sls_price"
+    )
+    split = prepared.withColumns({f"_{c}": month_and_day(F.col(c)) for c in dates})
+    return split.select(
         "sls_ord_num",
         "sls_prd_key",
         "sls_cust_id",
-        *(parse_yyyymmdd(F.col(c)).alias(c) for c in ("sls_order_dt", "sls_ship_dt", "sls_due_date")),
-        amount.alias("sls_sales"),
+        *(date_of(F.col(c), F.col(f"_{c}")).alias(c) for c in dates),
+        F.col("_amount").alias("sls_sales"),
         "sls_quantity",
-        repair_price(F.col("sls_price"), F.col("sls_quantity"), amount).alias("sls_price"),
+        repair_price(F.col("sls_price"), F.col("sls_quantity"), F.col("_amount")).alias("sls_price"),
     )
 
 
