@@ -178,6 +178,16 @@ def test_shingle_links(spark, chunk, monkeypatch):
     assert {tuple(x) for x in jaccard.grouped(df, chunk=chunk).collect()} == want
 
 
+def test_sparse_counts_are_read_back():
+    r = np.random.default_rng(8)
+    for share in (0.0001, 0.3, 1):
+        counts = (r.integers(1, 256, 100_000) * (r.random(100_000) < share)).astype(np.uint8)
+        at, some = jaccard.unpacked(jaccard.sparse(counts))
+        again = np.zeros(100_000, np.uint64)
+        again[at] = some
+        assert (again == counts).all()
+
+
 def test_parities_never_exclude_a_link():
     r = np.random.default_rng(6)
     alone = 0
