@@ -112,7 +112,7 @@ def grouped(
 
     members = _members(source, classes, shingle, percent)
     bits = described.where("n > 0").select(F.col("d1").alias("set"), "bits").join(members.select("set").distinct(), "set", "left_semi")
-    likely = _dealt(members, chunk).join(bits.groupBy("set").agg(F.first("bits").alias("bits")), "set")
+    likely = stage(_dealt(members, chunk), "dealt").join(bits.groupBy("set").agg(F.first("bits").alias("bits")), "set")
     likely = components(_in_units(likely.select("bucket", "low", "high", "chunk", "set", "n", "bits")).mapInArrow(_likely(percent), "a bigint, b bigint"))
     members = likely.select(F.col("root").alias("bucket"), F.col("node").alias("set")).unionAll(likely.select("root", "root").distinct())
     members = stage(members.join(nodes.select(F.col("d1").alias("set"), "n"), "set"), "likely_sets")
@@ -120,7 +120,7 @@ def grouped(
     texts = source.join(wanted.select("key", "check"), ["key", "check"], "left_semi").groupBy("key", "check").agg(F.first("text").alias("text"))
     sets = texts.mapInArrow(_sets(shingle), "n int, d1 bigint, d2 bigint, tokens binary").join(wanted, same_set)
     sets = stage(sets.select(F.col("d1").alias("set"), "node", "tokens"), "candidate_sets")
-    whole = _dealt(members, chunk).join(sets, "set").select("bucket", "low", "high", "chunk", "node", "tokens")
+    whole = stage(_dealt(members, chunk), "dealt").join(sets, "set").select("bucket", "low", "high", "chunk", "node", "tokens")
     edges = _in_units(whole).mapInArrow(_verified(classes, percent, orders), "a bigint, b bigint")
 
     roots = components(edges)
@@ -285,7 +285,10 @@ def _in_units(dealt: DataFrame) -> DataFrame:
 
 
 def _dealt(members: DataFrame, chunk: int) -> DataFrame:
-    """``members`` dealt into pairs of chunks: ``bucket``, ``low``, ``high`` name the pair, ``chunk`` is the row's own."""
+    """``members`` dealt into pairs of chunks: ``bucket``, ``low``, ``high`` name the pair, ``chunk`` is the row's own.
+
+    Written before it is joined, Spark knows its size, and does not shuffle the sets twice where it is small.
+    """
     size = F.greatest(F.lit(chunk), F.least(F.lit(MOST_CHUNK), F.col("sets") / 8))
     chunks = F.ceil(F.greatest(F.col("sets") / size, F.col("tokens") / CHUNK_TOKENS)).cast("int")
     cut = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).select("bucket", chunks.alias("chunks"))
