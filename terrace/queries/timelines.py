@@ -17,13 +17,14 @@ from terrace.plans.versions import History
 from terrace.queries import layers
 from terrace.queries.inputs import table
 from terrace.queries.oracle import with_tables
-from terrace.staging import scratch_path
+from terrace.staging import scratch_path, stage
 from terrace.streaming import windows
 
 
 def fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned order lines with the product version of their order day, and its cost, instead of the current one."""
-    sales, products = layers.silver_sales(spark, sf_dir), layers.silver_products(spark, sf_dir)
+    # Written first, as silver tables are: a filter on the order day would otherwise clean the lines once more.
+    sales, products = stage(layers.silver_sales(spark, sf_dir), "sales"), layers.silver_products(spark, sf_dir)
     columns = ["prd_id", "prd_cost", "prd_start_dt"]
     found = as_of_lookup(sales, products, "sls_prd_key", "sls_order_dt", "prd_key", "prd_start_dt", columns, ["prd_id"])
     return found.select("sls_ord_num", "sls_prd_key", "sls_order_dt", "sls_sales", "sls_quantity", *columns)
