@@ -18,7 +18,7 @@ from terrace.queries import layers
 from terrace.queries.inputs import table
 from terrace.queries.oracle import with_tables
 from terrace.staging import scratch_path, stage
-from terrace.streaming import windows
+from terrace.streaming import dedup, windows
 
 
 def fact_sales_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +99,27 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("window_start", "event_type", "n_events", F.col("total").cast("double").alias("total"))
 
 
+def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come in by parts of a month, some of them twice, some of them a part later; the first of each, and how many others came."""
+    source, sink, checkpoint, audit = (scratch_path(spark, x) for x in ("arrivals", "firsts", "stream", "audit"))
+    events = table(spark, sf_dir, "events")
+    at, part = F.col("event_id"), F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int")
+    times = F.concat(
+        F.when(at % 13 != 0, F.array(part)).otherwise(F.array().cast("array<int>")),
+        F.when((at % 7 == 0) & (at % 13 != 0), F.array(part)).otherwise(F.array().cast("array<int>")),
+        F.when((at % 11 == 0) | (at % 13 == 0), F.array(part + 1)).otherwise(F.array().cast("array<int>")),
+    )
+    arrivals = stage(events.select("*", F.explode(times).alias("arrival")), "arrivals")
+    for arrival in range(4):
+        arrivals.where(F.col("arrival") == arrival).drop("arrival").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        dedup.keep_first(stream, "ts", ["event_id"], "5 days", sink, checkpoint, audit)
+    counted = dedup.audits(spark, audit).agg(F.sum("late_rows").alias("late"), F.sum("repeated_rows").alias("repeated"))
+    others = counted.select(F.expr("stack(2, 'late', late, 'repeated', repeated) AS (status, n)"))
+    kept = dedup.kept(spark, events, sink).select(F.lit("kept").alias("status"), "event_id", "ts", F.lit(1).cast("bigint").alias("n"))
+    return kept.unionByName(others.select("status", "n"), allowMissingColumns=True)
+
+
 _PROMOTIONS = """
     SELECT CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE p_partkey // 4 END AS grp, p_partkey AS promotion,
         CASE WHEN p_partkey % 500 = 3 THEN DATE '2000-01-01' ELSE DATE '2011-07-01' + CAST(p_size * 30 + p_partkey % 30 AS INTEGER) END AS first_day,
@@ -155,4 +176,18 @@ QUERIES = {
         """SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n_events,
             CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL""",
     ),
+    "stream_dedup_events": (
+        stream_dedup_events,
+        """WITH parted AS (SELECT event_id, ts, least((day(ts) - 1) // 10, 2) AS part FROM events),
+        came AS (SELECT *, part AS arrival FROM parted WHERE event_id % 13 <> 0
+            UNION ALL SELECT *, part FROM parted WHERE event_id % 13 <> 0 AND event_id % 7 = 0
+            UNION ALL SELECT *, part + 1 FROM parted WHERE event_id % 11 = 0 OR event_id % 13 = 0),
+        bounds AS (SELECT arrival, date_trunc('milliseconds', max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+            - INTERVAL 5 DAY AS bound FROM came GROUP BY arrival),
+        judged AS (SELECT event_id, ts, coalesce(ts <= bound, FALSE) AS late, row_number() OVER (PARTITION BY event_id, coalesce(ts <= bound, FALSE)) AS nth
+            FROM came JOIN bounds USING (arrival))
+        SELECT 'kept' AS status, event_id, ts, CAST(1 AS BIGINT) AS n FROM judged WHERE NOT late AND nth = 1
+        UNION ALL SELECT 'late', NULL, NULL, count(*) FROM judged WHERE late
+        UNION ALL SELECT 'repeated', NULL, NULL, count(*) FROM judged WHERE NOT late AND nth > 1""",
+    ),
 }

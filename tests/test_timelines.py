@@ -18,7 +18,7 @@ from terrace.operators.sessions import sessions
 from terrace.plans import silver
 from terrace.plans.versions import History
 from terrace.sources.schemas import SOURCES, conform
-from terrace.streaming import windows
+from terrace.streaming import dedup, windows
 
 DAY = dt.date(2020, 1, 1)
 
@@ -187,6 +187,36 @@ def test_windows_of_a_stream(spark, tmp_path, slide):
     assert {x.closed for x in found} == {True, False}
 
 
+def test_first_events_of_a_stream(spark, tmp_path):
+    """Parts that come one after the other, each run stopped and started again: kept + late + repeated = input, nothing twice."""
+    schema = "id int, at timestamp_ntz, note string"
+    start, delay = dt.datetime(2020, 1, 1), dt.timedelta(minutes=30)
+    sink, checkpoint, source, audit = (str(tmp_path / x) for x in ("sink", "checkpoint", "source", "audit"))
+    r, given, bound, seen = random.Random(8), 0, None, {}
+    want: Counter = Counter()
+    for part in range(4):
+        rows = [(r.choice([1, 1, 1, *range(60), None]), start + dt.timedelta(minutes=part * 40 + r.randrange(-50, 40)), f"{part}") for _ in range(150)]
+        rows.append((-1 - part, None, "no time"))
+        # One time a key, so that which row is kept is the same whatever their order.
+        rows = [(k, seen.setdefault(k, at), note) for k, at, note in rows]
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(source)
+        for _ in range(2):
+            dedup.keep_first(spark.readStream.schema(schema).parquet(source), "at", ["id"], "30 minutes", sink, checkpoint, audit)
+        given += len(rows)
+        for k, at, _ in rows:
+            late = bound is not None and at is not None and at <= bound
+            want["late" if late else "repeated" if (k, "kept") in want else "kept"] += 1
+            if not late:
+                want[k, "kept"] = 1
+        bound = max(at for _, at, _ in rows if at) - delay if bound is None else max(bound, max(at for _, at, _ in rows if at) - delay)
+    found = dedup.kept(spark, spark.createDataFrame([], schema), sink).collect()
+    counts = dedup.audits(spark, audit).collect()
+    assert len(found) == len({x.id for x in found}) == want["kept"]
+    assert (sum(x.kept_rows for x in counts), sum(x.late_rows for x in counts), sum(x.repeated_rows for x in counts)) == (want["kept"], want["late"], want["repeated"])
+    assert min(want["late"], want["repeated"]) > 20 and sum(x.input_rows for x in counts) == given
+    assert len(counts) == len({x.batch for x in counts}) == 4
+
+
 def test_cleaned_sales_are_compiled(spark):
     """The JVM compiles methods of up to 8,000 bytes."""
     schema = SOURCES["crm_sales_details"]
