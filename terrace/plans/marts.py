@@ -120,7 +120,7 @@ def sales_trend(fact: DataFrame) -> DataFrame:
     by_month = Window.orderBy(F.col("month").asc_nulls_last())
     so_far = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     follows = F.lag("month").over(by_month) == F.add_months("month", -1)
-    return _monthly(fact, dated=False).select(
+    return monthly_sales(fact, dated=False).select(
         "month",
         "sales",
         F.when(follows, F.col("sales") - F.lag("sales").over(by_month)).alias("change"),
@@ -130,7 +130,7 @@ def sales_trend(fact: DataFrame) -> DataFrame:
 
 def seasonal_index(fact: DataFrame) -> DataFrame:
     """Mean sales of each calendar month over the mean of all months."""
-    monthly = _monthly(fact)
+    monthly = monthly_sales(fact)
     overall = monthly.agg(F.avg("sales")).scalar()
     return monthly.groupBy(F.month("month").cast("bigint").alias("month_of_year")).agg(
         F.round(F.avg("sales"), 2).alias("mean_sales"),
@@ -145,7 +145,7 @@ def seasonal_forecast(fact: DataFrame, products: DataFrame) -> DataFrame:
     as do the categories. The months are twelve conditional sums, so that no category is collected or joined
     with itself.
     """
-    per_product = stage(_monthly(fact, "product_key"), "monthly")
+    per_product = stage(monthly_sales(fact, "product_key"), "monthly")
     last = per_product.agg(F.max("month")).scalar()
     per_category = left_lookup(per_product, products, "product_key", "product_key", ["cat"])
     year_ago = {ahead: F.add_months(last, ahead - 12) for ahead in range(1, 13)}
@@ -167,6 +167,7 @@ def _month() -> Column:
     return F.trunc("order_date", "month")
 
 
-def _monthly(sales: DataFrame, *by: str, dated: bool = True) -> DataFrame:
+def monthly_sales(sales: DataFrame, *by: str, dated: bool = True) -> DataFrame:
+    """``by``, ``month``, ``sales``."""
     lines = sales.where(F.col("order_date").isNotNull()) if dated else sales
     return lines.groupBy(*by, _month().alias("month")).agg(F.sum("sales_amount").alias("sales"))

@@ -18,18 +18,17 @@ def register_parquet(
 ) -> None:
     """Make the Parquet folder known as external table ``database.table``.
 
-    A table of the same columns and layout is pointed to the folder by one catalog change, so a
+    A table of the same columns and without folders is pointed to ``path`` by one catalog change, so a
     reader finds the old rows or the new ones. Any other one is dropped (its files stay) and
-    created again, so that new columns become visible.
+    created again, so that new columns become visible, and since folders may have locations of their own, which a
+    change of the table's leaves as they are; for a moment a reader finds no table, or one without rows.
     """
     known = spark.catalog.tableExists(table)
-    if known and not _matches(spark, table, schema, partition_by):
+    if known and (partition_by or not _matches(spark, table, schema)):
         spark.sql(f"DROP TABLE {table}")
         known = False
     if known:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     else:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
@@ -67,8 +66,9 @@ def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def _matches(spark: SparkSession, table: str, schema: T.StructType, partition_by: tuple[str, ...]) -> bool:
-    if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != list(partition_by):
+def _matches(spark: SparkSession, table: str, schema: T.StructType) -> bool:
+    """Whether the table has these columns and no folders."""
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
         return False
     held = {f.name: f.dataType.simpleString() for f in spark.table(table).schema.fields}
     return held == {f.name: f.dataType.simpleString() for f in schema.fields}

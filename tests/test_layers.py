@@ -197,6 +197,23 @@ def test_partitioned_table(spark, warehouse):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_folders_of_a_reload_are_those_of_the_new_version(spark, warehouse):
+    """Also where a folder had a location of its own, as under a Hive catalog."""
+    df = spark.range(20).select("id", (F.col("id") % 2).cast("int").alias("part"))
+    warehouse.save("gold", "t", df, ("part",))
+    table = warehouse.table("gold", "t")
+    old = files.current_version(spark, warehouse.path("gold", "t"))
+    spark.sql(f"ALTER TABLE {table} PARTITION (part = 1) SET LOCATION '{old}/part=1'")
+    warehouse.save("gold", "t", df.withColumn("id", F.col("id") + 100), ("part",))
+    new = files.current_version(spark, warehouse.path("gold", "t"))
+    assert new != old
+    for part in range(2):
+        database = f"{warehouse.prefix}gold"
+        shown = spark.sql(f"SHOW TABLE EXTENDED IN `{database}` LIKE 't' PARTITION (part = {part})").first()["information"]
+        assert f"{new}/part={part}" in shown and old not in shown
+    assert {r.id for r in spark.table(table).collect()} == set(range(100, 120))
+
+
 def test_paths_and_names(spark):
     made = Warehouse(spark, "/data", "x_")
     assert made.path("bronze", "crm_cust_info") == "/data/bronze/bronze_crm_cust_info"

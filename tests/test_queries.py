@@ -17,6 +17,7 @@ QUERIES = entry_point._ALL
 # Spark type -> DuckDB types that hold the same values.
 SAME_TYPE = {
     "bigint": {"BIGINT"},
+    "boolean": {"BOOLEAN"},
     "int": {"INTEGER"},
     "double": {"DOUBLE"},
     "string": {"VARCHAR"},
