@@ -2,8 +2,9 @@
 
 Two texts have one canonical form if they differ only in case, punctuation, white space, copyright
 lines and equivalent spellings. The unit that is looked up is an entire text: the whole document,
-each of its lines as a text of its own, which finds one-line notices, and each run of as many paragraphs as a known
-text has, which finds texts and wrapped notices inside longer documents. Built-in functions only.
+each of its lines as a text of its own, which finds one-line notices, and each run of lines that begins like a known text
+and has as many letters, which finds texts and wrapped notices inside longer documents, with other lines or comment
+marks right beside them. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm.rows import BLANK, text_of
+from terrace.llm.rows import text_of
+from terrace.staging import stage
 
 #: Whole licence texts by identifier; after "~" comes the number of another edition of the same text.
 TEXTS = Path(__file__).with_name("license_texts")
@@ -36,6 +38,9 @@ SPELLINGS = {
 # Titles that may stand above the first text of a licence.
 TITLES = {"MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License",)}
 
+#: Known texts that a scan takes; their first words and sizes are part of its plan.
+MOST_KNOWN = 5_000
+
 #: A line that states a copyright with a year, or reserves all rights; lower case.
 COPYRIGHT = r"(?m)^[^\w\n]*(?:copyright|\(c\)|©).*\d{4}.*$|^[^\w\n]*all rights reserved[^\w\n]*$"
 
@@ -157,65 +162,102 @@ def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
 
     One row per input row with ``line`` -1: the digest of the whole text (NULL if no word is left),
     and its licence if known; and one row per line, counted from 0, that is a known licence text by itself, or where a
-    run of paragraphs of several lines begins that is one and is not the whole text.
+    run of lines begins that is one and leaves other words of the text out.
     A text of one line has both. If several known licences have one digest, the first name counts.
-    NULL texts count as empty; equal rows give equal rows.
+    NULL texts count as empty; equal rows give equal rows. A run begins with the first word of a line and ends with the last one of
+    a line; words of other text on these lines make it another text.
 
-    One pass over the texts. The known texts are read by the driver too, for the words that they start with. The known digests are joined by hash without a hint: Spark broadcasts
-    them if it knows them to be small, and can split a frequent digest otherwise.
+    One pass over the texts. Only lines that begin like a known text, and runs from there that have as many letters as one, are brought
+    into canonical form beside the whole text. The known digests are written, so that Spark knows their size: it broadcasts
+    them if they are small, and can split a frequent digest otherwise. At most ``MOST_KNOWN`` texts may be known.
     """
+    shapes = known.select("text").limit(MOST_KNOWN + 1).collect()
+    if len(shapes) > MOST_KNOWN:
+        raise ValueError(f"more than {MOST_KNOWN} known texts")
     digests = known.select(digest(F.col("text")).alias("_digest"), "license_id").where("_digest is not null")
-    digests = digests.groupBy("_digest").agg(F.min("license_id").alias("license_id"))
-    shapes = known.select("text").collect()
-    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text")).withColumn("_lines", F.split("_text", "\n"))
-    unit = lambda line, text: F.struct(line.cast("bigint").alias("line"), text.alias("unit"))
-    single = F.transform("_lines", lambda text, i: unit(i, text))
-    units = F.concat(F.array(unit(F.lit(-1), F.col("_text"))), single, _runs([r.text for r in shapes], unit))
-    read = read.select("doc_id", F.inline_outer(units))
+    digests = stage(digests.groupBy("_digest").agg(F.min("license_id").alias("license_id")), "licences")
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("_text"))
+    whole = F.array(F.struct(F.lit(-1).cast("bigint").alias("line"), F.col("_text").alias("unit")))
+    read = read.select("doc_id", F.inline(F.concat(whole, _inside(F.col("_text"), [r.text or "" for r in shapes]))))
     read = read.select("doc_id", "line", digest(F.col("unit")).alias("digest"))
-    # A line that is no licence needs no join partner; a whole text stays in any case.
     joined = read.join(digests, F.col("digest") == F.col("_digest"), "left")
     return joined.where("line = -1 or license_id is not null").select("doc_id", "line", "digest", "license_id")
 
 
-def _runs(known: list[str], unit) -> Column:
-    """Runs of paragraphs of ``_lines`` that may be a known text: as long as one, and with the first two words of one in the first paragraph."""
+_WORD = r"[\p{L}\p{N}]"
+
+
+def _same_size() -> dict[str, str]:
+    """Single words to replace, so that texts of one canonical form have equally many letters, wherever their lines are cut."""
+    found = {}
+    for old, new in SPELLINGS.items():
+        if len(old.replace(" ", "")) != len(new.replace(" ", "")):
+            found |= {a: b for a, b in zip(old.split(), new.split(), strict=True) if a != b}
+    return found
+
+
+def _letters(text: Column) -> Column:
+    """The number of letters and digits that the canonical form has, but for single words that have spellings of unequal length."""
+    plain = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
+    plain = F.concat(F.lit(" "), F.regexp_replace(plain, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
+    for old, new in _same_size().items():
+        plain = F.replace(plain, F.lit(f" {old} "), F.lit(f" {new} "))
+    return F.length(F.replace(plain, F.lit(" "), F.lit("")))
+
+
+def _beginning(known: list[str]) -> str | None:
+    """A pattern of the first two words of the known texts, at the beginning of a line, or of the first one alone on its line."""
     old = {new: [new, *(o for o, n in SPELLINGS.items() if n == new)] for new in SPELLINGS.values()}
-    starts, sizes = set(), set()
+    spelt = lambda word: "(?:" + "|".join(old.get(SPELLINGS.get(word, word), [word])) + ")"
+    seconds: dict[str, set[str]] = {}
     for text in known:
-        plain = re.sub(COPYRIGHT, " ", (text or "").lower())
-        if found := re.findall(r"[^\W_]+", plain):
-            starts.add(r"[^\p{L}\p{N}]+".join("(?:" + "|".join(old.get(SPELLINGS.get(w, w), [w])) + ")" for w in found[:2]))
-            sizes.update(len(re.findall(r"(?m)(?:^.*[^\s].*$\n?)+", t)) for t in (text, plain))
-    if not starts:
-        return F.array().cast("array<struct<line:bigint,unit:string>>")
-    solid = F.transform("_lines", lambda line: line.rlike(BLANK.replace("[", "[^")))
-    at = lambda flags, i: F.coalesce(F.get(flags, i), F.lit(False))
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    edges = lambda flags, by: F.filter(every, lambda i: at(flags, i) & ~at(flags, i + by))
-    part = lambda a, z: F.array_join(F.slice("_lines", a + 1, z - a + 1), "\n")
-    begins = "(?<![\\p{L}\\p{N}])(?:" + "|".join(sorted(starts)) + ")(?![\\p{L}\\p{N}])"
-
-    def of(flags: Column) -> Column:
-        return F.transform(F.array(F.struct(edges(flags, -1).alias("a"), edges(flags, 1).alias("z"))), of_edges)[0]
-
-    def of_edges(e: Column) -> Column:
-        first = F.filter(
-            F.transform(e["a"], lambda a, i: F.struct(a.alias("a"), i.alias("i"))),
-            lambda p: F.lower(part(p["a"], F.get(e["z"], p["i"]))).rlike(begins),
+        words = re.findall(r"[^\W_]+", re.sub(COPYRIGHT, " ", text.lower()))
+        if words:
+            seconds.setdefault(spelt(words[0]), set()).update(map(spelt, words[1:2]))
+    if not seconds:
+        return None
+    other = r"[^\p{L}\p{N}\n]"
+    end = rf"(?:{other}*$)"
+    starts = (rf"{first}(?:{end}|{other}+(?:{'|'.join(sorted(then))})(?!{_WORD}))" if then else first + end for first, then in sorted(seconds.items()))
+    return rf"(?m)^{other}*(?:{'|'.join(starts)})"
+
+
+def _inside(text: Column, known: list[str]) -> Column:
+    """Lines, and runs of lines, that may be a known text: ``line`` and ``unit``."""
+    none = F.array().cast("array<struct<line:bigint,unit:string>>")
+    begins = _beginning(known)
+    if begins is None:
+        return none
+    spark = SparkSession.active()
+    sizes = sorted({r.n for r in spark.createDataFrame([(t,) for t in known], "t string").select(_letters(F.col("t")).alias("n")).collect()} - {0})
+    lines = F.split(text, "\n")
+    marked = F.transform(
+        lines, lambda line, i: F.struct(i.alias("at"), _letters(line).alias("n"), F.lower(line).rlike(begins).alias("begins"))
+    )
+
+    def step(state: Column, line: Column) -> Column:
+        total = state["total"] + line["n"]
+        started = F.when(line["begins"], F.array(F.struct(line["at"].alias("at"), state["total"].alias("before")))).otherwise(F.array().cast(_OPEN))
+        held = F.filter(F.concat(state["open"], started), lambda o: total - o["before"] <= sizes[-1])
+        ended = F.transform(
+            F.filter(state["open"], lambda o: (total - o["before"]).isin(sizes)),
+            lambda o: F.struct(o["at"].alias("a"), line["at"].alias("z"), (total - o["before"]).alias("n")),
         )
-        runs = F.flatten(
-            F.transform(
-                first,
-                lambda p: F.filter(
-                    F.transform(F.array(*map(F.lit, sorted(sizes))), lambda n: F.struct(p["a"].alias("a"), F.get(e["z"], p["i"] + n - 1).alias("z"))),
-                    lambda r: r["z"].isNotNull() & (r["z"] > r["a"]) & ((r["a"] > F.element_at(e["a"], 1)) | (r["z"] < F.element_at(e["z"], -1))),
-                ),
-            )
+        # Lines without a letter neither begin nor end a run.
+        return F.when(line["n"] == 0, state).otherwise(
+            F.struct(total.alias("total"), held.alias("open"), F.concat(state["runs"], ended).alias("runs"))
         )
-        return F.transform(runs, lambda r: unit(r["a"], part(r["a"], r["z"])))
 
-    # Without the first two words of a known text anywhere, there is nothing to cut.
-    return F.when(F.lower("_text").rlike(begins), F.flatten(F.transform(F.array(solid), of))).otherwise(
-        F.array().cast("array<struct<line:bigint,unit:string>>")
-    )
+    start = F.struct(F.lit(0).alias("total"), F.array().cast(_OPEN).alias("open"), F.array().cast(_RUNS).alias("runs"))
+    runs = F.aggregate(marked, start, step, lambda s: F.filter(s["runs"], lambda r: r["n"] < s["total"]))
+    joined = F.transform(runs, lambda r: _unit(r["a"], F.array_join(F.slice(lines, r["a"] + 1, r["z"] - r["a"] + 1), "\n")))
+    single = F.transform(F.filter(marked, lambda line: line["begins"]), lambda line: _unit(line["at"], F.get(lines, line["at"])))
+    return F.when(F.lower(text).rlike(begins), F.concat(single, joined)).otherwise(none)
+
+
+_OPEN = "array<struct<at:int,before:int>>"
+_RUNS = "array<struct<a:int,z:int,n:int>>"
+
+
+def _unit(line: Column, text: Column) -> Column:
+    return F.struct(line.cast("bigint").alias("line"), text.alias("unit"))

@@ -3,6 +3,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -283,6 +284,45 @@ def test_whole_texts_and_texts_inside_documents(spark):
     assert {k: i for k, i in known.items() if k[0] >= 100} == {(100, 3): "MIT", (101, 2): "GPL-3.0", (102, 5): "BSD-3-Clause"}
 
 
+def test_texts_beside_code(spark):
+    """No blank line is needed: shebangs, comment marks, code right beside, words of a spelling on two lines."""
+    apache = licenses.HEADERS["Apache-2.0"][0].replace("\n\nhttp", "\n\n    https").replace("LICENSE-2.0\n\n", "LICENSE-2.0\n\n")
+    lines_ = [part for p in apache.split("\n") for part in (textwrap.wrap(p, 70) or [""])]
+    mit = licenses.KNOWN["MIT"][0].replace("NONINFRINGEMENT", "NON\nINFRINGEMENT").replace("sublicense", "sub\nlicense")
+    mit = mit.replace(". THE SOFTWARE", ".\n//\n//\nTHE SOFTWARE")
+    bsd = (licenses.TEXTS / "BSD-2-Clause.txt").read_text().replace("COPYRIGHT HOLDER ", "COPYRIGHT\nOWNER ")
+    hashed = "\n".join(f"# {x}".rstrip() for x in lines_)
+    rows = [
+        (1, f"#!/bin/sh\n{hashed}\nset -e\n"),
+        (2, "/*\n" + "\n".join(f" * {x}" for x in lines_) + "\n */\npackage x;\nLicensed under the MIT License.\n"),
+        (3, "// A tool.\n// Copyright 2020 A. Person\n" + "\n".join(f"// {x}" for x in mit.split("\n")) + "\nint main() {}"),
+        (4, f"x = 1\n{bsd}\ny = 2"),
+        (5, f"#!/bin/sh\n{hashed} and more\nset -e"),  # words of other text on the last line
+        (6, f"before {hashed[2:]}\nend"),  # or on the first one
+        (7, "a\nLicensed\nunder the MIT License.\nLicensed under the MIT\nLicense.\nLicensed under"),
+        (8, "\n".join(["Licensed under the MIT License."] * 3000)),
+        (9, f"# Copyright 2020 B\n{hashed}"),  # all words of the text: the whole is one, the run is not told again
+    ]
+    found = licenses.scanned(spark.createDataFrame(rows, "doc_id bigint, text string"), licenses.known_texts(spark)).collect()
+    known = {(r.doc_id, r.line): r.license_id for r in found if r.license_id}
+    assert {k: i for k, i in known.items() if k[0] != 8} == {
+        (1, 1): "Apache-2.0", (2, 1): "Apache-2.0", (2, len(lines_) + 3): "MIT", (3, 2): "MIT", (4, 1): "BSD-2-Clause",
+        (7, 1): "MIT", (7, 3): "MIT", (9, -1): "Apache-2.0",
+    }
+    assert {k for k in known if k[0] == 8} == {(8, i) for i in range(3000)} and len(found) == len(known) + 8
+
+
+def test_known_licences_are_broadcast(spark):
+    """Units are not shuffled, and the number of known texts is bounded."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = licenses.scanned(docs, licenses.known_texts(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Python" not in plan
+    many = spark.range(licenses.MOST_KNOWN + 1).select(F.lit("x").alias("license_id"), F.col("id").cast("string").alias("text"))
+    with pytest.raises(ValueError):
+        licenses.scanned(docs, many)
+    assert {r.license_id for r in licenses.scanned(docs, many.limit(0)).collect()} == {None}
+
+
 # SimHash
 
 
