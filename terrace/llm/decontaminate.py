@@ -1,9 +1,9 @@
 """Benchmark decontamination: training texts that hold a test item.
 
 The questions of the test items form a BM25 inverted index with block maxima. Every training text is a
-query, with all of its words. As in block-max WAND, the sum of a block's largest impacts is an upper bound for all
-items of the block, and only blocks whose bound reaches the threshold are scored; there, an item is
-left as soon as the terms that are still open cannot lift it over the threshold. Common terms of an
+query, with all of its words. Block-max WAND walks the postings of its terms from pivot to pivot and skips what lies between; the
+sum of a block's largest impacts is an upper bound for all items of the block, and only blocks whose bound reaches the threshold are
+scored; there, an item is left as soon as the terms that are still open cannot lift it over the threshold. Common terms of an
 item together stay below half its threshold, so bounds need its rarer ("essential") terms only.
 The threshold is the least score of a text that holds enough of the question, so the index only saves
 work: items above it are verified by the overlap of question and answer in five-word shingles, over the whole text.
@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import pickle
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -104,52 +105,69 @@ class Index:
                     per_block = postings.setdefault(term, {})
                     per_block[number // BLOCK] = max(per_block.get(number // BLOCK, 0.0), weight)
             need.append(self.threshold[-1] - dropped)
-        self.blocks = -(-len(self.items) // BLOCK)
-        self.need = np.array([min(need[i : i + BLOCK]) for i in range(0, len(need), BLOCK)]) - 1e-9
+        self.need = [min(need[i : i + BLOCK]) - 1e-9 for i in range(0, len(need), BLOCK)]
+        self.least = min(self.need, default=float("inf"))
         self.term_id = {t: i for i, t in enumerate(postings)}
-        self.first = np.cumsum([0, *map(len, postings.values())])
-        self.block = np.array([b for p in postings.values() for b in p], np.int64)
-        self.most = np.array([w for p in postings.values() for w in p.values()])
-
-    def candidates(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(text, block) of all texts and blocks whose bound reaches the block's threshold."""
-        get, size = self.term_id.get, max(1, len(self.term_id))
-        pairs = [np.zeros(0, np.int64)]
-        for number, text in enumerate(texts):
-            ids = np.fromiter(map(get, text, repeat(-1)), np.int64, len(text))
-            pairs.append(_distinct(ids[ids >= 0]) + number * size)
-        pair = np.concatenate(pairs)
-        text, term = pair // size, pair % size
-        n = self.first[term + 1] - self.first[term]
-        place = np.repeat(self.first[term] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()) if len(n) else n
-        key = np.repeat(text, n) * self.blocks + self.block[place]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        if not len(key):
-            return key, key
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        bound = np.add.reduceat(self.most[place][order], starts)
-        key = key[starts]
-        key = key[bound >= self.need[key % self.blocks]]
-        return key // self.blocks, key % self.blocks
+        # Items are numbered in turn, so the blocks of a term ascend.
+        self.blocks_of = [list(p) for p in postings.values()]
+        self.maxima_of = [list(p.values()) for p in postings.values()]
+        self.peak = [max(p.values()) for p in postings.values()]
+
+    def candidates(self, text: set[str]) -> Iterator[int]:
+        """Blocks, in ascending order, whose bound for the text reaches the block's threshold, by block-max WAND.
+
+        Each term of the text stands at a block of its postings. In the order of these, the terms' largest impacts of all are added up until
+        they reach the least threshold: that is the pivot, and no block before it can hold an item. The terms that stand
+        before it skip there, and the maxima of its block decide.
+        """
+        ids = {self.term_id.get(term) for term in text}
+        ids.discard(None)
+        # The sum over all terms bounds every block.
+        if sum(map(self.peak.__getitem__, ids)) < self.least:
+            return
+        heap = [(self.blocks_of[t][0], t, 0) for t in ids]
+        heapify(heap)
+        while heap:
+            passed, bound = [], 0.0
+            while heap and bound < self.least:
+                passed.append(heappop(heap))
+                bound += self.peak[passed[-1][1]]
+            if bound < self.least:
+                return
+            pivot, bound = passed[-1][0], 0.0
+            while heap and heap[0][0] == pivot:
+                passed.append(heappop(heap))
+            for block, term, at in passed:
+                held = self.blocks_of[term]
+                if block < pivot:
+                    at = bisect_left(held, pivot, at + 1)
+                    if at == len(held):
+                        continue
+                if held[at] == pivot:
+                    bound += self.maxima_of[term][at]
+                    at += 1
+                    if at == len(held):
+                        continue
+                heappush(heap, (held[at], term, at))
+            if bound >= self.need[pivot]:
+                yield pivot
 
     def search(self, texts: list[list[str]]) -> Iterator[tuple]:
         """Items that a text holds: its number, then the columns :data:`FOUND`."""
-        last, held, shingles = None, set(), {}
-        for number, block in zip(*(c.tolist() for c in self.candidates(texts))):
-            if last != number:
-                last, held, shingles = number, set(texts[number]), {}
-            for i in range(block * BLOCK, min(len(self.items), (block + 1) * BLOCK)):
-                score = self.score(i, held)
-                if score is None:
-                    continue
-                item_id, question, answer, _ = self.items[i]
-                in_question = _overlap(question, texts[number], shingles)
-                if in_question < OVERLAP:
-                    continue
-                in_answer = _overlap(answer, texts[number], shingles)
-                if in_answer is None or in_answer >= OVERLAP:
-                    yield number, item_id, score, in_question, in_answer
+        for number, text in enumerate(texts):
+            held, shingles = set(text), {}
+            for block in self.candidates(held):
+                for i in range(block * BLOCK, min(len(self.items), (block + 1) * BLOCK)):
+                    score = self.score(i, held)
+                    if score is None:
+                        continue
+                    item_id, question, answer, _ = self.items[i]
+                    in_question = _overlap(question, text, shingles)
+                    if in_question < OVERLAP:
+                        continue
+                    in_answer = _overlap(answer, text, shingles)
+                    if in_answer is None or in_answer >= OVERLAP:
+                        yield number, item_id, score, in_question, in_answer
 
     def score(self, i: int, held: set[str]) -> float | None:
         """BM25 of the question of item ``i`` for the text's terms, or None if below its threshold."""
@@ -246,8 +264,3 @@ def _indexes(items: DataFrame) -> Iterator[Index]:
     parts = -(-(total or 0) // INDEX_WORDS)
     for part in range(parts):
         yield Index(indexed.where(F.pmod(F.col("_key"), F.lit(parts)) == part).collect(), n, asked / n)
-
-
-def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
-    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values

@@ -475,6 +475,33 @@ def test_least_score_is_a_lower_bound():
         assert sum(impact[t] for t in held) >= decontaminate.least_score(impact, question) - 1e-9
 
 
+def test_blocks_by_pivots(monkeypatch):
+    """The walk finds exactly the blocks whose bound reaches their threshold, and texts on a topic score few blocks."""
+    r = random.Random(9)
+    word = lambda topic: r.choice(["the", "of", f"c{r.randrange(30)}", f"t{topic}_{r.randrange(40)}", f"t{topic}_{r.randrange(40)}"])
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    cut = [(i, [word(i // 8) for _ in range(r.randrange(1, 60))]) for i in range(160)]
+    df = Counter(t for _, q in cut for t in set(q))
+    rows = [{"item_id": i, "question": q, "answer": [], "frequency": {t: df[t] for t in set(q)}} for i, q in cut]
+    index = decontaminate.Index(rows, len(rows), sum(len(q) for _, q in cut) / len(cut))
+    assert len(index.need) == 40
+    scored, found = 0, set()
+    for n in range(400):
+        text = {word(r.randrange(25)) for _ in range(r.randrange(300))} if n % 2 else set(cut[n // 3][1]) | {word(n % 20) for _ in range(50)}
+        bounds = Counter()
+        for term, number in index.term_id.items():
+            if term in text:
+                bounds.update(dict(zip(index.blocks_of[number], index.maxima_of[number])))
+        blocks = list(index.candidates(text))
+        assert blocks == sorted(b for b, bound in bounds.items() if bound >= index.need[b] - 1e-12)
+        if n % 2 == 0:
+            scored += len(blocks)
+            found |= {(n, i) for b in blocks for i in range(4 * b, 4 * b + 4) if index.score(i, text) is not None}
+    want = {(n, i) for n in range(0, 400, 2) for i in range(160) if index.items[i][0] == n // 3}
+    assert want <= found and scored < 200 * 40 / 4
+    assert list(index.candidates(set())) == [] and list(decontaminate.Index([], 0, 1.0).candidates({"a"})) == []
+
+
 # Toxicity
 
 
