@@ -13,15 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.rows import text_of
+from terrace.staging import stage
 
 BUCKETS = 1 << 18
 FACTORS = 4
 #: Most labelled documents to learn from, chosen by a hash of the id.
 SAMPLE = 20_000
+#: Most distinct terms of all these documents together; the last one may go beyond. It bounds the memory of the task that learns.
+SAMPLE_TERMS = 20_000_000
 EPOCHS = 12
 RATE = 0.3
 DECAY = 1e-5
@@ -81,6 +84,19 @@ class Machine:
         both = np.add.reduceat(part, starts, axis=0) ** 2 - np.add.reduceat(part**2, starts, axis=0)
         return self.bias + np.add.reduceat(self.weight[terms] * x, starts) + both.sum(axis=1) / 2
 
+    def gradients(self, terms: np.ndarray, starts: np.ndarray, ends: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Of the mean weighted log loss of several texts: the terms they hold, then by their weights, by their vectors and by the bias."""
+        sizes = ends - starts
+        x = np.repeat(1 / np.sqrt(sizes), sizes).astype(np.float32)
+        slope = (1 / (1 + np.exp(-self.logits(terms, starts, ends))) - y) * np.where(y > 0, POSITIVE_WEIGHT, 1) / len(sizes)
+        per_term = (np.repeat(slope, sizes) * x).astype(np.float32)
+        part = self.vector[terms] * x[:, None]
+        rest = np.repeat(np.add.reduceat(part, starts, axis=0), sizes, axis=0) - part
+        touched, place = np.unique(terms, return_inverse=True)
+        by_weight = np.bincount(place, per_term).astype(np.float32)
+        by_vector = np.stack([np.bincount(place, per_term * rest[:, f]) for f in range(FACTORS)], axis=1).astype(np.float32)
+        return touched, by_weight, by_vector, float(slope.sum())
+
     def fit(self, texts: list[np.ndarray], labels: np.ndarray, batch: int = 32) -> Machine:
         """Stochastic gradients with a step per weight that shrinks as its gradients add up."""
         self.choose(texts, labels)
@@ -97,20 +113,13 @@ class Machine:
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
                 terms, y = np.concatenate([texts[i] for i in some]), labels[some]
-                x = np.repeat(1 / np.sqrt(sizes), sizes).astype(np.float32)
-                slope = (1 / (1 + np.exp(-self.logits(terms, starts, ends))) - y) * np.where(y > 0, POSITIVE_WEIGHT, 1) / len(some)
-                per_term = (np.repeat(slope, sizes) * x).astype(np.float32)
-                part = self.vector[terms] * x[:, None]
-                rest = np.repeat(np.add.reduceat(part, starts, axis=0), sizes, axis=0) - part
-                touched, place = np.unique(terms, return_inverse=True)
-                step = np.bincount(place, per_term).astype(np.float32) + DECAY * self.weight[touched]
-                seen_w[touched] += step**2
-                self.weight[touched] -= RATE * step / np.sqrt(seen_w[touched])
-                for f in range(FACTORS):
-                    step = np.bincount(place, per_term * rest[:, f]).astype(np.float32) + DECAY * self.vector[touched, f]
-                    seen_v[touched, f] += step**2
-                    self.vector[touched, f] -= RATE / 4 * step / np.sqrt(seen_v[touched, f])
-                step = float(slope.sum())
+                touched, by_weight, by_vector, step = self.gradients(terms, starts, ends, y)
+                by_weight += DECAY * self.weight[touched]
+                seen_w[touched] += by_weight**2
+                self.weight[touched] -= RATE * by_weight / np.sqrt(seen_w[touched])
+                by_vector += DECAY * self.vector[touched]
+                seen_v[touched] += by_vector**2
+                self.vector[touched] -= RATE / 4 * by_vector / np.sqrt(seen_v[touched])
                 seen_b += step**2
                 self.bias -= RATE / 4 * step / seen_b**0.5
         return self
@@ -177,10 +186,11 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % HELD_OUT_OF == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> bytes:
+def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_terms: int = SAMPLE_TERMS) -> bytes:
     """A machine from labelled, not held-out documents, as bytes.
 
-    At most ``most`` labels are taken, those with the smallest hashes of their ids; of several labels of one
+    At most ``most`` labels are taken, those with the smallest hashes of their ids, and of these as many as hold ``most_terms`` terms
+    together, so that many long texts do not outgrow a task; of several labels of one
     id the largest counts, and ids or labels that are NULL do not. The bounded sample is sent to all
     executors, which extract terms; one task learns from the terms, and the driver gets the weights
     only.
@@ -205,21 +215,28 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> bytes:
         rows = [(label, id_, terms) for b in batches for label, id_, terms in zip(b.column(1).to_pylist(), b.column(0).to_pylist(), map(_terms, b.column(2)))]
         rows.sort(key=lambda r: (r[1], len(r[2]), r[2].tobytes()))
         machine = trained([(label, terms) for label, _, terms in rows])
-        parts = [np.float64(machine.bias), machine.used, machine.weight, machine.vector]
-        yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in parts], names=["bias", "used", "weight", "vector"])
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in _parts(machine)], names=["bias", "used", "weight", "vector"])
 
     # Ids that occur several times among the documents could exceed the bound: one text per id is taken.
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
     terms = own.select("doc_id", "toxic", "text").mapInArrow(extract, "doc_id bigint, toxic int, terms array<int>")
     one = terms.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("terms").alias("terms"))
-    row = one.coalesce(1).mapInArrow(fit, "bias binary, used binary, weight binary, vector binary").first()
-    return pickle.dumps(tuple(bytes(c) for c in row))
+    held = stage(one, "terms")
+    earlier = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = held.select("doc_id", F.coalesce(F.sum(F.size("terms")).over(earlier), F.lit(0)).alias("_before"))  # at most ``most`` rows
+    within = sizes.where(F.col("_before") < most_terms).select("doc_id")
+    row = held.join(F.broadcast(within), "doc_id").coalesce(1).mapInArrow(fit, "bias binary, used binary, weight binary, vector binary").first()
+    return pickle.dumps(_parts(trained([])) if row is None else [bytes(c) for c in row])
 
 
 def _terms(value) -> np.ndarray:
     return value.values.to_numpy().astype(np.int32)
 
 
+def _parts(machine: Machine) -> list[bytes]:
+    return [p.tobytes() for p in (np.float64(machine.bias), machine.used, machine.weight, machine.vector)]
+
+
 def _machine(stored: bytes) -> Machine:
     bias, used, weight, vector = pickle.loads(stored)
     machine = Machine(float(np.frombuffer(bias, np.float64)[0]))

@@ -516,6 +516,75 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def some_machine():
+    """With some 40 terms of double precision, and texts of them with labels."""
+    r = np.random.default_rng(3)
+    machine = toxicity.Machine(-0.7)
+    machine.weight, machine.vector = r.normal(0, 1, toxicity.BUCKETS), r.normal(0, 1, (toxicity.BUCKETS, toxicity.FACTORS))
+    machine.used[:] = True
+    texts = [np.sort(r.choice(40, n, False)).astype(np.int32) for n in (1, 2, 3, 7, 30, 12)]
+    return machine, texts, np.array([1, 0, 1, 0, 1, 0], np.float64)
+
+
+def plain_logit(machine, text):
+    """The sum over all pairs of terms, one by one."""
+    x = 1 / len(text) ** 0.5
+    pairs = sum(float(machine.vector[a] @ machine.vector[b]) * x * x for i, a in enumerate(text) for b in text[i + 1 :])
+    return machine.bias + sum(float(machine.weight[t]) * x for t in text) + pairs
+
+
+def test_scores_are_sums_over_all_pairs():
+    machine, texts, _ = some_machine()
+    want = [1 / (1 + np.exp(-plain_logit(machine, t))) for t in texts]
+    assert machine.scores([*texts, np.zeros(0, np.int32)]) == pytest.approx([*want, 1 / (1 + np.exp(0.7))], abs=1e-5)
+
+
+def test_gradients_are_differences_of_the_loss():
+    machine, texts, y = some_machine()
+    ends = np.cumsum([len(t) for t in texts])
+    starts = ends - [len(t) for t in texts]
+
+    def loss():
+        p = 1 / (1 + np.exp(-np.array([plain_logit(machine, t) for t in texts])))
+        return float(np.mean(np.where(y > 0, -toxicity.POSITIVE_WEIGHT * np.log(p), -np.log(1 - p))))
+
+    def slope(values, at, h=1e-5):
+        held = values[at]
+        values[at] = held + h
+        above = loss()
+        values[at] = held - h
+        below = loss()
+        values[at] = held
+        return (above - below) / (2 * h)
+
+    touched, by_weight, by_vector, by_bias = machine.gradients(np.concatenate(texts), starts, ends, y)
+    assert touched.tolist() == sorted({int(t) for text in texts for t in text})
+    assert by_weight == pytest.approx([slope(machine.weight, t) for t in touched], abs=1e-5)
+    assert by_vector.ravel() == pytest.approx([slope(machine.vector, (t, f)) for t in touched for f in range(toxicity.FACTORS)], abs=1e-5)
+    machine.bias += 1e-5
+    above = loss()
+    machine.bias -= 2e-5
+    assert by_bias == pytest.approx((above - loss()) / 2e-5, abs=1e-5)
+
+
+def test_terms_to_learn_from_are_bounded(spark):
+    """Rows are taken in the order of the hashes of their ids until their terms reach the bound, long texts or not."""
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(1 + i % 7 * 10))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    order = [r.doc_id for r in docs.where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    texts, taken, total = dict(rows), [], 0
+    for i in order:
+        if total < 400:
+            taken.append(i)
+        total += len(toxicity.terms_of(texts[i], {}))
+    assert 0 < len(taken) < len(order)
+    # The prior tells how many rows were learnt from, since none of these terms is used.
+    got = toxicity._machine(toxicity.learn(docs, labels, most_terms=400))
+    bad = sum(i % 2 for i in taken)
+    assert not got.used.any() and got.bias == pytest.approx(float(np.log((bad + 1) / (len(taken) - bad + 10))), abs=1e-6)
+
+
 def test_pairs_count_more_than_their_terms():
     """Toxic only if both terms occur: no sum of weights can say that, pairs can."""
     r = np.random.default_rng(4)
