@@ -2,14 +2,16 @@
 
 Two documents are linked if their fingerprints differ in at most ``budget`` bits. The walk starts
 at pairs of trie nodes, adds up the bits in which the two sides differ, and leaves a pair as soon
-as the budget is exceeded. To share it among tasks, the bits are cut into ``budget + 1`` blocks: two
-linked fingerprints agree in one block at least, so each block in turn becomes the top of the trie,
-and the subtries below one value of it are walked by one task.
+as the budget is exceeded. To share it among tasks, the bits are cut into ``budget + 1`` blocks or more: two
+linked fingerprints agree in all blocks but ``budget`` at least, so each choice of that many blocks in turn becomes the top of the trie,
+and the subtries below one value of it are walked by one task. More blocks make longer tops, for more fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,10 @@ BITS = 64
 SHINGLE = 3
 BUDGET = 3
 SEED = 42
-#: Fingerprints below one value of a block that are walked together; more are walked in pairs of chunks.
+#: Fingerprints below one value of a top that are walked together; more are walked in pairs of chunks.
 CHUNK = 20_000
+#: Values of tops that are broadcast, if all were hot; with more of them Spark decides by their size.
+MOST_BROADCAST = 1 << 18
 #: Rows per walking task, and pairs of trie nodes that a task holds at a time.
 ROWS_PER_TASK = 60_000
 PAIRS_AT_ONCE = 1 << 19
@@ -65,34 +69,59 @@ def with_fingerprint(docs: DataFrame, name: str, id: str = "doc_id", text: str =
     return source.mapInArrow(run, f"doc_id bigint, {name} bigint")
 
 
-def links(prints: DataFrame, budget: int = BUDGET) -> DataFrame:
+def tops(blocks: int, budget: int = BUDGET) -> tuple[list[list[tuple[int, int, int]]], int]:
+    """The orders of the bits that are walked, and how many bits at the top are the same in all fingerprints of a subtrie.
+
+    An order is a list of moves of a block: its lowest bit, its size, and its lowest bit in the trie.
+    """
+    sizes = [BITS // blocks + (i < BITS % blocks) for i in range(blocks)]
+    lows = [BITS - sum(sizes[: i + 1]) for i in range(blocks)]
+    orders = []
+    for chosen in combinations(range(blocks), blocks - budget):
+        moves, to = [], BITS
+        for block in (*chosen, *(i for i in range(blocks) if i not in chosen)):
+            to -= sizes[block]
+            moves.append((lows[block], sizes[block], to))
+        orders.append(moves)
+    return orders, sum(sizes[budget:])
+
+
+def blocks_for(rows: int, budget: int = BUDGET) -> int:
+    """As few blocks as leave a quarter of :data:`CHUNK` rows, on the average, below a value of the top; ``budget + 3`` at most."""
+    able = (n for n in (budget + 1, budget + 2) if rows <= CHUNK * 2 ** tops(n, budget)[1] // 4)
+    return next(able, budget + 3)
+
+
+def links(prints: DataFrame, budget: int = BUDGET, blocks: int | None = None) -> DataFrame:
     """Edges between distinct fingerprints (column ``fp``) that connect all linked ones.
 
     Of the links that one task finds, only a spanning star per component is returned: at most one
-    edge per row, instead of all pairs of a large group of near copies.
+    edge per row, instead of all pairs of a large group of near copies. Fingerprints travel once per top: with a budget of
+    three, 4 times under tops of 16 bits, 10 times under 25 bits beyond 3 x 10^8 of them, 20 times under 31 bits beyond 10^11.
+    Values of a top that more than :data:`CHUNK` fingerprints share in spite of that are walked in pairs of chunks.
     """
-    width = BITS // (budget + 1)
-    shifts = [block * width for block in range(budget + 1)]
-    blocks = F.explode(F.array(*(F.struct(F.lit(s).alias("shift"), _rotated(F.col("fp"), s).alias("key")) for s in shifts)))
-    keyed = prints.select(blocks.alias("_b")).select("_b.*").withColumn("top", F.shiftrightunsigned("key", BITS - width))
-    # At most (budget + 1) * 2^width rows, whatever the input; with three bits 262,144.
+    count = prints.count()
+    orders, width = tops(blocks or blocks_for(count, budget), budget)
+    turned = F.explode(F.array(*(F.struct(F.lit(i).alias("shift"), _moved(F.col("fp"), moves).alias("key")) for i, moves in enumerate(orders))))
+    keyed = prints.select(turned.alias("_b")).select("_b.*").withColumn("top", F.shiftrightunsigned("key", BITS - width))
+    # Spark broadcasts them if they are few: of 16-bit tops there are 262,144 at most.
     hot = keyed.groupBy("shift", "top").count().where(F.col("count") > CHUNK)
     chunks = F.ceil(F.col("count") / CHUNK).cast("int")
     hot = hot.select("shift", "top", chunks.alias("chunks"))
+    hot = F.broadcast(hot) if len(orders) << width <= MOST_BROADCAST else hot
     own = F.pmod(F.xxhash64("key"), F.coalesce("chunks", F.lit(1))).cast("int")
     dealt = (
-        keyed.join(F.broadcast(hot), ["shift", "top"], "left")
+        keyed.join(hot, ["shift", "top"], "left")
         .withColumn("chunk", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)))
         .select("shift", "top", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "key")
     )
-    rows = (budget + 1) * prints.count()
-    tasks = max(1, -(-rows // ROWS_PER_TASK))
+    tasks = max(1, -(-len(orders) * count // ROWS_PER_TASK))
     group = ["shift", "top", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _whole_groups(batches):
-            a, b = _walk(*columns, width, budget)
+            a, b = _walk(*columns, orders, width, budget)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     sorted_rows = dealt.repartition(tasks, *group).sortWithinPartitions(*group, "chunk")
@@ -158,8 +187,9 @@ def _with_key(keyed: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id bigint, _key bigint, _check bigint, fp bigint")
 
 
-def _rotated(fp, shift: int):
-    return F.shiftleft(fp, shift).bitwiseOR(F.shiftrightunsigned(fp, BITS - shift)) if shift else fp
+def _moved(fp, moves: list[tuple[int, int, int]]):
+    parts = (F.shiftleft(F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << size) - 1)), to) for low, size, to in moves)
+    return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -186,7 +216,7 @@ def _columns(held: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
     return tuple(c.to_numpy() for c in table.columns)
 
 
-def _walk(shift, top, low, high, chunk, key, width: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def _walk(shift, top, low, high, chunk, key, orders: list, width: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Walk the tries of all groups at once; returns edges between fingerprints."""
     keys = key.view(np.uint64)
     order = np.lexsort((keys, chunk, high, low, top, shift))
@@ -214,8 +244,12 @@ def _walk(shift, top, low, high, chunk, key, width: int, budget: int) -> tuple[n
         below = _children(pairs, ones[bit], budget)
         stack += [(bit - 1, below[:, i : i + PAIRS_AT_ONCE]) for i in range(0, below.shape[1], PAIRS_AT_ONCE)]
     linked = np.flatnonzero(labels != np.arange(len(keys)))
-    turn = shift.astype(np.uint64)
-    prints = np.where(turn == 0, keys, (keys >> turn) | (keys << (np.uint64(BITS) - np.maximum(turn, 1)))).view(np.int64)
+    prints = np.zeros(len(keys), np.uint64)
+    for number in np.unique(shift):
+        own = shift == number
+        for from_, size, to in orders[number]:
+            prints[own] |= ((keys[own] >> np.uint64(to)) & np.uint64((1 << size) - 1)) << np.uint64(from_)
+    prints = prints.view(np.int64)
     return prints[linked], prints[labels[linked]]
 
 

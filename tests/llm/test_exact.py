@@ -341,6 +341,47 @@ def test_fingerprints(spark):
     assert found == {r.doc_id: f"{plain_fingerprint(r.text):016x}" for r in docs.collect()}
 
 
+def test_longer_tops_for_more_fingerprints(spark, monkeypatch):
+    """With 32 bits at the top, groups are small where 16 bits would need pairs of chunks; the links are the same."""
+    assert [simhash.blocks_for(n) for n in (0, 10**8, 10**9, 5 * 10**10, 10**12)] == [4, 4, 5, 5, 6]
+    assert [(len(simhash.tops(b)[0]), simhash.tops(b)[1]) for b in (4, 5, 6)] == [(4, 16), (10, 25), (20, 31)]
+    r = random.Random(12)
+    shared = r.getrandbits(16) << 48  # all agree in the first 16 bits
+    prints = {shared | r.getrandbits(48) for _ in range(1500)}
+    for p in list(prints)[:300]:
+        prints.add(p ^ sum(1 << b for b in r.sample(range(64), r.randrange(1, 5))))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    df = stage(spark.createDataFrame(signed, "fp bigint"), "prints")
+    sizes = []
+    want = {frozenset((a, b)) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 3}
+    for blocks in (4, 5, 6):
+        orders, width = simhash.tops(blocks)
+        for moves in orders:
+            assert sorted(b for low, size, _ in moves for b in range(low, low + size)) == sorted(b for _, size, to in moves for b in range(to, to + size)) == list(range(64))
+        tops = Counter(sum(((p >> low) & ((1 << size) - 1)) << to for low, size, to in orders[0]) >> (64 - width) for p in prints)
+        sizes.append(max(tops.values()))
+        edges = {frozenset((x.a % (1 << 64), x.b % (1 << 64))) for x in simhash.links(df, blocks=blocks).collect()}
+        # Each edge is a link, or joins what links connect.
+        roots = {p: p for p in prints}
+
+        def root(p):
+            while roots[p] != p:
+                p = roots[p]
+            return p
+
+        for found in (edges, want):
+            roots = {p: p for p in prints}
+            for a, b in map(tuple, found):
+                roots[root(a)] = root(b)
+            groups = Counter()
+            for p in prints:
+                groups[root(p)] += 1
+            parts = sorted(tuple(sorted(p for p in prints if root(p) == g)) for g, n in groups.items() if n > 1)
+            assert found is edges or parts == before
+            before = parts
+    assert sizes[0] > 1400 and sizes[1] < 50 and sizes[2] < 10
+
+
 @pytest.mark.parametrize("chunk", [20_000, 50])
 def test_trie_finds_all_links(spark, monkeypatch, chunk):
     monkeypatch.setattr(simhash, "CHUNK", chunk)
