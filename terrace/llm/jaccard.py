@@ -362,7 +362,7 @@ def _verified(classes, percent: int, orders: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in whole_groups(batches, 3):
             chunk, node = unit.column("chunk").to_numpy(), unit.column("node").to_numpy()
-            sets = [np.frombuffer(t.as_py(), np.uint64) for t in unit.column("tokens")]
+            sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in unit.column("tokens")]
             sides = chunk if chunk.min() < chunk.max() else None
             # Of a pair of different chunks only the pairs across are new.
             if sides is None and unit.column("low")[0] != unit.column("high")[0]:
@@ -392,6 +392,17 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Ta
         yield held
 
 
+def numbered(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens in order, and of each token the place of its own among them."""
+    order = np.argsort(tokens)
+    tokens = tokens[order]
+    new = np.ones(len(tokens), bool)
+    new[1:] = tokens[1:] != tokens[:-1]
+    ids = np.empty(len(tokens), np.int32)
+    ids[order] = np.cumsum(new, dtype=np.int32) - 1
+    return tokens[new], ids
+
+
 def linked(sets: list[np.ndarray], sides: np.ndarray | None, classes: np.ndarray, percent: int = PERCENT, orders: int = ORDERS) -> np.ndarray:
     """Of each set a set of its component, by links between sets (of different ``sides``, if given).
 
@@ -405,17 +416,21 @@ def linked(sets: list[np.ndarray], sides: np.ndarray | None, classes: np.ndarray
     most = np.searchsorted(sizes, 100 * sizes // percent, "right")
     if (most <= np.arange(m) + 1).all():
         return labels
-    owner = np.repeat(np.arange(m), sizes)
+    # Numbers of four bytes, and few of them at a time: a unit may hold millions of tokens.
     start = np.append(0, np.cumsum(sizes))
-    distinct, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
-    place = np.arange(len(ids)) - start[owner]
-    in_probe, in_short = (place < f(sizes, percent)[owner] for f in (probe_length, short_length))
+    owner = np.repeat(np.arange(m, dtype=np.int32), sizes)
+    distinct, ids = numbered(np.concatenate([sets[i] for i in order]))
+    place = np.arange(len(ids), dtype=np.int32)
+    place -= start.astype(np.int32)[owner]
+    in_probe, in_short = (place < f(sizes, percent).astype(np.int32)[owner] for f in (probe_length, short_length))
+    del place
     filters = []
     for j in range(orders):
-        rank = np.empty(len(distinct), np.int64)
-        rank[np.argsort(ranks(distinct, classes, j), kind="stable")] = np.arange(len(distinct))
+        rank = np.empty(len(distinct), np.int32)
+        rank[np.argsort(ranks(distinct, classes, j), kind="stable")] = np.arange(len(distinct), dtype=np.int32)
         by_rank = np.lexsort((rank[ids], owner))
         probe, short = by_rank[in_probe], by_rank[in_short]
+        del by_rank
         by_token = probe[np.argsort(ids[probe], kind="stable")]
         ends = np.searchsorted(ids[by_token], np.arange(len(distinct) + 1))
         filters.append((ids[short], np.append(0, np.cumsum(np.bincount(owner[short], minlength=m))), owner[by_token], ends))
