@@ -97,25 +97,26 @@ def kept_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     return verdicts(docs, policy).where("kept").select("_row.*")
 
 
-def ablations(ledger_rows: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """Per rule of the policy: rows that fail it, that only it rejects, and that are kept without it.
+def ablations(ledger_rows: DataFrame, *policies: str) -> DataFrame:
+    """Per policy and rule of it: rows that fail it, that only it rejects, and that are kept without it.
 
-    The ledger is first counted per distinct ``failure_bits``, at most two to the number of rules,
-    so everything after one map-side combined count is tiny. An empty ledger gives zeros.
+    Without ``policies`` for the current one. The ledger is first counted per distinct ``failure_bits``, at most two to the
+    number of rules, so everything after one map-side combined count is tiny, for any number of policies. An empty ledger
+    gives zeros.
     """
-    rules, all_bits = POLICIES[policy], F.lit(mask(policy)).cast("bigint")
-    counted = ledger_rows.groupBy(F.col("failure_bits").bitwiseAND(all_bits).alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+    counted = ledger_rows.groupBy("failure_bits").agg(F.count(F.lit(1)).alias("n"))
     total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-    bit = {rule: F.lit(BIT[rule]).cast("bigint") for rule in rules}
-    sums = counted.agg(
-        *(
-            F.struct(
-                F.lit(rule).alias("rule"),
-                total(F.col("bits").bitwiseAND(bit[rule]) != 0).alias("n_failed"),
-                total(F.col("bits") == bit[rule]).alias("n_only_this"),
-                total(F.col("bits").bitwiseAND(all_bits.bitwiseXOR(bit[rule])) == 0).alias("n_kept_without"),
-            ).alias(rule)
-            for rule in rules
-        )
-    )
-    return sums.select(F.inline(F.array(*rules))).select(F.lit(policy).alias("policy"), "*")
+    bits = lambda number: F.col("failure_bits").bitwiseAND(F.lit(number).cast("bigint"))
+    found = [
+        F.struct(
+            F.lit(policy).alias("policy"),
+            F.lit(rule).alias("rule"),
+            total(bits(BIT[rule]) != 0).alias("n_failed"),
+            total(bits(mask(policy)) == BIT[rule]).alias("n_only_this"),
+            total(bits(mask(policy) & ~BIT[rule]) == 0).alias("n_kept_without"),
+        ).alias(f"{policy}_{rule}")
+        for policy in policies or (CURRENT,)
+        for rule in POLICIES[policy]
+    ]
+    sums = counted.agg(*found)
+    return sums.select(F.inline(F.array(*sums.columns)))

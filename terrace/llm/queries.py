@@ -57,6 +57,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), *quality.POLICIES)
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"), licenses.known_texts(spark))
 
@@ -106,7 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_chat_format, op2_token_rows, op3_byte_shards, op4_quality_rules, op5_license_scan, op6_simhash_groups,
         op7_benchmark_leaks, op8_packed_sequences, op9_toxicity_scores, op10_line_dedup, op11_bloom_search, op12_spelling_variants,
-        op13_shingle_links, pipeline,
+        op13_shingle_links, quality_ablations, pipeline,
     )
 }
 
@@ -171,6 +175,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
+_ABLATIONS = f"""
+WITH ledger AS (SELECT * FROM (
+{_QUALITY}
+)), policies AS (
+  SELECT * FROM (VALUES {", ".join(f"('{p}', {quality.mask(p)}, '{r}', {quality.BIT[r]})" for p, rules in quality.POLICIES.items() for r in rules)})
+  AS p(policy, mask, rule, bit)
+)
+SELECT policy, rule, count(*) FILTER (failure_bits & bit <> 0) AS n_failed, count(*) FILTER (failure_bits & mask = bit) AS n_only_this,
+  count(*) FILTER (failure_bits & mask & ~bit = 0) AS n_kept_without
+FROM policies LEFT JOIN ledger ON true GROUP BY policy, rule
+"""
+
 _SPELT = "regexp_replace(lower(%s), {copyright}, ' ', 'g')".format(copyright=_quoted(licenses.COPYRIGHT))
 _SPELT = rf"' ' || regexp_replace({_SPELT}, '[^\p{{L}}\p{{N}}]+', '  ', 'g') || ' '"
 for _old, _new in licenses.SPELLINGS.items():
@@ -297,4 +313,5 @@ SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM sizes JOIN reach
 ORACLE = {
     "op1_chat_format": _CHAT, "op4_quality_rules": _QUALITY, "op5_license_scan": _LICENSES, "op10_line_dedup": _LINES,
     "op11_bloom_search": _SEARCH, "op12_spelling_variants": _SPELLINGS, "op13_shingle_links": _SHINGLES,
+    "quality_ablations": _ABLATIONS,
 }
