@@ -92,6 +92,16 @@ def test_stages(spark, odd_documents, items, tmp_path, place):
         assert {r.doc_id for r in rows} == {1, 2, None, 6}
 
 
+def test_whole_pipeline(spark, odd_documents, items, tmp_path):
+    """The last stage's places, of odd rows and of empty tables."""
+    for name, docs, known in (("odd", odd_documents, items), ("none", odd_documents.limit(0), items), ("nothing", odd_documents.limit(0), items.limit(0))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        known.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+        found = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert {"doc_id", "piece", "sequence_id", "offset"} <= set(found[0].asDict()) and 6 in {r.doc_id for r in found} if name == "odd" else found == []
+        assert {r.doc_id for r in found} <= {1, 2, None, 6}
+
+
 def test_verdicts_of_odd_rows(odd_documents):
     by_id = {r._row.doc_id: r for r in quality.verdicts(odd_documents.where("doc_id in (3, 4, 5)")).collect()}
     assert all((r.n_words, r.failure_bits, r.base_failed) == (0, 1, True) for r in by_id.values())
