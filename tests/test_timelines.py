@@ -5,11 +5,12 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions.props import parsed_json
-from terrace.operators import keys
+from terrace.operators import intervals, keys
 from terrace.operators.asof import as_of_lookup
 from terrace.operators.intervals import overlapping
 from terrace.operators.ordered import in_ranges, with_earlier, with_running_sum
@@ -91,6 +92,60 @@ def test_overlaps(spark):
     assert overlapping(df.limit(0), df, "k", "a", "b").collect() == []
 
 
+def tries(found):
+    """Rows that meet by the keys of the join, before any other condition."""
+    plan = found._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    spark = found.sparkSession
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan), spark).count()
+
+
+def test_overlaps_are_not_tried_in_vain(spark, monkeypatch):
+    """Short periods of hot keys, far from each other beside some that span everything, or in weeks, and keys of few rows."""
+    rows = [(i, 1, day(10 * i), day(10 * i + i % 3)) for i in range(6000)] + [(6000 + i, 1, day(0), None) for i in range(4)]
+    weeks = [(7000 + i, 2, day(7 * (i % 2000) + 3 * (i % 2)), day(7 * (i % 2000) + 3 * (i % 2) + 2 + i % 2)) for i in range(6000)]
+    df = spark.createDataFrame(rows + weeks + [(13_000 + i, i % 100, day(i), day(i)) for i in range(5000)], "id int, k int, a date, b date")
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 10_000)
+    monkeypatch.setattr(intervals, "FEW_TRIES", 0, raising=False)
+    for left, right in ((df, df), (df.where("id % 2 = 0"), df.where("id % 2 = 1"))):
+        found = overlapping(left, right, "k", "a", "b")
+        # Keys of few rows are tried as a whole, here 50 rows each.
+        assert 10_000 < tries(found) < 2 * found.count() + 50 * 5000
+
+
+@pytest.mark.parametrize(("most_broadcast", "tries_per_row"), [(0, 4), (50_000, 0), (50_000, 100)])
+def test_crowded_overlaps_are_shared(spark, monkeypatch, most_broadcast, tries_per_row):
+    """Copies of one row, days before 1970 and far off, keys of other types; either side may be empty or beside the other one."""
+    monkeypatch.setattr(intervals, "ROWS_PER_BLOCK", 32)
+    monkeypatch.setattr(intervals, "TRIES_PER_ROW", tries_per_row)
+    monkeypatch.setattr(intervals, "FEW_TRIES", 0)
+    monkeypatch.setattr(keys, "MOST_BROADCAST", most_broadcast)
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 10_000)
+    r, starts = random.Random(9), [None, dt.date.min, dt.date(1969, 12, 31), dt.date(1970, 1, 1), *map(day, range(60))]
+    rows = [(i, r.choice([1, 1, 2, None]), r.choice(starts), r.choice([*starts, dt.date.max])) for i in range(250)]
+    rows += [(900, 1, day(5), day(5))] * 150 + [(901, 1, day(4), day(6))] * 40
+    schema = "id int, k int, a date, b date"
+    df = spark.createDataFrame(rows, schema)
+    other = df.select(F.col("k").cast("bigint").alias("k"), "b", "a", "id").where("id % 3 > 0")
+
+    def pairs(left, right):
+        held = lambda x: None not in x[1:3] and (x[3] is None or x[2] <= x[3])
+        end = lambda x: x[3] or dt.date.max
+        return Counter((x[0], y[0]) for x in left for y in right if held(x) and held(y) and x[1] == y[1] and x[2] <= end(y) and y[2] <= end(x))
+
+    for left, right in ((df, df), (df, other), (other, df.where("true"))):
+        found = overlapping(left, right, "k", "a", "b").select(F.col("left.id").alias("x"), F.col("right.id").alias("y"), F.spark_partition_id().alias("task")).collect()
+        given = [[x for x in rows if side is not other or x[0] % 3 > 0] for side in (left, right)]
+        assert Counter((x.x, x.y) for x in found) == pairs(*given)
+        # The hot day has most pairs, and no task has it alone.
+        assert right is not df or max(Counter(x.task for x in found).values()) < len(found) / 3
+    for left, right in ((df, df.limit(0)), (df.limit(0), df), (df.where("a < '1969-01-01'"), df.where("a >= '2020-02-20' AND a < '2021-01-01'"))):
+        found = overlapping(left, right, "k", "a", "b")
+        assert found.columns == ["left", "right"]
+        assert Counter((x.left.id, x.right.id) for x in found.collect()) == pairs([tuple(x) for x in left.collect()], [tuple(x) for x in right.collect()])
+
+
 def test_sessions(spark):
     r = random.Random(4)
     start = dt.datetime(2020, 1, 1)
